@@ -47,9 +47,16 @@ def size_bound(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[int,
     return n, n * fixed + var_bytes
 
 
+_DECISIONS: dict[tuple[str, int, int, int], bool] = {}
+
+
 def is_broadcastable(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    rows, nbytes = size_bound(df, max_rows)
-    return rows <= max_rows and nbytes <= max_bytes
+    """Proven-small check, remembered per application and plan (same plan, same files, same answer)."""
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows, max_bytes)
+    if key not in _DECISIONS:
+        rows, nbytes = size_bound(df, max_rows)
+        _DECISIONS[key] = rows <= max_rows and nbytes <= max_bytes
+    return _DECISIONS[key]
 
 
 def dim_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner",

@@ -1 +1,130 @@
-"""(filled in below)"""
+"""Scalar-function queries: NULL handling, CASE, strings, event time, key=value text, casts, arithmetic."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from contrail.functions.scalars import event_text, event_ts, kv_fixed_width, kv_number, parse_event_text
+from contrail.operators.aggregates import nvl0
+from contrail.plans.registry import register
+from contrail.sources.tables import flights, table, with_views
+
+
+@register("scalar_null_case", with_views("""
+SELECT coalesce(depdelay, -999) AS dep_or_default,
+       CASE WHEN coalesce(depdelay, 0) > 0 THEN 'late' END AS late_flag,
+       CASE cancellationcode WHEN 'F' THEN 'carrier' WHEN 'O' THEN 'weather' END AS cause,
+       count(*) AS n_flights
+FROM flights GROUP BY 1, 2, 3""", "flights"))
+def scalar_null_case(spark, d):
+    f = flights(spark, d)
+    return f.groupBy(
+        F.coalesce("depdelay", F.lit(-999)).alias("dep_or_default"),
+        F.when(nvl0("depdelay") > 0, F.lit("late")).alias("late_flag"),
+        F.when(F.col("cancellationcode") == "F", F.lit("carrier"))
+        .when(F.col("cancellationcode") == "O", F.lit("weather")).alias("cause"),
+    ).agg(F.count(F.lit(1)).alias("n_flights"))
+
+
+@register("scalar_strings", """
+SELECT c_custkey, concat('Update - ', upper(c_name)) AS new_name, length(c_name) AS name_len,
+       regexp_replace(c_name, '#0*', '-', 'g') AS short_name, c_mktsegment || '/' || c_name AS tagged
+FROM customer""")
+def scalar_strings(spark, d):
+    c = table(spark, d, "customer")
+    return c.select(
+        "c_custkey",
+        F.concat(F.lit("Update - "), F.upper("c_name")).alias("new_name"),
+        F.length("c_name").alias("name_len"),
+        F.regexp_replace("c_name", "#0*", "-").alias("short_name"),
+        F.concat("c_mktsegment", F.lit("/"), "c_name").alias("tagged"),
+    )
+
+
+@register("scalar_event_time", with_views("""
+, e AS (SELECT DISTINCT year, month, dayofmonth, deptime,
+          concat(year, '-', month, '-', dayofmonth, ' ', substr(lpad(CAST(deptime AS VARCHAR), 4, '0'), 1, 2), ':',
+                 substr(lpad(CAST(deptime AS VARCHAR), 4, '0'), 3, 2), ':00') AS event_text,
+          make_timestamp(year, month, dayofmonth, deptime // 100, deptime % 100, 0) AS ts FROM flights)
+SELECT year, month, dayofmonth, deptime, event_text, CAST(epoch(ts) AS BIGINT) AS event_epoch,
+       strftime(ts, '%Y-%m-%d %H:%M:%S') AS event_str, CAST(epoch(ts) AS BIGINT) AS built_epoch
+FROM e""", "flights"))
+def scalar_event_time(spark, d):
+    f = flights(spark, d).select("year", "month", "dayofmonth", "deptime").distinct()
+    text = event_text("year", "month", "dayofmonth", "deptime")
+    out = f.withColumn("event_text", text).withColumn("event_epoch", parse_event_text("event_text"))
+    return out.select(
+        "year", "month", "dayofmonth", "deptime", "event_text", "event_epoch",
+        F.from_unixtime("event_epoch").alias("event_str"),
+        F.unix_timestamp(event_ts("year", "month", "dayofmonth", "deptime")).alias("built_epoch"),
+    )
+
+
+def weather_text(events):
+    """The stream's ``weather_json`` text: ``{temp=<value>, pressure=1013.2, humidity=<user_id % 101>}``."""
+    return F.concat(F.lit("{temp="), events["value"].cast("string"), F.lit(", pressure=1013.2, humidity="),
+                    (events["user_id"] % 101).cast("string"), F.lit("}"))
+
+
+_WEATHER_SQL = ("concat('{temp=', CAST(value AS VARCHAR), ', pressure=1013.2, humidity=', "
+                "CAST(user_id % 101 AS VARCHAR), '}')")
+
+
+@register("scalar_kv_parse", f"""
+WITH w AS (SELECT event_id, {_WEATHER_SQL} AS weather_json FROM events)
+SELECT event_id,
+  TRY_CAST(regexp_extract(weather_json, '(?:^|[{{ ,])temp=(-?[0-9]+(?:\\.[0-9]+)?)', 1) AS DOUBLE) AS temp,
+  TRY_CAST(regexp_extract(weather_json, '(?:^|[{{ ,])pressure=(-?[0-9]+(?:\\.[0-9]+)?)', 1) AS DOUBLE) AS pressure,
+  TRY_CAST(regexp_extract(weather_json, '(?:^|[{{ ,])humidity=(-?[0-9]+(?:\\.[0-9]+)?)', 1) AS DOUBLE) AS humidity,
+  TRY_CAST(regexp_extract(weather_json, '(?:^|[{{ ,])speed=(-?[0-9]+(?:\\.[0-9]+)?)', 1) AS DOUBLE) AS wind_speed,
+  translate(substr(weather_json, instr(weather_json, 'humidity=') + 9, 2), '}}', '') AS humidity_fixed_width
+FROM w""")
+def scalar_kv_parse(spark, d):
+    e = table(spark, d, "events")
+    w = e.select("event_id", weather_text(e).alias("weather_json"))
+    return w.select(
+        "event_id",
+        kv_number("weather_json", "temp").alias("temp"),
+        kv_number("weather_json", "pressure").alias("pressure"),
+        kv_number("weather_json", "humidity").alias("humidity"),
+        kv_number("weather_json", "speed").alias("wind_speed"),
+        kv_fixed_width("weather_json", "humidity", 2, "}").alias("humidity_fixed_width"),
+    )
+
+
+@register("scalar_casts", """
+SELECT event_id, CAST(trunc(value) AS INTEGER) AS value_int, CAST(value AS FLOAT) AS value_float,
+       CAST(value AS DECIMAL(10, 0)) AS value_dec0, CAST(value AS DECIMAL(10, 2)) AS value_dec2,
+       CAST(event_id AS VARCHAR) AS id_text, CAST(ts AS DATE) AS event_date,
+       TRY_CAST(substr(props, 7, 2) AS INTEGER) AS k_value, TRY_CAST(event_type AS INTEGER) AS type_as_int
+FROM events""")
+def scalar_casts(spark, d):
+    e = table(spark, d, "events")
+    return e.select(
+        "event_id",
+        F.col("value").cast("int").alias("value_int"),
+        F.col("value").cast("float").alias("value_float"),
+        F.col("value").cast("decimal(10,0)").alias("value_dec0"),
+        F.col("value").cast("decimal(10,2)").alias("value_dec2"),
+        F.col("event_id").cast("string").alias("id_text"),
+        F.col("ts").cast("date").alias("event_date"),
+        F.substring("props", 7, 2).try_cast("int").alias("k_value"),
+        F.col("event_type").try_cast("int").alias("type_as_int"),
+    )
+
+
+@register("scalar_arith", with_views("""
+SELECT uniquecarrier, CAST(sum(arrdelay - depdelay) AS BIGINT) AS sum_delay_gain,
+       CAST(sum(distance * 2) AS BIGINT) AS twice_distance, round(avg(distance / 60.0), 6) AS avg_hours,
+       CAST(sum(CASE WHEN arrdelay > depdelay THEN 1 ELSE 0 END) AS BIGINT) AS n_gained,
+       CAST(sum(airtime + taxiin + taxiout - actualelapsedtime) AS BIGINT) AS residual
+FROM flights GROUP BY uniquecarrier""", "flights"))
+def scalar_arith(spark, d):
+    f = flights(spark, d)
+    return f.groupBy("uniquecarrier").agg(
+        F.sum(F.col("arrdelay") - F.col("depdelay")).alias("sum_delay_gain"),
+        F.sum(F.col("distance") * 2).alias("twice_distance"),
+        F.round(F.avg(F.col("distance") / 60.0), 6).alias("avg_hours"),
+        F.sum(F.when(F.col("arrdelay") > F.col("depdelay"), 1).otherwise(0)).alias("n_gained"),
+        F.sum(F.col("airtime") + F.col("taxiin") + F.col("taxiout") - F.col("actualelapsedtime")).alias("residual"),
+    )

@@ -24,8 +24,22 @@ BASE_TABLES = (
 )
 
 
+_TABLE_CACHE: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet table ``name`` under ``sf_dir``.
+
+    The DataFrame (a plan, not data) is reused within one application so the
+    file listing and footer read happen once per table.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _TABLE_CACHE.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _TABLE_CACHE[key] = df
+    return df
 
 
 def register_base_views(spark: SparkSession, sf_dir: str) -> None:
