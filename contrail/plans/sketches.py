@@ -1 +1,196 @@
-"""(filled in below)"""
+"""Sketch queries: quantile sketch table, PMF, CDF, deciles, metadata, HLL distinct, frequent items.
+
+Approximate values cannot hash-match an oracle, so each query returns the
+exact value from the same data plus ``within_bound`` (the sketch agrees with
+it inside the stated tolerance).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from contrail.operators import sketches as sk
+from contrail.operators.aggregates import top_k
+from contrail.plans.registry import register
+from contrail.session import scratch_path
+from contrail.sources.tables import flights, with_views
+
+RANK_TOL = 0.03   # |sketch rank - exact rank|
+MASS_TOL = 0.05   # |sketch mass - exact mass| (difference of two ranks)
+HLL_TOL = 0.03    # relative error of the distinct-count estimate
+
+_POS = "CAST(arrdelay + 1 AS DOUBLE)"  # positive delays, shifted by one as in the lab
+
+
+def _positive(spark: SparkSession, d: str) -> DataFrame:
+    f = flights(spark, d).where(F.col("arrdelay") > 0)
+    return f.select(F.col("uniquecarrier").alias("airline_code"), "arrdelay",
+                    (F.col("arrdelay") + 1).cast("double").alias("x"))
+
+
+def build_sketch_table(spark: SparkSession, d: str, k: int = sk.DEFAULT_K) -> DataFrame:
+    """Per airline: count, exact moments and a KLL sketch of positive delays, written as a table."""
+    t = _positive(spark, d).groupBy("airline_code").agg(
+        F.count(F.lit(1)).alias("sum_flights"),
+        F.sum("arrdelay").alias("sum_arrdelay"), F.min("arrdelay").alias("min_arrdelay"),
+        F.max("arrdelay").alias("max_arrdelay"), F.avg("arrdelay").alias("avg_arrdelay"),
+        sk.quantile_sketch(F.col("x"), k).alias("sk_arrdelay"),
+    ).withColumn("sketch_k", F.lit(k))
+    path = scratch_path(spark, "flights-qt-sketch")
+    t.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+_MOMENTS_SQL = """SELECT uniquecarrier AS airline_code, count(*) AS sum_flights,
+  CAST(sum(arrdelay) AS BIGINT) AS sum_arrdelay, min(arrdelay) AS min_arrdelay, max(arrdelay) AS max_arrdelay,
+  round(avg(arrdelay), 9) AS avg_arrdelay FROM flights WHERE arrdelay > 0 GROUP BY uniquecarrier"""
+
+
+@register("sketch_quantile_table", with_views(
+    f"SELECT *, sum_flights AS sketch_n, true AS sketch_nonempty FROM ({_MOMENTS_SQL})", "flights"))
+def sketch_quantile_table(spark, d):
+    t = build_sketch_table(spark, d)
+    return t.select("airline_code", "sum_flights", "sum_arrdelay", "min_arrdelay", "max_arrdelay",
+                    F.round("avg_arrdelay", 9).alias("avg_arrdelay"),
+                    F.kll_sketch_get_n_double("sk_arrdelay").alias("sketch_n"),
+                    (F.length("sk_arrdelay") > 0).alias("sketch_nonempty"))
+
+
+def _bucket_sql() -> str:
+    edges = sk.SPLITS
+    conds = [f"x <= {edges[0]}"] + [f"x > {lo} AND x <= {hi}" for lo, hi in zip(edges, edges[1:])] + [
+        f"x > {edges[-1]}"]
+    return "CASE " + " ".join(f"WHEN {c} THEN {i}" for i, c in enumerate(conds)) + " END"
+
+
+@register("sketch_pmf", with_views(f"""
+, v AS (SELECT uniquecarrier AS airline_code, {_POS} AS x FROM flights WHERE arrdelay > 0),
+n AS (SELECT airline_code, count(*) AS n FROM v GROUP BY airline_code),
+c AS (SELECT airline_code, {_bucket_sql()} AS bucket, count(*) AS cnt FROM v GROUP BY 1, 2),
+b AS (SELECT CAST(unnest(range(0, {len(sk.SPLITS) + 1})) AS INT) AS bucket)
+SELECT n.airline_code, b.bucket, coalesce(c.cnt, 0) / n.n AS exact_mass, true AS within_bound
+FROM n CROSS JOIN b LEFT JOIN c ON c.airline_code = n.airline_code AND c.bucket = b.bucket""", "flights"))
+def sketch_pmf(spark, d):
+    """PMF over split points 10..100 (11 masses) from the stored sketch, checked against exact masses."""
+    t = build_sketch_table(spark, d)
+    exact = _positive(spark, d).groupBy("airline_code").agg(
+        F.count(F.lit(1)).alias("n"), F.array(*sk.exact_bucket_counts(F.col("x"), sk.SPLITS)).alias("counts"))
+    est = t.select("airline_code", sk.pmf_from_ranks(sk.ranks("sk_arrdelay", sk.SPLITS), len(sk.SPLITS)).alias("m"))
+    j = est.join(exact, "airline_code")
+    z = j.select("airline_code", "n", F.posexplode(F.arrays_zip("m", "counts")).alias("bucket", "z"))
+    exact_mass = F.col("z.counts") / F.col("n")
+    return z.select("airline_code", F.col("bucket").cast("int").alias("bucket"), exact_mass.alias("exact_mass"),
+                    (F.abs(F.col("z.m") - exact_mass) <= MASS_TOL).alias("within_bound"))
+
+
+@register("sketch_cdf", with_views(f"""
+, v AS (SELECT uniquecarrier AS airline_code, {_POS} AS x FROM flights WHERE arrdelay > 0),
+s AS (SELECT CAST(unnest([{", ".join(str(p) for p in sk.SPLITS)}]) AS DOUBLE) AS split)
+SELECT airline_code, split, count(*) FILTER (WHERE x <= split) / count(*) AS exact_rank, true AS within_bound
+FROM v CROSS JOIN s GROUP BY airline_code, split""", "flights"))
+def sketch_cdf(spark, d):
+    t = build_sketch_table(spark, d)
+    exact = _positive(spark, d).groupBy("airline_code").agg(
+        F.count(F.lit(1)).alias("n"), F.array(*sk.exact_rank_counts(F.col("x"), sk.SPLITS)).alias("le"))
+    est = t.select("airline_code", sk.ranks("sk_arrdelay", sk.SPLITS).alias("r"))
+    splits = F.array(*[F.lit(p) for p in sk.SPLITS])
+    j = est.join(exact, "airline_code").select("airline_code", "n", F.explode(
+        F.arrays_zip(splits.alias("split"), F.col("r"), F.col("le"))).alias("z"))
+    exact_rank = F.col("z.le") / F.col("n")
+    return j.select("airline_code", F.col("z.split").alias("split"), exact_rank.alias("exact_rank"),
+                    (F.abs(F.col("z.r") - exact_rank) <= RANK_TOL).alias("within_bound"))
+
+
+@register("sketch_deciles", with_views(
+    f"SELECT *, true AS deciles_within_bound, CAST(max_arrdelay + 1 AS DOUBLE) AS arrival_delay_100 FROM ({_MOMENTS_SQL})",
+    "flights"))
+def sketch_deciles(spark, d):
+    """Decile view: exact moments + the ten sketch quantiles, each checked by its exact rank."""
+    t = build_sketch_table(spark, d)
+    est = t.select("airline_code", "sum_flights", "sum_arrdelay", "min_arrdelay", "max_arrdelay",
+                   F.round("avg_arrdelay", 9).alias("avg_arrdelay"),
+                   sk.quantiles("sk_arrdelay", sk.DECILES).alias("q"))
+    # One row of ten estimates per airline joined to its rows: many-to-one, no expansion.
+    pos = _positive(spark, d).join(est.select("airline_code", "q"), "airline_code")
+    checks = pos.groupBy("airline_code").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count(F.when(F.col("x") <= F.col("q")[i], 1)).alias(f"le{i}") for i in range(len(sk.DECILES))],
+        *[F.count(F.when(F.col("x") < F.col("q")[i], 1)).alias(f"lt{i}") for i in range(len(sk.DECILES))],
+    )
+    ok = F.lit(True)
+    for i, q in enumerate(sk.DECILES):
+        ok = ok & (F.col(f"le{i}") / F.col("n") >= q - RANK_TOL) & (F.col(f"lt{i}") / F.col("n") <= q + RANK_TOL)
+    out = est.join(checks.select("airline_code", ok.alias("deciles_within_bound")), "airline_code")
+    return out.select("airline_code", "sum_flights", "sum_arrdelay", "min_arrdelay", "max_arrdelay", "avg_arrdelay",
+                      "deciles_within_bound", F.col("q")[len(sk.DECILES) - 1].alias("arrival_delay_100"))
+
+
+@register("sketch_meta", with_views(f"""
+SELECT uniquecarrier AS airline_code, {sk.DEFAULT_K} AS sketch_k, count(*) AS sketch_n
+FROM flights WHERE arrdelay > 0 GROUP BY uniquecarrier""", "flights"))
+def sketch_meta(spark, d):
+    t = build_sketch_table(spark, d)
+    return t.select("airline_code", F.col("sketch_k").cast("int").alias("sketch_k"),
+                    F.kll_sketch_get_n_double("sk_arrdelay").alias("sketch_n"))
+
+
+@register("distinct_exact_vs_hll", with_views("""
+SELECT count(DISTINCT CAST(concat(uniquecarrier, flightnum) AS VARCHAR)) AS exact_distinct,
+       true AS hll_within_bound, true AS union_within_bound FROM flights""", "flights"))
+def distinct_exact_vs_hll(spark, d):
+    """One HLL sketch stored as a table; the union of per-airline sketches must give the same answer."""
+    flight = F.concat(F.col("uniquecarrier").cast("string"), F.col("flightnum").cast("string"))
+    f = flights(spark, d).select("uniquecarrier", flight.alias("flight"))
+    path = scratch_path(spark, "flights-hll")
+    f.agg(sk.distinct_sketch(F.col("flight")).alias("flightnum_sk")).write.mode("overwrite").parquet(path)
+    whole = spark.read.parquet(path).select(F.hll_sketch_estimate("flightnum_sk").alias("est"))
+    per = f.groupBy("uniquecarrier").agg(sk.distinct_sketch(F.col("flight")).alias("s"))
+    union = per.agg(F.hll_sketch_estimate(F.hll_union_agg("s")).alias("union_est"))
+    exact = f.agg(F.countDistinct("flight").alias("exact_distinct"))
+    rel = lambda c: F.abs(F.col(c) - F.col("exact_distinct")) / F.col("exact_distinct")
+    return exact.crossJoin(whole).crossJoin(union).select(  # three one-row frames
+        "exact_distinct", (rel("est") <= HLL_TOL).alias("hll_within_bound"),
+        (rel("union_est") <= HLL_TOL).alias("union_within_bound"))
+
+
+def frequent_flights(spark: SparkSession, d: str, k: int = 10) -> DataFrame:
+    """Frequent-items sketch per ``cancelled`` group, top k estimates, exact counts from a second pass.
+
+    Candidates are at most k per group, so the second pass joins a bounded
+    broadcast side back to the fact.
+    """
+    flight = F.concat(F.col("uniquecarrier").cast("string"), F.col("flightnum").cast("string"))
+    f = flights(spark, d).select("cancelled", flight.alias("flight"))
+    path = scratch_path(spark, "flights-frq-sketch")
+    f.groupBy("cancelled").agg(sk.frequent_items_sketch(F.col("flight")).alias("sk_flightnum")).write.mode(
+        "overwrite").parquet(path)
+    cand = spark.read.parquet(path).select("cancelled", F.explode(sk.frequent_items("sk_flightnum", k)).alias("c"))
+    cand = cand.select("cancelled", F.col("c.item").alias("item"), F.col("c.count").alias("estimate"))
+    exact = f.join(F.broadcast(cand.select("cancelled", F.col("item").alias("flight"))), ["cancelled", "flight"]) \
+        .groupBy("cancelled", F.col("flight").alias("item")).agg(F.count(F.lit(1)).alias("exact_count"))
+    return cand.join(exact, ["cancelled", "item"], "left").select(
+        "cancelled", "item", "estimate", F.coalesce("exact_count", F.lit(0)).alias("exact_count"))
+
+
+@register("frequent_items")  # approximate item choice under ties: rows-only check, brute force in tests
+def frequent_items(spark, d):
+    return frequent_flights(spark, d)
+
+
+@register("validate_frequent_item", with_views("""
+, top AS (SELECT uniquecarrier, flightnum FROM flights WHERE cancelled = 1 GROUP BY uniquecarrier, flightnum
+          ORDER BY count(*) DESC, concat(uniquecarrier, flightnum) LIMIT 1)
+SELECT concat(f.uniquecarrier, f.flightnum) AS flight, count(1) AS num_cancelled
+FROM flights f JOIN top t ON f.uniquecarrier = t.uniquecarrier AND f.flightnum = t.flightnum
+WHERE f.cancelled = 1 GROUP BY concat(f.uniquecarrier, f.flightnum)""", "flights"))
+def validate_frequent_item(spark, d):
+    """Exact count for the most-cancelled flight (the item a frequent-items sketch should report)."""
+    f = flights(spark, d)
+    flight = F.concat(F.col("uniquecarrier").cast("string"), F.col("flightnum").cast("string"))
+    cancelled = f.where(F.col("cancelled") == 1)
+    top = top_k(cancelled.groupBy("uniquecarrier", "flightnum").agg(F.count(F.lit(1)).alias("n"),
+                                                                     F.first(flight).alias("flight")),
+                1, F.desc("n"), F.asc("flight")).select("uniquecarrier", "flightnum")
+    hit = cancelled.join(F.broadcast(top), ["uniquecarrier", "flightnum"])  # one-row side
+    return hit.groupBy(flight.alias("flight")).agg(F.count(F.lit(1)).alias("num_cancelled"))
