@@ -1 +1,54 @@
-"""(filled in below)"""
+"""Source queries: delimited text written by Spark from the given tables, then scanned back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from contrail.plans.registry import register
+from contrail.session import scratch_path
+from contrail.sources import delimited as dl
+from contrail.sources.tables import flights, table, with_views
+
+# Part rows become a plain-text "planes" file: large sizes get a quoted name, tiny sizes a quoted
+# name with an embedded comma -- both are read literally by the no-quote scan.
+_NAME_TEXT_SQL = ("CASE WHEN p_size > 45 THEN '\"' || p_name || '\"' "
+                  "WHEN p_size < 3 THEN '\"' || p_name || ', deluxe\"' ELSE p_name END")
+
+
+def _name_text():
+    q = F.lit('"')
+    return (F.when(F.col("p_size") > 45, F.concat(q, "p_name", q))
+            .when(F.col("p_size") < 3, F.concat(q, "p_name", F.lit(", deluxe"), q)).otherwise(F.col("p_name")))
+
+
+@register("scan_csv_fixed", f"""
+WITH l AS (SELECT string_split(CAST(p_partkey AS VARCHAR) || ',' || {_NAME_TEXT_SQL} || ',' || p_brand || ','
+                  || CAST(p_size AS VARCHAR), ',') AS p FROM part)
+SELECT TRY_CAST(p[1] AS BIGINT) AS p_partkey, p[2] AS p_name, p[3] AS p_brand, TRY_CAST(p[4] AS INTEGER) AS p_size
+FROM l""")
+def scan_csv_fixed(spark, d):
+    part = table(spark, d, "part")
+    line = F.concat_ws(",", F.col("p_partkey").cast("string"), _name_text(), "p_brand", F.col("p_size").cast("string"))
+    path = scratch_path(spark, "planes-csv")
+    dl.write_raw_lines(part.select(line.alias("line")), "p_partkey,p_name,p_brand,p_size", path)
+    return dl.read_fixed(spark, path, "p_partkey long, p_name string, p_brand string, p_size int")
+
+
+_INFER_COLS = ["year", "month", "dayofmonth", "uniquecarrier", "flightnum", "tailnum", "depdelay", "cancellationcode"]
+_PIN = {"year": "int", "month": "int", "dayofmonth": "int", "uniquecarrier": "int", "flightnum": "int",
+        "tailnum": "bigint", "depdelay": "int", "cancellationcode": "string"}
+
+
+@register("scan_csv_inferred", with_views(f"SELECT {', '.join(_INFER_COLS)} FROM flights", "flights"))
+def scan_csv_inferred(spark, d):
+    path = scratch_path(spark, "flights-csv")
+    flights(spark, d).select(*_INFER_COLS).write.mode("overwrite").option("header", True).csv(path)
+    return dl.read_inferred(spark, path, _PIN)
+
+
+@register("scan_csv_dialect", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def scan_csv_dialect(spark, d):
+    path = scratch_path(spark, "customer-psv")
+    dl.write_dialect(table(spark, d, "customer"), path, sep="|", quote="'")
+    return dl.read_dialect(spark, path, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
+                                        "c_mktsegment string", sep="|", quote="'")
