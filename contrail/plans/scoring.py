@@ -1 +1,47 @@
-"""(filled in below)"""
+"""Scoring queries: delay and cancellation models trained and applied on the whole fact."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from contrail.operators import scoring as sc
+from contrail.plans.registry import register
+from contrail.sources.tables import flights, with_views
+
+_OUT = ["year", "month", "dayofmonth", "uniquecarrier", "flightnum", "tailnum", "origin", "dest", "week", "hour"]
+
+
+def _scored_delay(spark: SparkSession, d: str) -> DataFrame:
+    f = sc.with_features(flights(spark, d)).select(*_OUT, "depdelay", "distance")
+    model = sc.fit(f, F.coalesce(F.col("depdelay"), F.lit(0)) > 15)
+    return sc.score(model, f, F.col("flightnum") * 100003 + F.col("tailnum"))
+
+
+@register("score_delay")  # a trained model: rows-only check plus domain invariants in tests
+def score_delay(spark, d):
+    return _scored_delay(spark, d).select(*_OUT, "prediction", "proba", "prediction_delay")
+
+
+@register("score_cancelled")
+def score_cancelled(spark, d):
+    f = sc.with_features(flights(spark, d)).select(*_OUT, "cancelled")
+    model = sc.fit(f, F.col("cancelled") == 1)
+    return sc.score(model, f, F.col("flightnum"), with_delay=False).select(*_OUT, "prediction", "proba")
+
+
+@register("score_feature_split", with_views("""
+SELECT uniquecarrier, origin, dest, CAST(weekofyear(make_date(year, month, dayofmonth)) AS INTEGER) AS week,
+       CAST(deptime // 100 AS INTEGER) AS hour FROM flights""", "flights"))
+def score_feature_split(spark, d):
+    """Serving-format text ``"carrier,origin,dest,week,hour"`` split back into typed feature columns."""
+    f = sc.with_features(flights(spark, d))
+    return f.select(sc.feature_text(f).alias("t")).select(*sc.split_features("t"))
+
+
+@register("score_metrics")
+def score_metrics(spark, d):
+    """Monitoring metrics of a scoring run: volume, mean probability and predicted minutes per class."""
+    s = _scored_delay(spark, d)
+    return s.groupBy("prediction").agg(F.count(F.lit(1)).alias("n_scored"), F.avg("proba").alias("avg_proba"),
+                                       F.sum("prediction_delay").alias("predicted_delay_min"))
