@@ -41,7 +41,7 @@ def encrypt_distinct(df: DataFrame, col: str, key: str, out: str = "description_
 class Policy:
     """Per-role masking (column → 'hash' | 'null' | 'redact'), row filters, and denied tags."""
     masks: dict[str, dict[str, str]] = field(default_factory=dict)
-    row_filters: dict[str, Column] = field(default_factory=dict)
+    row_filters: dict[str, str] = field(default_factory=dict)   # role → SQL predicate
     denied_tags: dict[str, set[str]] = field(default_factory=dict)
 
 
@@ -62,7 +62,7 @@ def apply_masks(df: DataFrame, policy: Policy, role: str) -> DataFrame:
 
 def apply_row_filter(df: DataFrame, policy: Policy, role: str) -> DataFrame:
     cond = policy.row_filters.get(role)
-    return df.where(cond) if cond is not None else df
+    return df.where(F.expr(cond)) if cond is not None else df
 
 
 # --------------------------------------------------------------------------- tags

@@ -40,7 +40,9 @@ def write_partitioned(df: DataFrame, path: str, partition_by: list[str], files_p
     """
     if files_per_partition:
         salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
-        df = df.repartition(*partition_by, salt)
+        # an explicit count keeps adaptive execution from merging the writers back together
+        n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), files_per_partition)
+        df = df.repartition(n, *partition_by, salt)
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 

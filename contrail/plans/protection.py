@@ -25,7 +25,7 @@ def crypt_aes_column(spark, d):
 
 POLICY = pr.Policy(
     masks={"analyst": {"c_name": "hash", "c_acctbal": "null"}},
-    row_filters={"europe_analyst": F.col("r_name") == "EUROPE"},
+    row_filters={"europe_analyst": "r_name = 'EUROPE'"},
     denied_tags={"analyst": {"PII"}},
 )
 
