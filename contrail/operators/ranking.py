@@ -29,7 +29,7 @@ def ranked_string(df: DataFrame, group: list[str], rank_col: str, text: Column,
 def dense_sequence(df: DataFrame, order: list[str], id_col: str = "id") -> DataFrame:
     """Dense ids 1..N in ``order`` without a single-partition window.
 
-    1. range-partition + sort by the order key (parallel sort);
+    1. range-partition + sort by the order key and a row hash (parallel sort, hot keys split);
     2. checkpoint to the shared folder, so both passes below read the very same rows;
     3. count rows per partition (one row per partition), turn counts into offsets;
     4. id = offset of the partition + position inside it.
@@ -38,8 +38,11 @@ def dense_sequence(df: DataFrame, order: list[str], id_col: str = "id") -> DataF
     from contrail.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(spark)
+    # The hash of the whole row breaks ties, so rows sharing one order-key value
+    # (a hot key) still spread over several range partitions.
+    tie = F.xxhash64(*[F.col(c) for c in df.columns])
     keyed = (
-        df.orderBy(*order)
+        df.orderBy(*order, tie)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
         .checkpoint(eager=True)
