@@ -50,12 +50,34 @@ def size_bound(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[int,
 _DECISIONS: dict[tuple[str, int, int, int], bool] = {}
 
 
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of the optimised plan (no job); None when unavailable.
+
+    For file scans it is the on-disk size of the files read, which never
+    exceeds the decoded in-memory size, so an estimate above a limit proves
+    the side is too big without reading it.
+    """
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # not a classic JVM-backed DataFrame
+        return None
+
+
 def is_broadcastable(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """Proven-small check, remembered per application and plan (same plan, same files, same answer)."""
+    """Proven-small check, remembered per application and plan (same plan, same files, same answer).
+
+    Sides whose estimate already exceeds ``max_bytes`` are rejected without a
+    job; the others are measured by :func:`size_bound`, which then reads at
+    most about ``max_bytes`` of input.
+    """
     key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows, max_bytes)
     if key not in _DECISIONS:
-        rows, nbytes = size_bound(df, max_rows)
-        _DECISIONS[key] = rows <= max_rows and nbytes <= max_bytes
+        est = estimated_bytes(df)
+        if est is not None and est > max_bytes:
+            _DECISIONS[key] = False
+        else:
+            rows, nbytes = size_bound(df, max_rows)
+            _DECISIONS[key] = rows <= max_rows and nbytes <= max_bytes
     return _DECISIONS[key]
 
 

@@ -107,7 +107,10 @@ def flights(spark: SparkSession, sf_dir: str, materialize: bool | None = None) -
         from contrail.session import scratch_path
 
         path = scratch_path(spark, "flights-fact")
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # As many writers as the fact's input has splits (at least the shuffle width): each
+        # writer then holds about one input split's worth of rows.
+        n = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                table(spark, sf_dir, "lineitem").rdd.getNumPartitions())
         salt = F.pmod(F.xxhash64("tailnum", "flightnum", "deptime", "distance"), F.lit(1 << 20))
         (plan.withColumn("_salt", salt).repartitionByRange(n, "year", "month", "_salt").drop("_salt")
          .write.mode("overwrite").partitionBy("year", "month").parquet(path))
