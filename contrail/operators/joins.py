@@ -91,13 +91,16 @@ def dim_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
     return fact.join(dim, on, how)
 
 
-def scalar_cross(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach a one-row relation (e.g. a high-water mark) to every row.
+def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row relation (e.g. a high-water mark) to every row.
 
-    The right side is a global aggregate, so it has exactly one row by
-    construction: broadcasting it is safe at any scale.
+    Each column becomes a scalar subquery: Spark computes it once and uses
+    the value like a literal, so no join (and no cartesian product) is planned.
     """
-    return df.crossJoin(F.broadcast(one_row))
+    out = df
+    for c in one_row.columns:
+        out = out.withColumn(c, one_row.select(c).scalar())
+    return out
 
 
 def null_safe_not_equal(a: Column, b: Column) -> Column:

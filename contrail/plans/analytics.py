@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from contrail.functions.scalars import event_epoch, event_ts
 from contrail.operators import aggregates as agg
-from contrail.operators.joins import dim_join, scalar_cross
+from contrail.operators.joins import dim_join, is_broadcastable, with_scalars
 from contrail.operators.ranking import dense_sequence, ranked_string, surrogate_key, top_n_per_group
 from contrail.plans.registry import register
-from contrail.sources.tables import airlines, airports, flights, planes, table, with_views
+from contrail.sources.tables import airlines, airports, flights, planes, register_star_views, table, with_views
 
 # --------------------------------------------------------------------------- aggregates
 
@@ -164,8 +164,15 @@ SELECT uniquecarrier, cancellationcode, CAST(sum(cancelled) AS BIGINT) AS cancel
 WHERE cancelled = 1 AND cancellationcode IN ('F', 'O') GROUP BY uniquecarrier, cancellationcode""",
                                                  "flights", "planes", "airlines", extra={"model": _MODEL_SQL}))
 def dashboard_cancel_correlation(spark, d, prompt: tuple[str, ...] = PROMPT_CODES):
-    m = semantic_model(spark, d).filter((F.col("cancelled") == 1) & F.col("cancellationcode").isin(*prompt))
-    return m.groupBy("uniquecarrier", "cancellationcode").agg(F.sum("cancelled").alias("cancelled_count"))
+    """The dashboard's SQL with the reader's prompt values bound as a named parameter (never spliced into text)."""
+    register_star_views(spark, d, suffix="_v")
+    hints = [alias for alias, df in (("p", planes(spark, d)), ("a", airlines(spark, d))) if is_broadcastable(df)]
+    hint = f"/*+ BROADCAST({', '.join(hints)}) */ " if hints else ""
+    return spark.sql(f"""
+        SELECT {hint}f.uniquecarrier, f.cancellationcode, sum(f.cancelled) AS cancelled_count
+        FROM flights_v f JOIN planes_v p ON f.tailnum = p.tailnum JOIN airlines_v a ON f.uniquecarrier = a.code
+        WHERE f.cancelled = 1 AND array_contains(:prompt, f.cancellationcode)
+        GROUP BY f.uniquecarrier, f.cancellationcode""", args={"prompt": F.array(*[F.lit(v) for v in prompt])})
 
 
 @register("dashboard_route_traffic", with_views("""
@@ -406,7 +413,7 @@ FROM ev, hw WHERE ev.ts > coalesce(hw.max_ts, 0) GROUP BY year, month""", "fligh
 def join_scalar_watermark(spark, d):
     ev = flights(spark, d).select("year", "month", event_epoch("year", "month", "dayofmonth", "deptime").alias("ts"))
     hw = ev.filter(F.col("year") <= 2000).agg(F.max("ts").alias("max_ts"))
-    new = scalar_cross(ev, hw).filter(F.col("ts") > F.coalesce("max_ts", F.lit(0)))
+    new = with_scalars(ev, hw).filter(F.col("ts") > F.coalesce("max_ts", F.lit(0)))
     return new.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n_new"), F.min("ts").alias("from_ts"),
                                             F.max("ts").alias("to_ts"))
 

@@ -207,8 +207,8 @@ def qa_write_audit_publish(spark, d):
                                    qa.length_test(cand, "lang", 2, "documents_lang_len"),
                                    qa.pattern_test(cand, "text", '"', "documents_text_quotes", 0, 0)]),
         "documents")
-    n = published.read(spark).agg(F.count(F.lit(1)).alias("published_rows"))
-    return published.audit.crossJoin(F.broadcast(n))  # one-row side
+    n = published.read(spark).agg(F.count(F.lit(1)))
+    return published.audit.withColumn("published_rows", n.scalar())
 
 
 AS_OF = "2024-01-01 00:00:00"

@@ -47,6 +47,15 @@ def register_base_views(spark: SparkSession, sf_dir: str) -> None:
         table(spark, sf_dir, name).createOrReplaceTempView(name)
 
 
+def register_star_views(spark: SparkSession, sf_dir: str, suffix: str = "") -> list[str]:
+    """Temp views ``flights``, ``airlines``, ``airports``, ``planes`` (+ ``suffix``) so lab SQL runs as written."""
+    views = {"flights": flights(spark, sf_dir), "airlines": airlines(spark, sf_dir),
+             "airports": airports(spark, sf_dir), "planes": planes(spark, sf_dir)}
+    for name, df in views.items():
+        df.createOrReplaceTempView(name + suffix)
+    return [n + suffix for n in views]
+
+
 def airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     return s.select(F.col("s_suppkey").cast("int").alias("code"), F.col("s_name").alias("description"))

@@ -104,9 +104,12 @@ def make_batch_writer(paths: PipelinePaths, allowed_lateness_s: int | None = Non
         if allowed_lateness_s is None:
             new = typed.where(F.col("event_epoch") > F.lit(hw))            # strict rule: late rows are lost
         else:
-            new = typed.where(F.col("event_epoch") > F.lit(hw - allowed_lateness_s))
-            try:                                                          # drop rows already in the sink
-                seen = spark.read.parquet(paths.sink).where(F.col("batch_id") < batch_id).select("event_id")
+            floor = hw - allowed_lateness_s
+            new = typed.where(F.col("event_epoch") > F.lit(floor))
+            try:  # drop rows already in the sink; only rows inside the lateness window can repeat
+                seen = (spark.read.parquet(paths.sink)
+                        .where((F.col("batch_id") < batch_id) & (F.col("event_epoch") > F.lit(floor)))
+                        .select("event_id"))
                 new = new.join(seen, "event_id", "left_anti")
             except Exception:
                 pass
@@ -133,13 +136,22 @@ def make_batch_writer(paths: PipelinePaths, allowed_lateness_s: int | None = Non
 
 
 def run_micro_batches(spark: SparkSession, paths: PipelinePaths, files_per_trigger: int = 1,
-                      allowed_lateness_s: int | None = None, run_ts: str | None = None) -> None:
-    """Process everything currently landed, ``files_per_trigger`` files per micro-batch, then stop."""
+                      allowed_lateness_s: int | None = None, run_ts: str | None = None,
+                      every: str | None = None):
+    """Run the ingest pipeline, ``files_per_trigger`` files per micro-batch.
+
+    ``every=None`` processes everything landed so far and stops (a scheduled
+    job body); ``every="20 minutes"`` keeps the query running on a fixed
+    interval and returns the running query.
+    """
     stream = (spark.readStream.schema(LANDING_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
               .option("recursiveFileLookup", True).parquet(paths.landing))
-    q = (stream.writeStream.foreachBatch(make_batch_writer(paths, allowed_lateness_s, run_ts))
-         .option("checkpointLocation", paths.checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
+    w = (stream.writeStream.foreachBatch(make_batch_writer(paths, allowed_lateness_s, run_ts))
+         .option("checkpointLocation", paths.checkpoint))
+    if every:
+        return w.trigger(processingTime=every).start()
+    w.trigger(availableNow=True).start().awaitTermination()
+    return None
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
