@@ -61,6 +61,34 @@ def pattern_test(df: DataFrame, col: str, regex: str, name: str, warn_above: int
     return df.agg(*_result(name, F.count(F.when(hit, F.lit(1))), warn_above, error_above))
 
 
+@dataclass(frozen=True)
+class RowTest:
+    """A count-style test: rows matching ``failing`` (SQL predicate) are failures."""
+    name: str
+    failing: str
+    warn_above: int = 0
+    error_above: int = 0
+
+
+def length_rule(col: str, length: int, name: str, warn_above: int = 0, error_above: int = 0) -> RowTest:
+    return RowTest(name, f"length(`{col}`) != {length}", warn_above, error_above)
+
+
+def pattern_rule(col: str, regex: str, name: str, warn_above: int = 10, error_above: int = 1000) -> RowTest:
+    escaped = regex.replace("\\", "\\\\").replace("'", "\\'")
+    return RowTest(name, f"`{col}` rlike '{escaped}'", warn_above, error_above)
+
+
+def scan_tests(df: DataFrame, tests: list[RowTest]) -> DataFrame:
+    """Evaluate many count-style tests with ONE pass over ``df`` (one aggregate, one row per test)."""
+    counts = df.agg(*[F.count(F.when(F.expr(t.failing), F.lit(1))).alias(f"_t{i}") for i, t in enumerate(tests)])
+    rows = F.array(*[F.struct(F.lit(t.name).alias("test"), F.col(f"_t{i}").alias("failures"),
+                              (F.col(f"_t{i}") > F.lit(t.warn_above)).alias("should_warn"),
+                              (F.col(f"_t{i}") > F.lit(t.error_above)).alias("should_error"))
+                     for i, t in enumerate(tests)])
+    return counts.select(F.explode(rows).alias("r")).select("r.*")
+
+
 def run_tests(tests: Iterable[DataFrame]) -> DataFrame:
     tests = list(tests)
     out = tests[0]

@@ -22,19 +22,34 @@ def _unique_tests(spark, d) -> list[DataFrame]:
     ]
 
 
+def _doc_rules(with_lengths: bool = True, with_quotes: bool = True, quote_levels=(10, 1000)) -> list[qa.RowTest]:
+    rules = []
+    if with_lengths:
+        rules += [qa.length_rule("source", 4, "documents_source_len"), qa.length_rule("lang", 2, "documents_lang_len")]
+    if with_quotes:
+        rules.append(qa.pattern_rule("text", '"', "documents_text_quotes", *quote_levels))
+    return rules
+
+
 def _length_tests(spark, d, docs: DataFrame | None = None) -> list[DataFrame]:
     docs = docs if docs is not None else table(spark, d, "documents")
-    return [
-        qa.length_test(docs, "source", 4, "documents_source_len"),
-        qa.length_test(docs, "lang", 2, "documents_lang_len"),
-    ]
+    return [qa.scan_tests(docs, _doc_rules(with_quotes=False))]
 
 
 def _quote_tests(spark, d, docs: DataFrame | None = None, with_pages: bool = True) -> list[DataFrame]:
     docs = docs if docs is not None else table(spark, d, "documents")
-    tests = [qa.pattern_test(docs, "text", '"', "documents_text_quotes", 10, 1000)]
+    tests = [qa.scan_tests(docs, _doc_rules(with_lengths=False))]
+    if with_pages:
+        tests.append(qa.scan_tests(table(spark, d, "pages"), [qa.pattern_rule("html", '"', "pages_html_quotes")]))
+    return tests
+
+
+def _doc_tests(spark, d, docs: DataFrame | None = None, with_pages: bool = True) -> list[DataFrame]:
+    """Length and quote tests on documents in one pass (+ pages in another)."""
+    docs = docs if docs is not None else table(spark, d, "documents")
+    tests = [qa.scan_tests(docs, _doc_rules())]
     if with_pages:
-        tests.append(qa.pattern_test(table(spark, d, "pages"), "html", '"', "pages_html_quotes", 10, 1000))
+        tests.append(qa.scan_tests(table(spark, d, "pages"), [qa.pattern_rule("html", '"', "pages_html_quotes")]))
     return tests
 
 
@@ -89,7 +104,7 @@ _STATUS = ("SELECT *, CASE WHEN should_error THEN 'error' WHEN should_warn THEN
     [_UNIQUE_SQL, _LENGTH_SQL.format(docs="documents"), _QUOTE_SQL.format(docs="documents")])))
 def qa_gate(spark, d):
     """Status of every test as the gate sees it; :func:`qa.gate` raises on the error rows."""
-    return qa.with_status(qa.run_tests(_unique_tests(spark, d) + _length_tests(spark, d) + _quote_tests(spark, d)))
+    return qa.with_status(qa.run_tests(_unique_tests(spark, d) + _doc_tests(spark, d)))
 
 
 CUSTOMER_COLUMN_CHECKS = {
@@ -181,10 +196,10 @@ FROM before b JOIN after a ON a.test = b.test""")
 def qa_branch_cleanse(spark, d):
     """Branch on the tests: cleanse when any failure is found, otherwise leave the table as it is."""
     docs = table(spark, d, "documents")
-    before = qa.run_tests(_length_tests(spark, d, docs) + _quote_tests(spark, d, docs, with_pages=False))
+    before = qa.run_tests(_doc_tests(spark, d, docs, with_pages=False))
     needs = qa.first_row_true(before.agg(F.max(F.col("failures") > 0)))
     target = cleansed_documents(spark, d) if needs else docs
-    after = qa.run_tests(_length_tests(spark, d, target) + _quote_tests(spark, d, target, with_pages=False))
+    after = qa.run_tests(_doc_tests(spark, d, target, with_pages=False))
     b = before.select("test", F.col("failures").alias("failures_before"))
     a = after.select("test", F.col("failures").alias("failures_after"))
     return b.join(a, "test").select("test", "failures_before", F.lit("cleansed" if needs else "skipped").alias(
@@ -203,9 +218,7 @@ def qa_write_audit_publish(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "source", "lang", "text")
     published = qa.write_audit_publish(
         spark, docs, lambda df: qa.cleanse(df, "text", '"', "source", 4),
-        lambda cand: qa.run_tests([qa.length_test(cand, "source", 4, "documents_source_len"),
-                                   qa.length_test(cand, "lang", 2, "documents_lang_len"),
-                                   qa.pattern_test(cand, "text", '"', "documents_text_quotes", 0, 0)]),
+        lambda cand: qa.scan_tests(cand, _doc_rules(quote_levels=(0, 0))),
         "documents")
     n = published.read(spark).agg(F.count(F.lit(1)))
     return published.audit.withColumn("published_rows", n.scalar())
@@ -237,6 +250,6 @@ FROM ({_LENGTH_SQL.format(docs="documents")} UNION ALL {_QUOTE_SQL.format(docs="
 def qa_metrics_log(spark, d):
     """Append one metrics row per check to an append-only log table, then read the log back."""
     log = scratch_path(spark, "qa-metrics-log")
-    results = qa.run_tests(_length_tests(spark, d) + _quote_tests(spark, d))
+    results = qa.run_tests(_doc_tests(spark, d))
     metrics_rows(results, "testdata").write.mode("append").parquet(log)
     return spark.read.parquet(log)
