@@ -220,21 +220,33 @@ def cleanse(df: DataFrame, strip_col: str, strip_regex: str, length_col: str, le
 class PublishedTable:
     location: str
     audit: DataFrame
+    refs: object  # tables.TableRefs
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.location)
 
 
 def write_audit_publish(spark: SparkSession, main: DataFrame, transform: Callable[[DataFrame], DataFrame],
-                        audits: Callable[[DataFrame], DataFrame], name: str) -> PublishedTable:
-    """Write the transformed table to a new branch folder, audit it there, publish by switching location.
-
-    The main table is never overwritten in place: readers keep the old
-    location until the audit passes; a failed audit raises and leaves main as it was.
+                        audits: Callable[[DataFrame], DataFrame], name: str,
+                        at: str = "2024-01-01 00:00:00") -> PublishedTable:
+    """Branch, edit, audit, publish, drop the branch — without ever rewriting ``main`` in place.
+
+    ``main`` is written once as the table's first location; the edited data
+    goes to a new branch location.  A failed audit raises and leaves ``main``
+    pointing where it was; a passed audit moves ``main`` to the branch's
+    location (one appended reference row) and drops the branch name.
     """
-    branch = scratch_path(spark, f"{name}-branch")
-    transform(main).write.mode("overwrite").parquet(branch)
-    candidate = spark.read.parquet(branch)
-    results = audits(candidate)
+    from contrail.operators.tables import TableRefs
+
+    refs = TableRefs(scratch_path(spark, f"{name}-refs"))
+    main_loc = scratch_path(spark, f"{name}-main")
+    main.write.mode("overwrite").parquet(main_loc)
+    refs.set(spark, "main", main_loc, at, op="create")
+    branch_loc = scratch_path(spark, f"{name}-branch")
+    transform(spark.read.parquet(refs.resolve(spark, "main"))).write.mode("overwrite").parquet(branch_loc)
+    refs.set(spark, "branch_qa", branch_loc, at, op="branch")
+    results = audits(spark.read.parquet(branch_loc))
     gate(results, log=lambda _m: None)
-    return PublishedTable(branch, with_status(results))
+    refs.set(spark, "main", branch_loc, at, op="publish")
+    refs.drop(spark, "branch_qa", at)
+    return PublishedTable(refs.resolve(spark, "main"), with_status(results), refs)

@@ -80,20 +80,32 @@ def delete_where(spark: SparkSession, path: str, partition_by: list[str], cond:
 
 
 def compact(spark: SparkSession, path: str, partition_by: list[str], where: Column | None = None,
-            target_rows_per_file: int = 5_000_000) -> None:
+            target_rows_per_file: int = 5_000_000, mode: str = "major", min_files: int = 2,
+            sort_by: list[str] | None = None) -> None:
     """Rewrite chosen partitions into few files sized by row count.
 
-    Each partition gets ceil(rows / target) writers, so a huge partition is
-    still written by many tasks while small ones collapse into one file.
+    ``mode="minor"`` only touches partitions holding at least ``min_files``
+    files (merging small files); ``mode="major"`` rewrites every chosen
+    partition, optionally clustered by ``sort_by``.  Each partition gets
+    ceil(rows / target) writers, so a huge partition is still written by many
+    tasks while small ones collapse into one file.
     """
     t = spark.read.parquet(path)
     src = t.where(where) if where is not None else t
+    if mode == "minor":
+        fragmented = (src.groupBy(*partition_by).agg(F.countDistinct("_metadata.file_path").alias("_f"))
+                      .where(F.col("_f") >= min_files).select(*partition_by))
+        src = src.join(F.broadcast(fragmented), partition_by, "left_semi")  # one row per partition
+    elif mode != "major":
+        raise ValueError(f"unknown compaction mode {mode}")
     sizes = src.groupBy(*partition_by).agg(
         F.ceil(F.count(F.lit(1)) / F.lit(target_rows_per_file)).cast("int").alias("_k"))
     # one row per partition: bounded broadcast
     keyed = src.join(F.broadcast(sizes), partition_by).withColumn(
         "_b", F.pmod(F.xxhash64(*t.columns), F.col("_k")))
     new = keyed.repartition(*partition_by, "_b").drop("_k", "_b")
+    if sort_by:
+        new = new.sortWithinPartitions(*partition_by, *sort_by)
     _rewrite_partitions(spark, path, partition_by, sizes.select(*partition_by), new)
 
 
@@ -104,6 +116,55 @@ def layout_profile(spark: SparkSession, path: str, partition_by: list[str]) -> D
                                         F.count(F.lit(1)).alias("rows"))
 
 
+# --------------------------------------------------------------------------- named references (branches)
+
+
+@dataclass
+class TableRefs:
+    """Named references (``main``, branches) to table locations, kept as an append-only log.
+
+    The current target of a reference is its latest log row; a drop appends a
+    tombstone.  Publishing a branch is one appended row, so readers switch
+    from the old location to the new one at once and the old files stay
+    readable for anyone still holding them.
+    """
+    root: str
+
+    def _log(self, spark: SparkSession) -> DataFrame | None:
+        try:
+            return spark.read.parquet(self.root)
+        except Exception:  # no reference yet
+            return None
+
+    def _append(self, spark: SparkSession, ref: str, location: str | None, op: str, at: str) -> None:
+        seq = 0
+        log = self._log(spark)
+        if log is not None:
+            seq = (log.agg(F.max("seq")).first()[0] or 0) + 1
+        spark.range(1).select(F.lit(seq).cast("long").alias("seq"), F.lit(ref).alias("ref"),
+                              F.lit(location).cast("string").alias("location"), F.lit(op).alias("op"),
+                              F.lit(at).cast("timestamp_ntz").alias("at")).coalesce(1).write.mode(
+            "append").parquet(self.root)
+
+    def set(self, spark: SparkSession, ref: str, location: str, at: str, op: str = "set") -> None:
+        self._append(spark, ref, location, op, at)
+
+    def drop(self, spark: SparkSession, ref: str, at: str) -> None:
+        self._append(spark, ref, None, "drop", at)
+
+    def listing(self, spark: SparkSession) -> DataFrame:
+        """Live references: (ref, location, op, at) of each reference's latest row, tombstones removed."""
+        log = self._log(spark)
+        latest = log.groupBy("ref").agg(F.max_by(F.struct("location", "op", "at"), F.col("seq")).alias("r"))
+        return latest.select("ref", "r.location", "r.op", "r.at").where(F.col("location").isNotNull())
+
+    def resolve(self, spark: SparkSession, ref: str) -> str:
+        row = self.listing(spark).where(F.col("ref") == ref).select("location").first()
+        if row is None:
+            raise KeyError(ref)
+        return row[0]
+
+
 # --------------------------------------------------------------------------- snapshots
 
 

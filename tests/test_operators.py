@@ -313,3 +313,27 @@ def test_stream_runs_on_an_interval(spark):
     finally:
         q.stop()
     assert spark.read.parquet(paths.sink).count() == table(spark, SF_SMALL, "events").count()
+
+
+def test_minor_compaction_skips_compact_partitions(spark):
+    df = spark.range(0, 2000).select((F.col("id") % 2 + 1999).alias("year"), "id")
+    path = scratch_path(spark, "t-minor")
+    tbl.write_partitioned(df.where("year = 1999"), path, ["year"], files_per_partition=5)
+    tbl.write_partitioned(df.where("year = 2000"), path, ["year"], files_per_partition=1, mode="append")
+    before = _files(spark, path)
+    assert before[1999] > 1 and before[2000] == 1
+    tbl.compact(spark, path, ["year"], mode="minor", min_files=2)
+    after = _files(spark, path)
+    assert after == {1999: 1, 2000: 1}
+    assert spark.read.parquet(path).count() == 2000
+
+
+def test_write_audit_publish_refs(spark):
+    docs = spark.createDataFrame([(1, 'a"b'), (2, "c")], "id long, text string")
+    ok = qa.write_audit_publish(spark, docs, lambda d: d.withColumn("text", F.regexp_replace("text", '"', "")),
+                                lambda c: qa.scan_tests(c, [qa.pattern_rule("text", '"', "quotes", 0, 0)]), "t-wap")
+    assert sorted(r.text for r in ok.read(spark).collect()) == ["ab", "c"]
+    assert [r.ref for r in ok.refs.listing(spark).collect()] == ["main"]   # branch dropped after publish
+    with pytest.raises(qa.DataQualityError):                               # audit fails: nothing published
+        qa.write_audit_publish(spark, docs, lambda d: d,
+                               lambda c: qa.scan_tests(c, [qa.pattern_rule("text", '"', "quotes", 0, 0)]), "t-wap2")
