@@ -337,3 +337,21 @@ def test_write_audit_publish_refs(spark):
     with pytest.raises(qa.DataQualityError):                               # audit fails: nothing published
         qa.write_audit_publish(spark, docs, lambda d: d,
                                lambda c: qa.scan_tests(c, [qa.pattern_rule("text", '"', "quotes", 0, 0)]), "t-wap2")
+
+
+def test_fact_reused_from_shared_dir(spark):
+    from contrail.sources import tables as st
+
+    shared = scratch_path(spark, "t-facts")
+    spark.conf.set("contrail.fact.dir", shared)
+    try:
+        st._FACTS.clear()
+        a = st.flights(spark, SF_SMALL)
+        st._FACTS.clear()            # a later application: nothing cached in memory
+        b = st.flights(spark, SF_SMALL)
+        assert sorted(a.inputFiles()) == sorted(b.inputFiles())
+        assert all(shared.split("/", 1)[-1] in f for f in b.inputFiles())
+        assert b.count() == st.flights(spark, SF_SMALL, materialize=False).count()
+    finally:
+        spark.conf.unset("contrail.fact.dir")
+        st._FACTS.clear()
