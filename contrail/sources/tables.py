@@ -105,7 +105,7 @@ def flights(spark: SparkSession, sf_dir: str, materialize: bool | None = None) -
     under the shared checkpoint folder.  ``contrail.flights.materialize=false``
     (or ``materialize=False``) returns the plain join plan instead.  With
     ``contrail.fact.dir`` set to a shared folder the table is built there once
-    and reused by later applications (a ``_SUCCESS`` marker means complete).
+    and reused by later applications (a completion marker is written last).
     """
     if materialize is None:
         materialize = spark.conf.get("contrail.flights.materialize", "true").lower() == "true"
@@ -134,16 +134,31 @@ def flights(spark: SparkSession, sf_dir: str, materialize: bool | None = None) -
         salt = F.pmod(F.xxhash64("tailnum", "flightnum", "deptime", "distance"), F.lit(1 << 20))
         (plan.withColumn("_salt", salt).repartitionByRange(n, "year", "month", "_salt").drop("_salt")
          .write.mode("overwrite").partitionBy("year", "month").parquet(path))
+        _mark_complete(spark, path)
         # One DataFrame per table: the file listing is done once and reused by every query.
         hit = (path, spark.read.schema(plan.schema).parquet(path).select(*FLIGHT_COLUMNS))
         _FACTS[key] = hit
     return hit[1]
 
 
-def _complete(spark: SparkSession, path: str) -> bool:
+_MARKER = "_CONTRAIL_COMPLETE"
+
+
+def _marker(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return bool(marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker))
+    p = jvm.org.apache.hadoop.fs.Path(f"{path}/{_MARKER}")
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _complete(spark: SparkSession, path: str) -> bool:
+    p, fs = _marker(spark, path)
+    return bool(fs.exists(p))
+
+
+def _mark_complete(spark: SparkSession, path: str) -> None:
+    """Written after the table's files are committed: readers trust the folder only with this marker."""
+    p, fs = _marker(spark, path)
+    fs.create(p, True).close()
 
 
 def flights_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
