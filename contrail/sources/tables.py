@@ -91,7 +91,7 @@ FLIGHT_COLUMNS = [
     "origin", "dest", "distance", "cancelled", "cancellationcode", "dayofweek", "arrtime", "taxiin", "taxiout",
     "airtime", "actualelapsedtime", "weatherdelay", "nasdelay", "securitydelay", "lateaircraftdelay",
 ]
-_FACTS: dict[tuple[str, str, int], tuple[str, object]] = {}
+_FACTS: dict[tuple[str, str, str], tuple[str, DataFrame]] = {}
 
 
 def flights(spark: SparkSession, sf_dir: str, materialize: bool | None = None) -> DataFrame:
@@ -109,12 +109,15 @@ def flights(spark: SparkSession, sf_dir: str, materialize: bool | None = None) -
     """
     if materialize is None:
         materialize = spark.conf.get("contrail.flights.materialize", "true").lower() == "true"
-    plan = flights_plan(spark, sf_dir)
     if not materialize:
-        return plan
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), plan.semanticHash())
+        return flights_plan(spark, sf_dir)
+    # Keyed by application and folder: the input tables are read-only while an application runs.
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), spark.conf.get("contrail.fact.dir", ""))
     hit = _FACTS.get(key)
+    if hit is not None and hit[1].sparkSession is not spark:
+        hit = None
     if hit is None:
+        plan = flights_plan(spark, sf_dir)
         from contrail.session import scratch_path
 
         fact_dir = spark.conf.get("contrail.fact.dir", None)
