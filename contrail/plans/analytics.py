@@ -285,15 +285,18 @@ SELECT CASE WHEN c_acctbal <= 4500 THEN 'tier1' ELSE 'tier2' END AS tier, count(
        round(sum(c_acctbal), 2) AS total_acctbal
 FROM customer GROUP BY 1""")
 def split_by_predicate(spark, d):
+    """Tiers by a predicate and its complement, both summarised from ONE scan of customer."""
     c = table(spark, d, "customer")
     pred = F.col("c_acctbal") <= 4500
-    low, high = c.filter(pred), c.filter(~pred)
+    tier = F.when(pred, F.lit("tier1")).when(~pred, F.lit("tier2"))  # NULL predicate: in neither tier
+    return c.groupBy(tier.alias("tier")).agg(F.count(F.lit(1)).alias("n_customers"),
+                                             F.round(F.sum("c_acctbal"), 2).alias("total_acctbal")).where(
+        F.col("tier").isNotNull())
 
-    def summary(df, tier):
-        return df.agg(F.lit(tier).alias("tier"), F.count(F.lit(1)).alias("n_customers"),
-                      F.round(F.sum("c_acctbal"), 2).alias("total_acctbal"))
 
-    return summary(low, "tier1").unionByName(summary(high, "tier2"))
+def split(df: DataFrame, pred) -> tuple[DataFrame, DataFrame]:
+    """(rows where ``pred`` holds, rows where it is false); rows with a NULL predicate go to neither."""
+    return df.where(pred), df.where(~pred)
 
 
 @register("join_chain_emp", """
