@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from contrail.operators import sketches as sk
 from contrail.operators.aggregates import top_k
+from contrail.operators.joins import dim_join
 from contrail.plans.registry import register
 from contrail.session import scratch_path
 from contrail.sources.tables import flights, with_views
@@ -112,7 +113,7 @@ def sketch_deciles(spark, d):
                    F.round("avg_arrdelay", 9).alias("avg_arrdelay"),
                    sk.quantiles("sk_arrdelay", sk.DECILES).alias("q"))
     # One row of ten estimates per airline joined to its rows: many-to-one, no expansion.
-    pos = _positive(spark, d).join(est.select("airline_code", "q"), "airline_code")
+    pos = dim_join(_positive(spark, d), est.select("airline_code", "q"), "airline_code")
     checks = pos.groupBy("airline_code").agg(
         F.count(F.lit(1)).alias("n"),
         *[F.count(F.when(F.col("x") <= F.col("q")[i], 1)).alias(f"le{i}") for i in range(len(sk.DECILES))],

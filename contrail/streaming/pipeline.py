@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -113,24 +113,24 @@ def make_batch_writer(paths: PipelinePaths, allowed_lateness_s: int | None = Non
                 new = new.join(seen, "event_id", "left_anti")
             except Exception:
                 pass
-        new = new.persist()                                              # staging for this batch only
-        try:
-            stats = new.agg(F.min("event_epoch").alias("from_ts"), F.max("event_epoch").alias("to_ts"),
-                            F.count(F.lit(1)).alias("row_count")).first()
-            if stats["row_count"] == 0:
-                return                                                    # nothing to log for an empty batch
-            (new.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(paths.sink))
-            offset = spark.range(1).select(
-                F.lit(batch_id).cast("long").alias("batch_id"),
-                (F.lit(run_ts).cast("timestamp") if run_ts else F.current_timestamp()).alias("run_ts"),
-                F.lit(stats["from_ts"]).cast("long").alias("from_ts"),
-                F.lit(stats["to_ts"]).cast("long").alias("to_ts"),
-                F.lit(stats["row_count"]).cast("long").alias("row_count"))
-            (offset.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(paths.offsets))
-        finally:
-            new.unpersist()
+        # One job: the sink write also computes the offset row's figures (an Observation),
+        # so the batch is neither cached nor read twice.  An empty batch writes no partition.
+        obs = Observation(f"batch_{batch_id}")
+        observed = new.observe(obs, F.min("event_epoch").alias("from_ts"), F.max("event_epoch").alias("to_ts"),
+                               F.count(F.lit(1)).alias("row_count"))
+        (observed.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(paths.sink))
+        stats = obs.get
+        if not stats or stats["row_count"] == 0:
+            return                                                        # nothing to log for an empty batch
+        offset = spark.range(1).select(
+            F.lit(batch_id).cast("long").alias("batch_id"),
+            (F.lit(run_ts).cast("timestamp") if run_ts else F.current_timestamp()).alias("run_ts"),
+            F.lit(stats["from_ts"]).cast("long").alias("from_ts"),
+            F.lit(stats["to_ts"]).cast("long").alias("to_ts"),
+            F.lit(stats["row_count"]).cast("long").alias("row_count"))
+        (offset.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(paths.offsets))
 
     return process
 
