@@ -14,9 +14,14 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings every job relies on: UTC wall clock, adaptive execution (runtime
-# broadcast conversion, partition coalescing and skew splitting).
+# broadcast conversion, partition coalescing and skew splitting).  No static
+# broadcast from plan *estimates*: a side is broadcast either after a proof of
+# its size (operators.joins.dim_join) or by adaptive execution from the
+# *measured* size of its shuffle output.
 CORE_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
