@@ -95,11 +95,17 @@ def _high_water(spark: SparkSession, offsets: str, batch_id: int) -> int:
 
 
 def make_batch_writer(paths: PipelinePaths, allowed_lateness_s: int | None = None, run_ts: str | None = None):
-    """The ``foreachBatch`` body (high-water filter, offset row, sweep to the sink)."""
+    """The ``foreachBatch`` body (high-water filter, offset row, sweep to the sink).
+
+    The high-water mark written by batch N is remembered for batch N+1 of the
+    same run; any other case (first batch, restart, replay) reads the offset log.
+    """
+    last: dict[int, int] = {}  # batch id -> high-water mark after that batch
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        hw = _high_water(spark, paths.offsets, batch_id)
+        hw = last[batch_id - 1] if (batch_id - 1) in last else _high_water(spark, paths.offsets, batch_id)
+        last.clear()
         typed = typed_events(batch).withColumn("event_epoch", F.unix_timestamp("event_ts"))
         if allowed_lateness_s is None:
             new = typed.where(F.col("event_epoch") > F.lit(hw))            # strict rule: late rows are lost
@@ -122,6 +128,7 @@ def make_batch_writer(paths: PipelinePaths, allowed_lateness_s: int | None = Non
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(paths.sink))
         stats = obs.get
         if not stats or stats["row_count"] == 0:
+            last[batch_id] = hw
             return                                                        # nothing to log for an empty batch
         offset = spark.range(1).select(
             F.lit(batch_id).cast("long").alias("batch_id"),
@@ -131,6 +138,7 @@ def make_batch_writer(paths: PipelinePaths, allowed_lateness_s: int | None = Non
             F.lit(stats["row_count"]).cast("long").alias("row_count"))
         (offset.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(paths.offsets))
+        last[batch_id] = max(hw, int(stats["to_ts"]))
 
     return process
 
