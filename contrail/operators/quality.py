@@ -50,17 +50,6 @@ def unique_test(df: DataFrame, cols: str | list[str], name: str, warn_above: int
     return dup_keys.agg(*_result(name, F.count(F.lit(1)), warn_above, error_above))
 
 
-def length_test(df: DataFrame, col: str, length: int, name: str, warn_above: int = 0, error_above: int = 0) -> DataFrame:
-    bad = F.length(col) != length
-    return df.agg(*_result(name, F.count(F.when(bad, F.lit(1))), warn_above, error_above))
-
-
-def pattern_test(df: DataFrame, col: str, regex: str, name: str, warn_above: int = 10,
-                 error_above: int = 1000) -> DataFrame:
-    hit = F.col(col).rlike(regex)
-    return df.agg(*_result(name, F.count(F.when(hit, F.lit(1))), warn_above, error_above))
-
-
 @dataclass(frozen=True)
 class RowTest:
     """A count-style test: rows matching ``failing`` (SQL predicate) are failures."""
@@ -89,6 +78,15 @@ def scan_tests(df: DataFrame, tests: list[RowTest]) -> DataFrame:
     return counts.select(F.explode(rows).alias("r")).select("r.*")
 
 
+def length_test(df: DataFrame, col: str, length: int, name: str, warn_above: int = 0, error_above: int = 0) -> DataFrame:
+    return scan_tests(df, [length_rule(col, length, name, warn_above, error_above)])
+
+
+def pattern_test(df: DataFrame, col: str, regex: str, name: str, warn_above: int = 10,
+                 error_above: int = 1000) -> DataFrame:
+    return scan_tests(df, [pattern_rule(col, regex, name, warn_above, error_above)])
+
+
 def run_tests(tests: Iterable[DataFrame]) -> DataFrame:
     tests = list(tests)
     out = tests[0]
