@@ -27,7 +27,7 @@ def scalar_null_case(spark, d):
 
 
 @register("scalar_strings", """
-SELECT c_custkey, concat('Update - ', upper(c_name)) AS new_name, length(c_name) AS name_len,
+SELECT c_custkey, concat('Update - ', upper(c_name)) AS new_name, CAST(length(c_name) AS INTEGER) AS name_len,
        regexp_replace(c_name, '#0*', '-', 'g') AS short_name, c_mktsegment || '/' || c_name AS tagged
 FROM customer""")
 def scalar_strings(spark, d):

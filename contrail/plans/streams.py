@@ -51,7 +51,7 @@ SELECT CAST(batch_id AS BIGINT) AS batch_id, from_ts, to_ts, row_count FROM offs
 def stream_micro_batch_offsets(spark, d):
     """Two landed drops → two micro-batches; the offset log holds one row per non-empty batch."""
     paths = _pipeline(spark, d)
-    return spark.read.parquet(paths.offsets).select("batch_id", "from_ts", "to_ts", "row_count")
+    return pl.read_offsets(spark, paths).select("batch_id", "from_ts", "to_ts", "row_count")
 
 
 @register("stream_reconcile_counts", f"""WITH {_LANDED_SQL}
@@ -62,8 +62,8 @@ FROM offsets WHERE row_count > 0""")
 def stream_reconcile_counts(spark, d):
     """Offset report with readable times, reconciled against the rows found in the sink per batch."""
     paths = _pipeline(spark, d)
-    offsets = spark.read.parquet(paths.offsets)
-    sink = spark.read.parquet(paths.sink).groupBy("batch_id").agg(F.count(F.lit(1)).alias("sink_rows"))
+    offsets = pl.read_offsets(spark, paths)
+    sink = pl.read_sink(spark, paths).groupBy("batch_id").agg(F.count(F.lit(1)).alias("sink_rows"))
     rep = offsets.join(sink, "batch_id", "left").select(
         "batch_id", F.from_unixtime("from_ts").alias("ingest_from"), F.from_unixtime("to_ts").alias("ingest_to"),
         F.col("row_count").alias("total_process"), F.coalesce("sink_rows", F.lit(0)).alias("sink_rows"))
@@ -71,15 +71,15 @@ def stream_reconcile_counts(spark, d):
 
 
 @register("stream_late_rows", f"""WITH {_LANDED_SQL}
-SELECT 'strict' AS policy, (SELECT sum(row_count) FROM offsets) AS kept_rows,
-       count(*) - (SELECT sum(row_count) FROM offsets) AS dropped_rows FROM events
+SELECT 'strict' AS policy, CAST((SELECT sum(row_count) FROM offsets) AS BIGINT) AS kept_rows,
+       CAST(count(*) - (SELECT sum(row_count) FROM offsets) AS BIGINT) AS dropped_rows FROM events
 UNION ALL SELECT 'allowed_lateness_3d', count(*), 0 FROM events""")
 def stream_late_rows(spark, d):
     """Strict high-water mark loses late rows; a three-day allowed lateness keeps them without duplicates."""
     landed = table(spark, d, "events").agg(F.count(F.lit(1))).scalar()
 
     def summary(paths: pl.PipelinePaths, policy: str) -> DataFrame:
-        kept = spark.read.parquet(paths.sink).agg(F.count(F.lit(1)).alias("kept_rows"))
+        kept = pl.read_sink(spark, paths).agg(F.count(F.lit(1)).alias("kept_rows"))
         return kept.select(F.lit(policy).alias("policy"), F.col("kept_rows").cast("long"),
                            (landed - F.col("kept_rows")).alias("dropped_rows"))
 

@@ -84,6 +84,15 @@ class PipelinePaths:
     checkpoint: str
 
 
+def read_offsets(spark: SparkSession, paths: PipelinePaths) -> DataFrame:
+    """The offset log; ``batch_id`` is a partition folder, so its type is pinned here, not inferred."""
+    return spark.read.parquet(paths.offsets).withColumn("batch_id", F.col("batch_id").cast("long"))
+
+
+def read_sink(spark: SparkSession, paths: PipelinePaths) -> DataFrame:
+    return spark.read.parquet(paths.sink).withColumn("batch_id", F.col("batch_id").cast("long"))
+
+
 def _high_water(spark: SparkSession, offsets: str, batch_id: int) -> int:
     """max(to_ts) over batches before ``batch_id`` (0 when none) — ignoring this batch's own earlier attempt."""
     try:
