@@ -70,11 +70,19 @@ SELECT CAST(sum(f.cancelled) AS BIGINT) AS num_flights_cancelled, CAST(sum(1) AS
 FROM flights f JOIN airlines a ON f.uniquecarrier = a.code
 GROUP BY a.code ORDER BY num_flights_cancelled DESC, airline_code LIMIT 100""", "flights", "airlines"))
 def join_cancel_report(spark, d):
-    f = flights(spark, d).select("uniquecarrier", "cancelled")
-    j = dim_join(f, airlines(spark, d), F.col("uniquecarrier") == F.col("code"))
+    """Cancelled and total flights per airline, top 100.
+
+    The fact is aggregated on the carrier key first (partial + final hash
+    aggregate), so the join and the string ``min`` see one row per carrier
+    instead of one per flight.  Same result as join-then-group: every flight
+    row of a carrier meets the same airline rows.
+    """
+    per_carrier = flights(spark, d).groupBy("uniquecarrier").agg(
+        F.sum("cancelled").alias("cancelled"), F.count(F.lit(1)).alias("flights"))
+    j = dim_join(per_carrier, airlines(spark, d), F.col("uniquecarrier") == F.col("code"))
     g = j.groupBy(F.col("code").alias("airline_code")).agg(
         F.sum("cancelled").alias("num_flights_cancelled"),
-        F.sum(F.lit(1)).alias("total_num_flights"),
+        F.sum("flights").alias("total_num_flights"),
         F.min("description").alias("airline_name"),
     )
     return agg.top_k(g, 100, F.desc("num_flights_cancelled"), F.asc("airline_code"))

@@ -222,8 +222,18 @@ def dml_delete(spark, d):
 
 
 def build_rollup(f: DataFrame, al: DataFrame) -> DataFrame:
-    j = dim_join(f, al, F.col("uniquecarrier") == F.col("code"))
-    return j.groupBy("code", F.col("description").alias("airline_name"), "month").agg(*rollup_measures())
+    """Rollup by airline code, name and month.
+
+    Measures are first aggregated on (carrier, month) over the fact, then
+    joined to the airlines and re-summed: the join handles one row per
+    carrier-month instead of one per flight, with the same result.
+    """
+    pre = f.groupBy("uniquecarrier", "month").agg(*rollup_measures())
+    j = dim_join(pre, al, F.col("uniquecarrier") == F.col("code"))
+    return j.groupBy("code", F.col("description").alias("airline_name"), "month").agg(
+        F.sum("flights_count").alias("flights_count"), F.sum("cancelled").alias("cancelled"),
+        F.sum("departure_delay_minutes").alias("departure_delay_minutes"),
+        F.sum("departure_delay_count").alias("departure_delay_count"))
 
 
 def refresh_rollup(rollup: DataFrame, delta: DataFrame) -> DataFrame:
