@@ -157,20 +157,28 @@ SELECT uniquecarrier, description AS airline_name, round(avg(coalesce(depdelay,
 FROM model GROUP BY uniquecarrier, description
 ORDER BY avg(coalesce(depdelay, 0)) DESC, uniquecarrier LIMIT 25""", "flights", "planes", "airlines",
                                               extra={"model": _MODEL_SQL}))
-def dashboard_avg_delay_top25(spark, d):
+def dashboard_avg_delay_top25(spark, d, max_dim_rows: int | None = None):
     """Top 25 airlines by average departure delay over the flights ⨝ planes ⨝ airlines model.
 
-    Flights are first reduced to (carrier, tail) sums and counts; the planes
-    join then only filters and weights those pairs (``mult`` = how many plane
-    rows a tail matches, 1 for a clean dimension), so the large fact is never
-    shuffled for the join.  The average is the same as over the joined rows.
+    Planes proven small: broadcast them into the fact scan (no shuffle of the
+    fact for the join).  Otherwise flights are first reduced to (carrier,
+    tail) sums and counts and only those meet the planes, weighted by how many
+    plane rows a tail matches (1 for a clean dimension), so the fact is never
+    shuffled row by row for the join.  Both paths give the same averages.
     """
-    pre = flights(spark, d).groupBy("uniquecarrier", "tailnum").agg(
-        F.sum(agg.nvl0("depdelay")).alias("s"), F.count(F.lit(1)).alias("n"))
-    mult = planes(spark, d).groupBy("tailnum").agg(F.count(F.lit(1)).alias("mult"))
-    j = dim_join(pre.join(mult, "tailnum"), airlines(spark, d), F.col("uniquecarrier") == F.col("code"))
-    g = j.groupBy("uniquecarrier", F.col("description").alias("airline_name")).agg(
-        (F.sum(F.col("s") * F.col("mult")) / F.sum(F.col("n") * F.col("mult"))).alias("avg_dep_delay"))
+    f, pl, al = flights(spark, d), planes(spark, d), airlines(spark, d)
+    limit = {"max_rows": max_dim_rows} if max_dim_rows is not None else {}
+    if is_broadcastable(pl.select("tailnum"), **limit):
+        j = dim_join(f.join(F.broadcast(pl.select("tailnum")), "tailnum"), al,
+                     F.col("uniquecarrier") == F.col("code"))
+        s, n = F.sum(agg.nvl0("depdelay")), F.count(F.lit(1))
+    else:
+        pre = f.groupBy("uniquecarrier", "tailnum").agg(
+            F.sum(agg.nvl0("depdelay")).alias("s"), F.count(F.lit(1)).alias("n"))
+        mult = pl.groupBy("tailnum").agg(F.count(F.lit(1)).alias("mult"))
+        j = dim_join(pre.join(mult, "tailnum"), al, F.col("uniquecarrier") == F.col("code"))
+        s, n = F.sum(F.col("s") * F.col("mult")), F.sum(F.col("n") * F.col("mult"))
+    g = j.groupBy("uniquecarrier", F.col("description").alias("airline_name")).agg((s / n).alias("avg_dep_delay"))
     return agg.top_k(g, 25, F.desc("avg_dep_delay"), F.asc("uniquecarrier")).withColumn(
         "avg_dep_delay", F.round("avg_dep_delay", 9))
 

@@ -356,3 +356,11 @@ def test_fact_reused_from_shared_dir(spark):
     finally:
         spark.conf.unset("contrail.fact.dir")
         st._FACTS.clear()
+
+
+def test_dashboard_paths_agree(spark):
+    from contrail.plans.analytics import dashboard_avg_delay_top25
+
+    broadcast_path = dashboard_avg_delay_top25(spark, SF_SMALL)
+    eager_path = dashboard_avg_delay_top25(spark, SF_SMALL, max_dim_rows=10)  # planes "too big": eager aggregation
+    assert [tuple(r) for r in broadcast_path.collect()] == [tuple(r) for r in eager_path.collect()]
