@@ -113,15 +113,14 @@ SELECT strftime(time_bucket(INTERVAL 15 MINUTE, ts), '%Y-%m-%d %H:%M:%S') AS win
        strftime(time_bucket(INTERVAL 15 MINUTE, ts) + INTERVAL 15 MINUTE, '%Y-%m-%d %H:%M:%S') AS window_end,
        count(*) AS count FROM events GROUP BY time_bucket(INTERVAL 15 MINUTE, ts)""")
 def stream_tumbling_15m(spark, d):
-    """Fifteen-minute tumbling counts maintained by a streaming aggregate (complete output)."""
+    """Fifteen-minute tumbling counts from a watermarked streaming aggregate (update mode)."""
     typed = pl.typed_events(pl.to_landing(pl.stream_events(spark, d)))
     counts = typed.withWatermark("event_ts", "2 hours").groupBy(F.window("event_ts", "15 minutes").alias("w")).agg(
         F.count(F.lit(1)).alias("count"))
-    path = scratch_path(spark, "tumbling")
-    pl.run_to_table(counts, path, scratch_path(spark, "ckpt-tumbling"), mode="complete")
-    return spark.read.parquet(path).select(
-        F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-        F.date_format("w.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"), "count")
+    result = pl.run_updating_aggregate(counts, ["w"], scratch_path(spark, "tumbling-updates"),
+                                       scratch_path(spark, "ckpt-tumbling"))
+    return result.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+                         F.date_format("w.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"), "count")
 
 
 @register("stream_enrich_score", """

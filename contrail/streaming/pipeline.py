@@ -152,6 +152,12 @@ def make_batch_writer(paths: PipelinePaths, allowed_lateness_s: int | None = Non
     return process
 
 
+def landing_stream(spark: SparkSession, landing: str, files_per_trigger: int = 1) -> DataFrame:
+    """All-string landing rows as a file stream, oldest files first, ``files_per_trigger`` per micro-batch."""
+    return (spark.readStream.schema(LANDING_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
+            .option("recursiveFileLookup", True).parquet(landing))
+
+
 def run_micro_batches(spark: SparkSession, paths: PipelinePaths, files_per_trigger: int = 1,
                       allowed_lateness_s: int | None = None, run_ts: str | None = None,
                       every: str | None = None):
@@ -161,8 +167,7 @@ def run_micro_batches(spark: SparkSession, paths: PipelinePaths, files_per_trigg
     job body); ``every="20 minutes"`` keeps the query running on a fixed
     interval and returns the running query.
     """
-    stream = (spark.readStream.schema(LANDING_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
-              .option("recursiveFileLookup", True).parquet(paths.landing))
+    stream = landing_stream(spark, paths.landing, files_per_trigger)
     w = (stream.writeStream.foreachBatch(make_batch_writer(paths, allowed_lateness_s, run_ts))
          .option("checkpointLocation", paths.checkpoint))
     if every:
@@ -192,3 +197,29 @@ def run_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append"
         w = df.writeStream.outputMode(mode).format("parquet").option("path", path)
     q = w.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
+
+
+def run_updating_aggregate(agg: DataFrame, keys: list[str], path: str, checkpoint: str) -> DataFrame:
+    """Run a watermarked streaming aggregate in update mode; return its current result.
+
+    Each micro-batch appends the rows it changed to partition ``batch_id`` of
+    an update log (overwritten on replay, so retries are idempotent).  The
+    watermark lets Spark drop state of closed windows, so state stays bounded
+    however long the stream runs.  The result is the latest version of every
+    key: an aggregate (``max_by`` on ``batch_id``) over the update log.
+    """
+    def append(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+
+    q = (agg.writeStream.outputMode("update").foreachBatch(append).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    log = spark_read_typed(agg.sparkSession, path)
+    values = [c for c in log.columns if c not in keys and c != "batch_id"]
+    latest = log.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col("batch_id")).alias("v"))
+    return latest.select(*keys, "v.*")
+
+
+def spark_read_typed(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("long"))
