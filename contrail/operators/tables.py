@@ -46,37 +46,60 @@ def write_partitioned(df: DataFrame, path: str, partition_by: list[str], files_p
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
-def _rewrite_partitions(spark: SparkSession, path: str, partition_by: list[str], touched: DataFrame,
-                        new_rows: DataFrame) -> None:
-    """Replace the partitions listed in ``touched`` by ``new_rows`` (which may leave some empty)."""
+def _partition_filter(parts: list[dict], partition_by: list[str]) -> Column:
+    """Literal predicate selecting exactly the listed partitions (becomes a scan PartitionFilter)."""
+    if len(partition_by) == 1:
+        c = partition_by[0]
+        return F.col(c).isin([p[c] for p in parts])
+    cond = F.lit(False)
+    for p in parts:
+        one = F.lit(True)
+        for c in partition_by:
+            one = one & (F.col(c) == F.lit(p[c]))
+        cond = cond | one
+    return cond
+
+
+def _touched(t: DataFrame, cond: Column, partition_by: list[str]) -> list[dict]:
+    """Partition values holding at least one row that matches ``cond`` (one row per partition)."""
+    return [r.asDict() for r in t.where(cond).select(*partition_by).distinct().collect()]
+
+
+def _rewrite_partitions(spark: SparkSession, path: str, partition_by: list[str], parts: list[dict],
+                        new_rows: DataFrame, may_empty: bool = False) -> None:
+    """Replace the listed partitions by ``new_rows``; with ``may_empty``, remove those left without rows."""
     ensure_checkpoint_dir(spark)
-    parts = [r.asDict() for r in touched.collect()]  # one row per touched partition (metadata-sized)
-    frozen = new_rows.checkpoint(eager=True)
-    remaining = {tuple(r[c] for c in partition_by) for r in frozen.select(*partition_by).distinct().collect()}
+    frozen = new_rows.checkpoint(eager=True)  # the job no longer reads the files it is about to replace
     frozen.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
-    for p in parts:
-        if tuple(p[c] for c in partition_by) not in remaining:
-            _fs_delete(spark, _partition_dir(path, p))
+    if may_empty:
+        remaining = {tuple(r[c] for c in partition_by) for r in frozen.select(*partition_by).distinct().collect()}
+        for p in parts:
+            if tuple(p[c] for c in partition_by) not in remaining:
+                _fs_delete(spark, _partition_dir(path, p))
 
 
 def update_where(spark: SparkSession, path: str, partition_by: list[str], cond: Column,
                  assignments: dict[str, Column]) -> None:
-    """``UPDATE t SET col = expr, ... WHERE cond`` touching only partitions with a matching row."""
+    """``UPDATE t SET col = expr, ... WHERE cond``, reading and rewriting only partitions with a match."""
     t = spark.read.parquet(path)
-    touched = t.where(cond).select(*partition_by).distinct()
-    src = t.join(F.broadcast(touched), partition_by, "left_semi")  # one row per partition: bounded
+    parts = _touched(t, cond, partition_by)
+    if not parts:
+        return
+    src = t.where(_partition_filter(parts, partition_by))  # static partition pruning
     hit = F.coalesce(cond, F.lit(False))
     new = src.select(*[F.when(hit, assignments[c]).otherwise(F.col(c)).alias(c) if c in assignments else F.col(c)
                        for c in t.columns])
-    _rewrite_partitions(spark, path, partition_by, touched, new)
+    _rewrite_partitions(spark, path, partition_by, parts, new)
 
 
 def delete_where(spark: SparkSession, path: str, partition_by: list[str], cond: Column) -> None:
     """``DELETE FROM t WHERE cond``: rows whose condition is NULL are kept, like SQL."""
     t = spark.read.parquet(path)
-    touched = t.where(cond).select(*partition_by).distinct()
-    src = t.join(F.broadcast(touched), partition_by, "left_semi")
-    _rewrite_partitions(spark, path, partition_by, touched, src.where(~F.coalesce(cond, F.lit(False))))
+    parts = _touched(t, cond, partition_by)
+    if not parts:
+        return
+    src = t.where(_partition_filter(parts, partition_by))
+    _rewrite_partitions(spark, path, partition_by, parts, src.where(~F.coalesce(cond, F.lit(False))), may_empty=True)
 
 
 def compact(spark: SparkSession, path: str, partition_by: list[str], where: Column | None = None,
@@ -106,7 +129,7 @@ def compact(spark: SparkSession, path: str, partition_by: list[str], where: Colu
     new = keyed.repartition(*partition_by, "_b").drop("_k", "_b")
     if sort_by:
         new = new.sortWithinPartitions(*partition_by, *sort_by)
-    _rewrite_partitions(spark, path, partition_by, sizes.select(*partition_by), new)
+    _rewrite_partitions(spark, path, partition_by, [r.asDict() for r in sizes.select(*partition_by).collect()], new)
 
 
 def layout_profile(spark: SparkSession, path: str, partition_by: list[str]) -> DataFrame:

@@ -384,3 +384,20 @@ def test_watermark_drops_rows_later_than_it(spark):
     out = pl.run_updating_aggregate(counts, ["w"], f"{root}/updates", f"{root}/_ck")
     assert stale.count() > 0
     assert out.agg(F.sum("count")).first()[0] == events.count()   # stale copies dropped, nothing lost
+
+
+def test_update_rewrites_only_touched_partitions(spark):
+    df = spark.range(0, 300).select((F.col("id") % 3 + 1999).alias("year"), F.col("id"), (F.col("id") % 5).alias("v"))
+    path = scratch_path(spark, "t-touch")
+    tbl.write_partitioned(df, path, ["year"])
+
+    def files(year):
+        return sorted(f for f in spark.read.parquet(path).inputFiles() if f"year={year}" in f)
+
+    before = {y: files(y) for y in (1999, 2000, 2001)}
+    tbl.update_where(spark, path, ["year"], (F.col("year") == 2000) & (F.col("v") == 0), {"v": F.lit(42)})
+    assert files(1999) == before[1999] and files(2001) == before[2001]   # untouched partitions: same files
+    assert files(2000) != before[2000]
+    t = spark.read.parquet(path)
+    assert t.where("v = 42").count() == df.where("year = 2000 AND v = 0").count()
+    assert t.count() == 300
