@@ -206,10 +206,31 @@ def dashboard_cancel_correlation(spark, d, prompt: tuple[str, ...] = PROMPT_CODE
 SELECT concat(origin, '-', dest) AS route, count(*) AS flights_count,
        CAST(sum(distance) AS BIGINT) AS total_distance, count(DISTINCT uniquecarrier) AS carriers
 FROM model GROUP BY concat(origin, '-', dest)""", "flights", "planes", "airlines", extra={"model": _MODEL_SQL}))
-def dashboard_route_traffic(spark, d):
-    m = semantic_model(spark, d).withColumn("route", F.concat_ws("-", "origin", "dest"))
-    return m.groupBy("route").agg(F.count(F.lit(1)).alias("flights_count"), F.sum("distance").alias("total_distance"),
-                                  F.countDistinct("uniquecarrier").alias("carriers"))
+def dashboard_route_traffic(spark, d, max_dim_rows: int | None = None):
+    """Flights, distance and carriers per route over the flights ⨝ planes ⨝ airlines model.
+
+    Dimensions proven small are broadcast into the fact scan.  Otherwise the
+    fact is reduced to (route, carrier, tail) first and each group is weighted
+    by how many plane and airline rows it matches, so the fact is not shuffled
+    row by row for the joins; both paths give the same result.
+    """
+    f, pl, al = flights(spark, d), planes(spark, d), airlines(spark, d)
+    limit = {"max_rows": max_dim_rows} if max_dim_rows is not None else {}
+    route = F.concat_ws("-", "origin", "dest").alias("route")
+    if is_broadcastable(pl.select("tailnum", "model", "engine_type"), **limit) and is_broadcastable(al, **limit):
+        m = semantic_model(spark, d)
+        return m.groupBy(route).agg(F.count(F.lit(1)).alias("flights_count"),
+                                    F.sum("distance").alias("total_distance"),
+                                    F.countDistinct("uniquecarrier").alias("carriers"))
+    pre = f.groupBy("origin", "dest", "uniquecarrier", "tailnum").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("distance").alias("dist"))
+    pm = pl.groupBy("tailnum").agg(F.count(F.lit(1)).alias("pm"))
+    am = al.groupBy("code").agg(F.count(F.lit(1)).alias("am"))
+    j = pre.join(pm, "tailnum").join(am, F.col("uniquecarrier") == F.col("code"))
+    w = F.col("pm") * F.col("am")
+    return j.groupBy(route).agg(F.sum(F.col("n") * w).alias("flights_count"),
+                                F.sum(F.col("dist") * w).alias("total_distance"),
+                                F.countDistinct("uniquecarrier").alias("carriers"))
 
 
 @register("mv_projection_join", with_views("""

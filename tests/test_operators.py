@@ -401,3 +401,11 @@ def test_update_rewrites_only_touched_partitions(spark):
     t = spark.read.parquet(path)
     assert t.where("v = 42").count() == df.where("year = 2000 AND v = 0").count()
     assert t.count() == 300
+
+
+def test_route_traffic_paths_agree(spark):
+    from contrail.plans.analytics import dashboard_route_traffic
+
+    a = sorted(map(tuple, dashboard_route_traffic(spark, SF_SMALL).collect()))
+    b = sorted(map(tuple, dashboard_route_traffic(spark, SF_SMALL, max_dim_rows=10).collect()))
+    assert a == b and len(a) > 0
