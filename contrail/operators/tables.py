@@ -65,6 +65,19 @@ def _touched(t: DataFrame, cond: Column, partition_by: list[str]) -> list[dict]:
     return [r.asDict() for r in t.where(cond).select(*partition_by).distinct().collect()]
 
 
+def write_range_partitioned(df: DataFrame, path: str, partition_by: list[str], salt_cols: list[str],
+                            writers: int) -> None:
+    """Partitioned write with ``writers`` range-partitioned tasks on (partition columns, row hash).
+
+    Each task holds a narrow band of partition values, so files per partition
+    stay few; the hash of ``salt_cols`` splits one hot partition value over
+    several tasks instead of sending it all to one.
+    """
+    salt = F.pmod(F.xxhash64(*salt_cols), F.lit(1 << 20))
+    (df.withColumn("_salt", salt).repartitionByRange(writers, *partition_by, "_salt").drop("_salt")
+     .write.mode("overwrite").partitionBy(*partition_by).parquet(path))
+
+
 def _rewrite_partitions(spark: SparkSession, path: str, partition_by: list[str], parts: list[dict],
                         new_rows: DataFrame, may_empty: bool = False) -> None:
     """Replace the listed partitions by ``new_rows``; with ``may_empty``, remove those left without rows."""

@@ -134,9 +134,9 @@ def flights(spark: SparkSession, sf_dir: str, materialize: bool | None = None) -
         # writer then holds about one input split's worth of rows.
         n = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                 table(spark, sf_dir, "lineitem").rdd.getNumPartitions())
-        salt = F.pmod(F.xxhash64("tailnum", "flightnum", "deptime", "distance"), F.lit(1 << 20))
-        (plan.withColumn("_salt", salt).repartitionByRange(n, "year", "month", "_salt").drop("_salt")
-         .write.mode("overwrite").partitionBy("year", "month").parquet(path))
+        from contrail.operators.tables import write_range_partitioned
+
+        write_range_partitioned(plan, path, ["year", "month"], ["tailnum", "flightnum", "deptime", "distance"], n)
         _mark_complete(spark, path)
         # One DataFrame per table: the file listing is done once and reused by every query.
         hit = (path, spark.read.schema(plan.schema).parquet(path).select(*FLIGHT_COLUMNS))

@@ -409,3 +409,14 @@ def test_route_traffic_paths_agree(spark):
     a = sorted(map(tuple, dashboard_route_traffic(spark, SF_SMALL).collect()))
     b = sorted(map(tuple, dashboard_route_traffic(spark, SF_SMALL, max_dim_rows=10).collect()))
     assert a == b and len(a) > 0
+
+
+def test_range_partitioned_write_splits_a_hot_partition(spark):
+    # month 1 holds 60 % of the rows: it must be written by several tasks, not one
+    df = spark.range(0, 20000).select(
+        F.when(F.col("id") % 10 < 6, 1).otherwise(F.col("id") % 10).cast("int").alias("month"), "id")
+    path = scratch_path(spark, "t-range")
+    tbl.write_range_partitioned(df, path, ["month"], ["id"], writers=8)
+    files = [f for f in spark.read.parquet(path).inputFiles() if "month=1/" in f]
+    assert len(files) >= 3
+    assert spark.read.parquet(path).count() == 20000
