@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.llm.common import table
+from contrail.llm.decontaminate import digest_of, find_contamination
 from contrail.llm.exact_dedup import exact_groups
 from contrail.llm.mixture import mix
+from contrail.llm.simhash import simhash_components
+from contrail.llm.token_records import records_round_trip
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -22,6 +25,52 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+@query("op4_simhash")
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints of 3-word shingles and their components within 3 bits."""
+    out = simhash_components(table(spark, sf_dir, "documents"), shingle=3, distance=3)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+OP5_SQL = r"""
+WITH b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS g
+        FROM b, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS u(i) WHERE len(w) > 0),
+ks AS (SELECT DISTINCT k FROM win),
+d AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+gram AS (SELECT doc_id, k, i, array_to_string(w[i : i + k - 1], ' ') AS g FROM d, ks, unnest(range(1, len(w) - k + 2)) AS u(i)),
+occ AS (SELECT doc_id, i, gram.k, item_id FROM gram JOIN win ON gram.k = win.k AND gram.g = win.g),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM occ, unnest(range(i, i + k)) AS u(p) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+          FROM (SELECT DISTINCT doc_id, item_id FROM occ) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@query("op5_decontaminate", OP5_SQL)
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document that lie in a 10-word passage of the benchmark."""
+    out = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      digest_of(F.col("items")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op6_token_records")
+def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every document's token ids as framed records and read the files back."""
+    return records_round_trip(table(spark, sf_dir, "documents"), vocabulary(), end_id=2)
+
+
 OP7_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
