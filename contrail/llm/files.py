@@ -24,7 +24,7 @@ def locate(uri: str):
 def open_out(uri: str):
     fs, path = locate(uri)
     fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    return fs.open_output_stream(path)
+    return fs.open_output_stream(path, compression=None)  # not by the file ending
 
 
 def open_in(uri: str):

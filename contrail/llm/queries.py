@@ -11,6 +11,8 @@ from contrail.llm.exact_dedup import exact_groups
 from contrail.llm.mixture import mix
 from contrail.llm.simhash import simhash_components
 from contrail.llm.token_records import records_round_trip
+from contrail.llm.toxicity import toxicity_scores
+from contrail.llm.warc import archive_round_trip
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -25,6 +27,22 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+OP1_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b)::BIGINT AS n, sha1(b) AS h, max(page_id) OVER (PARTITION BY b) AS first FROM p)
+SELECT page_id, n AS payload_bytes, h AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id <> first THEN first END AS refers_to
+FROM d
+"""
+
+
+@query("op1_warc", OP1_SQL)
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write a WARC record per page, normalise the whole-stream archives and read them back."""
+    return archive_round_trip(table(spark, sf_dir, "pages"), least=1000).drop("url")
+
+
 @query("op4_simhash")
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints of 3-word shingles and their components within 3 bits."""
@@ -112,3 +130,9 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact groups of whole texts; the largest id of each stays."""
     return exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of whole texts from FTRL-proximal logistic regression."""
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=5)
