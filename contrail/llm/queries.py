@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from contrail.llm.common import table
 from contrail.llm.decontaminate import digest_of, find_contamination
 from contrail.llm.exact_dedup import exact_groups
+from contrail.llm.lang_id import languages
 from contrail.llm.mixture import mix
 from contrail.llm.simhash import simhash_components
 from contrail.llm.token_records import records_round_trip
@@ -43,6 +44,12 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages"), least=1000).drop("url")
 
 
+@query("op2_language")
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text by Kneser-Ney character models."""
+    return languages(table(spark, sf_dir, "documents"), folds=3, left_out=1)
+
+
 @query("op4_simhash")
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints of 3-word shingles and their components within 3 bits."""

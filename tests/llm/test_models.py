@@ -25,3 +25,62 @@ def test_toxicity_edge_cases(spark, make):
     assert {r.score for r in none} == {0.0}
     assert tox.toxicity_scores(df.limit(0), labels).collect() == []
     assert tox.acceptable(df, labels.limit(0)).columns == df.columns
+
+
+def test_kneser_ney_sums_to_one():
+    from collections import Counter
+
+    import numpy as np
+
+    from contrail.llm import lang_id as li
+
+    counts = Counter(g for w in ["abab", "abba", "baab", "abc", "ca", "a"] * 3 + ["bcb"] for g in li.grams_of(w))
+    models = li.Models({"x": dict(counts)})
+    assert len(models.probs[0][0]) == 4  # a, b, c and the end mark
+
+    def p(word):
+        return np.exp(models.word_scores([word])[0, 0])
+
+    # All words of up to two letters over the alphabet, plus the mass of longer ones, can't exceed one.
+    letters = "abc"
+    short = sum(p(w) for w in [""] + list(letters) + [a + b for a in letters for b in letters])
+    assert 0 < short < 1
+    probs, backs, unseen = li.kneser_ney(dict(counts), 5)
+
+    def char(ctx, ch):
+        ctx = ctx[-(li.ORDER - 1):]
+        if ctx + ch in probs[len(ctx)]:
+            return probs[len(ctx)][ctx + ch]
+        return char(ctx[1:], ch) + backs[len(ctx)].get(ctx, 0.0) if ctx else unseen
+
+    for ctx in (li.START, li.START + "a", "ab", "bab", "zz", "aab"):
+        total = sum(np.exp(char(ctx, ch)) for ch in ["a", "b", "c", li.END, "?"])
+        assert abs(total - 1) < 1e-9, (ctx, total)
+    w = "abcq"
+    full = li.START + w + li.END
+    want = sum(char(full[max(0, i - 3):i], full[i]) for i in range(1, len(full)))
+    assert abs(models.word_scores([w])[0, 0] - want) < 1e-4
+
+
+def test_language_holds_out(spark, docs):
+    from contrail.llm import lang_id as li
+
+    truth = {r.doc_id: (r.lang, r.text) for r in docs.select("doc_id", "lang", "text").collect()}
+    got = {r.doc_id: r for r in li.languages(docs).collect()}
+    assert len(got) == len(truth)
+    held = [i for i in got if py_remainder(i, 3) == 1]
+    assert all(got[i].held_out == (py_remainder(i, 3) == 1) and 0 <= got[i].score <= 1 for i in got)
+    right = sum(got[i].lang_pred == truth[i][0] for i in held) / len(held)
+    assert right > 0.97, right
+
+
+def test_language_edge_cases(spark, make):
+    from contrail.llm import lang_id as li
+
+    df = make([(1, None), (2, ""), (3, "123 ²½ ..."), (4, "abc " * 30000), (None, "x" * 300), (5, "abc"), (5, "abc"), (7, "xyz q")])
+    df = df.selectExpr("doc_id", "text", "case when text like 'x%' then 'zz' when doc_id = 2 then null else lang end lang", "source", "n", "h")
+    rows = sorted(((r.doc_id or 0), r.lang_pred, r.score > 0) for r in li.languages(df).collect())
+    assert [r[1] for r in rows if r[0] in (1, 2, 3)] == ["und"] * 3 and len(rows) == 8
+    assert all(r[1] in ("en", "zz") for r in rows if r[0] in (4, 5, 7))
+    assert {r.lang_pred for r in li.languages(df.selectExpr("doc_id", "text", "cast(null as string) lang")).collect()} == {"und"}
+    assert li.languages(df.limit(0)).collect() == []
