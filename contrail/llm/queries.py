@@ -10,6 +10,7 @@ from contrail.llm.decontaminate import digest_of, find_contamination
 from contrail.llm.exact_dedup import exact_groups
 from contrail.llm.lang_id import languages
 from contrail.llm.mixture import mix
+from contrail.llm.pitman_yor import score_texts
 from contrail.llm.simhash import simhash_components
 from contrail.llm.token_records import records_round_trip
 from contrail.llm.toxicity import toxicity_scores
@@ -139,6 +140,12 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+@query("op9_pitman_yor")
+def op9_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every whole text under a hierarchical Pitman-Yor word model."""
+    return score_texts(table(spark, sf_dir, "documents"), folds=7, left_out=2)
+
+
 @query("op10_toxicity")
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of whole texts from FTRL-proximal logistic regression."""
