@@ -3,9 +3,10 @@
 Documents are range-partitioned and sorted by id; each task encodes its part
 and writes one record file and one index file.
 
-Record: u64 length of the payload, u32 masked checksum of those 8 bytes, the
-payload (token ids, little-endian u32), u32 masked checksum of the payload.  A
-masked checksum is crc32 rotated right by 15 bits plus 0xA282EAD8, so that a
+File: the mark ``TOKREC`` and the width of an id (2 or 4 bytes, by the size of the
+vocabulary), then records.  Record: u64 length of the payload, u32 masked
+checksum of those 8 bytes, the payload (little-endian token ids of that width),
+u32 masked checksum of the payload.  A masked checksum is crc32 rotated right by 15 bits plus 0xA282EAD8, so that a
 checksum stored inside checksummed data does not look like one.
 Index entry (24 bytes): document id i64, byte offset of its record u64, number
 of ids u32, flag u32 (1: the id is null).  With it a reader can take records in
@@ -13,7 +14,9 @@ any order; ``read_at`` does so.
 
 A pre-token never crosses white space in the vocabularies used here, so equal
 words are encoded once per worker and looked up after that; the ids are those
-of encoding the whole text.
+of encoding the whole text.  Words of plain Latin letters need no normalising
+beyond lower case and go straight to the vocabulary's model, if the vocabulary
+is of that kind (lower case, byte-level, letters a pre-token of their own).
 
 Cases: null or empty text gives only the end id; rows with equal ids keep all
 their records, ordered by a hash of the text; null ids come first; no rows give
@@ -22,7 +25,9 @@ no files and an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
 
@@ -36,6 +41,12 @@ from contrail.llm.common import utf8, written
 from contrail.llm.files import attempt_name, open_in, open_out
 from contrail.session import scratch_path
 
+_MARK = b"TOKREC"
+_LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_LATIN_THEN_MARKS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\\[-`{-~]+)")
+# Byte-level vocabularies name printable bytes by themselves and the others by 256, 257, ... in order.
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_NAMED = dict(zip([b for b in range(256) if b not in _SHOWN], range(256, 512)))
 _LEN, _CRC, _ENTRY = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<qQII")
 _MANIFEST = "pid int, records string, index string, docs long, tokens long"
 _READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -52,12 +63,24 @@ def frame(ids: bytes) -> bytes:
     return b"".join((size, _CRC.pack(masked(size)), ids, _CRC.pack(masked(ids))))
 
 
+def file_mark(width: int) -> bytes:
+    return _MARK + width.to_bytes(2, "little")
+
+
+def width_of(f) -> int:
+    f.seek(0)
+    mark = f.read(8)
+    if mark[:6] != _MARK:
+        raise OSError("not a token record file")
+    return int.from_bytes(mark[6:], "little")
+
+
 def index_entry(doc_id: int | None, offset: int, n: int) -> bytes:
     return _ENTRY.pack(doc_id or 0, offset, n, doc_id is None)
 
 
 class WordEncoder:
-    """bytes of little-endian ids for a text, encoding each distinct word once."""
+    """Bytes of little-endian ids for a text, encoding each distinct word once."""
 
     _shared: dict[str, WordEncoder] = {}
 
@@ -66,7 +89,17 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.words: dict[bytes, bytes] = {}
+        self.latin = self._splits_at_letters()
+
+    def _splits_at_letters(self) -> bool:
+        """Lower case and byte-level, with runs of letters and runs of marks as pre-tokens."""
+        spec = json.loads(self.tokenizer.to_str())
+        kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        pre = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        return (kinds == ["NFC", "Replace", "Lowercase"] and [p["type"] for p in pre] == ["Split", "ByteLevel"] and not pre[1]["add_prefix_space"]
+                and pre[0]["pattern"].get("Regex", "").endswith("|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"))
 
     @classmethod
     def of(cls, path: str) -> WordEncoder:
@@ -74,15 +107,21 @@ class WordEncoder:
             cls._shared[path] = cls(path)
         return cls._shared[path]
 
-    def learn(self, missing: list[bytes]) -> None:
-        for i in range(0, len(missing), 2000):
-            part = missing[i : i + 2000]
-            got = self.tokenizer.encode([w.decode() for w in part], is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(got.ids, dtype="<u4")
-            ends = np.searchsorted(np.array(got.word_ids, dtype=np.int64), np.arange(len(part) + 1))
-            raw, ends = ids.tobytes(), (4 * ends).tolist()
+    def learn(self, missing: list[str]) -> None:
+        dtype, rest = f"<u{self.width}", []
+        for w in missing:
+            if self.latin and _LATIN.fullmatch(w):
+                named = w.lower().encode().decode("latin-1").translate(_NAMED)
+                self.words[w.encode()] = np.array([t.id for t in self.tokenizer.model.tokenize(named)], dtype).tobytes()
+            else:
+                rest.append(w)
+        for i in range(0, len(rest), 2000):
+            part = rest[i : i + 2000]
+            got = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
+            raw = np.array(got.ids, dtype).tobytes()
+            ends = (self.width * np.searchsorted(np.array(got.word_ids, dtype=np.int64), np.arange(len(part) + 1))).tolist()
             for w, a, b in zip(part, ends, ends[1:]):
-                self.words[w] = raw[a:b]
+                self.words[w.encode()] = raw[a:b]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if len(self.words) > CACHE_WORDS:
@@ -90,17 +129,19 @@ class WordEncoder:
         known, split = self.words, [t.split() for t in texts]
         missing = {w for s in split for w in s if w not in known}
         if missing:
-            # A closing mark after an ASCII letter is a pre-token of its own.
-            ends = {w: (w[:-1], w[-1:]) for w in missing if w[-1:] in b".,;:!?" and w[-2:-1].isalpha()}
-            self.learn(sorted({p for w in missing for p in ends.get(w, (w,)) if p not in known}))
-            for w, (head, mark) in ends.items():
-                known[w] = known[head] + known[mark]
+            parts = {w: [w.decode()] for w in missing}
+            if self.latin:  # letters and the marks behind them are pre-tokens of their own
+                parts |= {w: list(m.groups()) for w, (x,) in parts.items() if (m := _LATIN_THEN_MARKS.fullmatch(x))}
+            self.learn(sorted({p for ps in parts.values() for p in ps if p.encode() not in known}))
+            for w, ps in parts.items():
+                if len(ps) > 1:
+                    known[w] = b"".join([known[p.encode()] for p in ps])
         return [b"".join(map(known.__getitem__, s)) for s in split]
 
 
 def _writer(folder: str, vocabulary: str, end_id: int):
     def write(batches):
-        pid, encoder, end = TaskContext.get().partitionId(), None, end_id.to_bytes(4, "little")
+        pid, encoder, end = TaskContext.get().partitionId(), None, None
         rec = idx = None
         docs = tokens = offset = 0
         names = [attempt_name(folder, pid, ".rec"), attempt_name(folder, pid, ".idx")]
@@ -109,13 +150,15 @@ def _writer(folder: str, vocabulary: str, end_id: int):
                 part = batch.slice(at, 256)
                 if rec is None:
                     rec, idx, encoder = open_out(names[0]), open_out(names[1]), WordEncoder.of(vocabulary)
+                    end = end_id.to_bytes(encoder.width, "little")
+                    offset = rec.write(file_mark(encoder.width))
                 out, entries = [], []
                 for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(part.column("t").to_pylist())):
                     ids += end
                     out.append(frame(ids))
-                    entries.append(index_entry(doc_id, offset, len(ids) // 4))
+                    entries.append(index_entry(doc_id, offset, len(ids) // encoder.width))
                     offset += len(out[-1])
-                    tokens += len(ids) // 4
+                    tokens += len(ids) // encoder.width
                 rec.write(b"".join(out))
                 idx.write(b"".join(entries))
                 docs += len(entries)
@@ -141,7 +184,7 @@ def index_entries(uri: str) -> np.ndarray:
         return np.frombuffer(f.read(), dtype=np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("n", "<u4"), ("null", "<u4")]))
 
 
-def read_at(f, offset: int) -> np.ndarray:
+def read_at(f, offset: int, width: int) -> np.ndarray:
     """The ids of the record at a byte offset, checksums verified."""
     f.seek(offset)
     head = f.read(12)
@@ -151,7 +194,7 @@ def read_at(f, offset: int) -> np.ndarray:
     body = f.read(n + 4)
     if masked(body[:n]) != _CRC.unpack(body[n:])[0]:
         raise OSError("payload checksum does not match")
-    return np.frombuffer(body[:n], dtype="<u4")
+    return np.frombuffer(body[:n], dtype=f"<u{width}").astype("<u4")
 
 
 def _read_files(batches):
@@ -161,10 +204,11 @@ def _read_files(batches):
             entries = index_entries(row["index"])
             starts = row["base"] + np.concatenate([[0], np.cumsum(entries["n"].astype(np.int64))])
             with open_in(row["records"]) as f:
+                width = width_of(f)
                 for at in range(0, len(entries), 4096):
                     part, crcs, sizes = entries[at : at + 4096], [], []
                     for e in part:
-                        ids = read_at(f, int(e["offset"]))
+                        ids = read_at(f, int(e["offset"]), width)
                         crcs.append(zlib.crc32(ids))
                         sizes.append(len(ids))
                     yield pa.RecordBatch.from_arrays(
