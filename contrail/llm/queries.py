@@ -10,6 +10,7 @@ from contrail.llm.decontaminate import digest_of, find_contamination
 from contrail.llm.exact_dedup import exact_groups
 from contrail.llm.lang_id import languages
 from contrail.llm.mixture import mix
+from contrail.llm.passages import duplicate_passages
 from contrail.llm.pitman_yor import score_texts
 from contrail.llm.simhash import simhash_components
 from contrail.llm.token_records import records_round_trip
@@ -51,6 +52,12 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(table(spark, sf_dir, "documents"), folds=3, left_out=1)
 
 
+@query("op3_passages")
+def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of at least 50 words that repeat, at similarity 0.8 or more, across documents."""
+    return duplicate_passages(table(spark, sf_dir, "documents"))
+
+
 @query("op4_simhash")
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints of 3-word shingles and their components within 3 bits."""
