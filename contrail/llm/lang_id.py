@@ -30,10 +30,10 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import remainder
+from contrail.llm.common import remainder, written
 
 ORDER = 4
 MAX_GRAMS = 1_000_000
@@ -263,15 +263,27 @@ def _rising(right: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.concatenate([np.full(p[2], p[0] / p[1]) for p in pools])
 
 
+def _least_counts(levels) -> dict[str, int]:
+    """The lowest count of each language such that all its n-grams of that count or more fit in its share of MAX_GRAMS."""
+    share, out = MAX_GRAMS // max(1, levels["lang"].nunique()), {}
+    for lang, part in levels.groupby("lang"):
+        part = part.sort_values("n", ascending=False)
+        fits = part[part["grams"].cumsum() <= share]
+        out[lang] = int(fits["n"].min()) if len(fits) else int(part["n"].max())
+    return out
+
+
 def train(docs: DataFrame, folds: int = 3, left_out: int = 1) -> Models | None:
     """Models of the languages of the learnable rows of ``docs`` (crc32(doc_id) mod folds is not left_out)."""
     known = docs.select("doc_id", "text", "lang").filter("text is not null and lang is not null").filter(remainder(F.col("doc_id"), folds) != left_out)
     tenth = F.pmod(F.xxhash64("doc_id"), F.lit(10)) == 0
     counted = known.filter(~tenth).select("lang", "text").mapInArrow(_count, "lang string, gram string, n long")
-    sums = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    languages = max(1, known.agg(F.count_distinct("lang")).first()[0])
-    ranked = sums.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram")))
-    got = ranked.filter(F.col("r") <= MAX_GRAMS // languages).select("lang", "gram", "n").toPandas()
+    sums = written(counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
+    least = _least_counts(sums.groupBy("lang", "n").agg(F.count(F.lit(1)).alias("grams")).toPandas())
+    kept = F.lit(False)
+    for lang, n in least.items():
+        kept = kept | ((F.col("lang") == lang) & (F.col("n") >= n))
+    got = sums.filter(kept).toPandas()
     counts = {lang: dict(zip(part["gram"], part["n"])) for lang, part in got.groupby("lang")}
     if not counts:
         return None
