@@ -46,8 +46,11 @@ def parse_event_text(text: str | Column) -> Column:
 
 
 def kv_number(text: str | Column, key: str) -> Column:
-    """Numeric value after ``key=`` in ``{a=1, b=2}`` text; NULL when absent or not a number."""
-    return F.regexp_extract(_c(text), rf"(?:^|[{{ ,]){key}=(-?[0-9]+(?:\.[0-9]+)?)", 1).try_cast("double")
+    """Numeric value after ``key=`` in ``{a=1, b=2}`` text; NULL when absent or not a number.
+
+    The whole value up to the next separator is cast, so exponents (``1.5E-4``) count.
+    """
+    return F.regexp_extract(_c(text), rf"(?:^|[{{ ,]){key}=([^,}} ]*)", 1).try_cast("double")
 
 
 def kv_fixed_width(text: str | Column, key: str, width: int, strip: str = ",") -> Column:

@@ -8,6 +8,7 @@ merge never re-closes history (and the result is the same as running it once).
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -87,8 +88,29 @@ def change_feed(dim: DataFrame, stage: DataFrame, opts: Scd2Options = VARIANT_A)
     return j.select(F.explode(F.array(*changes)).alias("c")).where(F.col("c").isNotNull()).select("c.*")
 
 
+class DuplicateKeyError(ValueError):
+    """The staged snapshot names a key more than once."""
+
+
+def check_stage(stage: DataFrame, opts: Scd2Options) -> None:
+    twice = stage.groupBy(opts.key).count().where("count > 1").select(opts.key).limit(5).collect()
+    if twice:
+        raise DuplicateKeyError(f"stage holds several rows for {opts.key} {[r[0] for r in twice]}")
+
+
+def merge_into(dim: str, refs, stage: DataFrame, as_of: str, opts: Scd2Options = VARIANT_A) -> DataFrame:
+    """Merge ``stage`` into the table that reference ``dim`` names: write the new version, then move the reference."""
+    spark = stage.sparkSession
+    new = merge(spark.read.parquet(refs.resolve(spark, dim)), stage, as_of, opts)
+    path = f"{refs.root}-{dim}-{uuid.uuid4().hex[:12]}"
+    new.write.parquet(path)
+    refs.set(spark, dim, path, as_of, "merge")
+    return spark.read.schema(new.schema).parquet(path)
+
+
 def merge(dim: DataFrame, stage: DataFrame, as_of: str, opts: Scd2Options = VARIANT_A) -> DataFrame:
-    """New dimension table after applying ``stage`` at time ``as_of``."""
+    """New dimension table after applying ``stage`` at time ``as_of``; a stage that repeats a key is refused."""
+    check_stage(stage, opts)
     cols = _columns(opts)
     history = dim.where(~F.coalesce(_is_open(opts), F.lit(False))).select(*cols)
     cur = dim.where(_is_open(opts)).select(*cols).alias("d")

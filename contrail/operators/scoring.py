@@ -1,16 +1,18 @@
 """Delay / cancellation scoring as distributed Spark ML jobs.
 
 The per-record scoring of the labs becomes one ``PipelineModel.transform``
-over a DataFrame: features are indexed and one-hot encoded on the executors,
-the model is a broadcast-sized coefficient vector, and the output columns
-(prediction, proba, prediction_delay) are plain columns.
+over a DataFrame: features are hashed to a fixed width on the executors (no
+list of category values reaches the driver), the model is a coefficient vector
+of that width, and the output columns (prediction, proba, prediction_delay) are
+plain columns.  Both classes weigh the same in training, so the rarer one is
+predicted too.
 """
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +22,7 @@ from contrail.functions.scalars import stable_pick
 CATEGORICAL = ["uniquecarrier", "origin", "dest"]
 NUMERIC = ["week", "hour"]
 FEATURES = CATEGORICAL + NUMERIC
+WIDTH = 4096  # hashed features
 
 
 def with_features(flights: DataFrame) -> DataFrame:
@@ -41,15 +44,14 @@ def split_features(text: str | Column) -> list[Column]:
 
 
 def fit(train: DataFrame, label: Column, max_iter: int = 10) -> PipelineModel:
-    stages = [
-        StringIndexer(inputCols=CATEGORICAL, outputCols=[f"{c}_idx" for c in CATEGORICAL], handleInvalid="keep"),
-        OneHotEncoder(inputCols=[f"{c}_idx" for c in CATEGORICAL], outputCols=[f"{c}_vec" for c in CATEGORICAL],
-                      handleInvalid="keep"),
-        VectorAssembler(inputCols=[f"{c}_vec" for c in CATEGORICAL] + NUMERIC, outputCol="features",
-                        handleInvalid="keep"),
-        LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter, regParam=0.01),
-    ]
-    return Pipeline(stages=stages).fit(train.withColumn("label", label.cast("double")))
+    """All features count as categories.  Class weights are one over the class's share of the rows."""
+    labelled = train.withColumn("label", label.cast("double"))
+    n, late = labelled.agg(F.count(F.lit(1)), F.sum("label")).first()
+    late = late or 0.0
+    weight = F.when(F.col("label") == 1, F.lit(n / (2.0 * max(late, 1.0)))).otherwise(F.lit(n / (2.0 * max(n - late, 1.0))))
+    stages = [FeatureHasher(inputCols=FEATURES, categoricalCols=FEATURES, numFeatures=WIDTH, outputCol="features"),
+              LogisticRegression(featuresCol="features", labelCol="label", weightCol="class_weight", maxIter=max_iter, regParam=0.001)]
+    return Pipeline(stages=stages).fit(labelled.withColumn("class_weight", weight))
 
 
 def score(model: PipelineModel, df: DataFrame, key: str | Column, with_delay: bool = True) -> DataFrame:
@@ -62,5 +64,4 @@ def score(model: PipelineModel, df: DataFrame, key: str | Column, with_delay: bo
     if with_delay:
         out = out.withColumn("prediction_delay",
                              F.when(pred == 1, stable_pick(key, 50)).otherwise(F.lit(0)).cast("int"))
-    return out.drop("features", "rawPrediction", "probability", *[f"{c}_idx" for c in CATEGORICAL],
-                    *[f"{c}_vec" for c in CATEGORICAL])
+    return out.withColumn("proba_1", prob[1]).drop("features", "rawPrediction", "probability")

@@ -2,10 +2,11 @@
 
 No table format is assumed.  Conventions used here:
 
-* A *partitioned table* is a folder written with ``partitionBy``.  UPDATE,
-  DELETE and compaction rewrite only the partitions they touch: the new
-  content is checkpointed first (so the job no longer reads the files it is
-  about to replace) and then written with dynamic partition overwrite.
+* A :class:`VersionedTable` is a list of layers, each a folder written with
+  ``partitionBy`` and the partition values it no longer answers for.  UPDATE,
+  DELETE and compaction read only the partitions they touch, write their new rows
+  once into a new folder, and become visible with one appended log row, so a
+  lost job or a concurrent reader never sees half a rewrite.
 * A *snapshot table* keeps data under ``data/`` partitioned by ``snapshot_id``
   and a commit log under ``log/``.  A snapshot exists once its log row is
   written, so a job lost between the two writes leaves nothing visible.
@@ -13,56 +14,62 @@ No table format is assumed.  Conventions used here:
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from contrail.session import ensure_checkpoint_dir
+from contrail.session import read_or_none
 
 
-def _fs_delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def in_partitions(parts: list[tuple], partition_by: list[str], schema: T.StructType) -> Column:
+    """Null-safe literal predicate that selects exactly the listed partitions (becomes a scan PartitionFilter)."""
+    lit = lambda c, v: F.lit(v).cast(schema[c].dataType)
+    if len(partition_by) == 1:
+        c = partition_by[0]
+        known = F.coalesce(F.col(c).isin([lit(c, p[0]) for p in parts if p[0] is not None]), F.lit(False))
+        return known | F.col(c).isNull() if any(p[0] is None for p in parts) else known
+    each = [reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(lit(c, v)) for c, v in zip(partition_by, p)]) for p in parts]
+    return reduce(lambda x, y: x | y, each, F.lit(False))
+
 
+def write_exact(df: DataFrame, path: str, partition_by: list[str], files: Column, sort_by: list[str] | None = None) -> None:
+    """Partitioned write with a set number of files for each partition, whatever the session's shuffle width.
 
-def _partition_dir(root: str, values: dict) -> str:
-    return root.rstrip("/") + "/" + "/".join(f"{k}={v}" for k, v in values.items())
+    ``files`` is an aggregate over a partition's rows.  Each (partition, file) pair gets a writer task of
+    its own, to which its rows are sent by number.
+    """
+    spark = df.sparkSession
+    sizes = df.groupBy(*partition_by).agg(files.cast("int").alias("_k")).collect()  # one row per partition
+    rows, base = [], 0
+    for r in sorted(sizes, key=str):
+        rows.append((*[r[c] for c in partition_by], base, r["_k"]))
+        base += r["_k"]
+    fields = [df.schema[c] for c in partition_by] + [T.StructField("_base", T.IntegerType()), T.StructField("_files", T.IntegerType())]
+    fields = [T.StructField(f"_p{i}" if i < len(partition_by) else f.name, f.dataType) for i, f in enumerate(fields)]
+    plan = F.broadcast(spark.createDataFrame(rows, T.StructType(fields)))
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_p{i}")) for i, c in enumerate(partition_by)])
+    writer = F.col("_base") + F.pmod(F.xxhash64(*df.columns), F.col("_files")).cast("int")
+    dealt = df.join(plan, same).withColumn("_w", writer).repartitionById(max(1, base), "_w").select(*df.columns)
+    if sort_by:
+        dealt = dealt.sortWithinPartitions(*partition_by, *sort_by)
+    dealt.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, partition_by: list[str], files_per_partition: int | None = None,
-                      mode: str = "overwrite") -> None:
+def write_partitioned(df: DataFrame, path: str, partition_by: list[str], files_per_partition: int | None = None) -> None:
     """Write ``df`` partitioned by ``partition_by``.
 
     ``files_per_partition=None`` lets each task write its share (fast, more
     files); an integer routes each partition's rows to that many writers.
     """
     if files_per_partition:
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
-        # an explicit count keeps adaptive execution from merging the writers back together
-        n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), files_per_partition)
-        df = df.repartition(n, *partition_by, salt)
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
-
-
-def _partition_filter(parts: list[dict], partition_by: list[str]) -> Column:
-    """Literal predicate selecting exactly the listed partitions (becomes a scan PartitionFilter)."""
-    if len(partition_by) == 1:
-        c = partition_by[0]
-        return F.col(c).isin([p[c] for p in parts])
-    cond = F.lit(False)
-    for p in parts:
-        one = F.lit(True)
-        for c in partition_by:
-            one = one & (F.col(c) == F.lit(p[c]))
-        cond = cond | one
-    return cond
-
-
-def _touched(t: DataFrame, cond: Column, partition_by: list[str]) -> list[dict]:
-    """Partition values holding at least one row that matches ``cond`` (one row per partition)."""
-    return [r.asDict() for r in t.where(cond).select(*partition_by).distinct().collect()]
+        write_exact(df, path, partition_by, F.lit(files_per_partition))
+    else:
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
 def write_range_partitioned(df: DataFrame, path: str, partition_by: list[str], salt_cols: list[str],
@@ -78,75 +85,112 @@ def write_range_partitioned(df: DataFrame, path: str, partition_by: list[str], s
      .write.mode("overwrite").partitionBy(*partition_by).parquet(path))
 
 
-def _rewrite_partitions(spark: SparkSession, path: str, partition_by: list[str], parts: list[dict],
-                        new_rows: DataFrame, may_empty: bool = False) -> None:
-    """Replace the listed partitions by ``new_rows``; with ``may_empty``, remove those left without rows."""
-    ensure_checkpoint_dir(spark)
-    frozen = new_rows.checkpoint(eager=True)  # the job no longer reads the files it is about to replace
-    frozen.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
-    if may_empty:
-        remaining = {tuple(r[c] for c in partition_by) for r in frozen.select(*partition_by).distinct().collect()}
-        for p in parts:
-            if tuple(p[c] for c in partition_by) not in remaining:
-                _fs_delete(spark, _partition_dir(path, p))
-
-
-def update_where(spark: SparkSession, path: str, partition_by: list[str], cond: Column,
-                 assignments: dict[str, Column]) -> None:
-    """``UPDATE t SET col = expr, ... WHERE cond``, reading and rewriting only partitions with a match."""
-    t = spark.read.parquet(path)
-    parts = _touched(t, cond, partition_by)
-    if not parts:
-        return
-    src = t.where(_partition_filter(parts, partition_by))  # static partition pruning
-    hit = F.coalesce(cond, F.lit(False))
-    new = src.select(*[F.when(hit, assignments[c]).otherwise(F.col(c)).alias(c) if c in assignments else F.col(c)
-                       for c in t.columns])
-    _rewrite_partitions(spark, path, partition_by, parts, new)
-
-
-def delete_where(spark: SparkSession, path: str, partition_by: list[str], cond: Column) -> None:
-    """``DELETE FROM t WHERE cond``: rows whose condition is NULL are kept, like SQL."""
-    t = spark.read.parquet(path)
-    parts = _touched(t, cond, partition_by)
-    if not parts:
-        return
-    src = t.where(_partition_filter(parts, partition_by))
-    _rewrite_partitions(spark, path, partition_by, parts, src.where(~F.coalesce(cond, F.lit(False))), may_empty=True)
-
-
-def compact(spark: SparkSession, path: str, partition_by: list[str], where: Column | None = None,
-            target_rows_per_file: int = 5_000_000, mode: str = "major", min_files: int = 2,
-            sort_by: list[str] | None = None) -> None:
-    """Rewrite chosen partitions into few files sized by row count.
-
-    ``mode="minor"`` only touches partitions holding at least ``min_files``
-    files (merging small files); ``mode="major"`` rewrites every chosen
-    partition, optionally clustered by ``sort_by``.  Each partition gets
-    ceil(rows / target) writers, so a huge partition is still written by many
-    tasks while small ones collapse into one file.
-    """
-    t = spark.read.parquet(path)
-    src = t.where(where) if where is not None else t
-    if mode == "minor":
-        fragmented = (src.groupBy(*partition_by).agg(F.countDistinct("_metadata.file_path").alias("_f"))
-                      .where(F.col("_f") >= min_files).select(*partition_by))
-        src = src.join(F.broadcast(fragmented), partition_by, "left_semi")  # one row per partition
-    elif mode != "major":
-        raise ValueError(f"unknown compaction mode {mode}")
-    sizes = src.groupBy(*partition_by).agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(target_rows_per_file)).cast("int").alias("_k"))
-    # one row per partition: bounded broadcast
-    keyed = src.join(F.broadcast(sizes), partition_by).withColumn(
-        "_b", F.pmod(F.xxhash64(*t.columns), F.col("_k")))
-    new = keyed.repartition(*partition_by, "_b").drop("_k", "_b")
-    if sort_by:
-        new = new.sortWithinPartitions(*partition_by, *sort_by)
-    _rewrite_partitions(spark, path, partition_by, [r.asDict() for r in sizes.select(*partition_by).collect()], new)
+@dataclass
+class VersionedTable:
+    root: str
+    partition_by: list[str]
+
+    @classmethod
+    def create(cls, spark: SparkSession, df: DataFrame, root: str, partition_by: list[str],
+               files_per_partition: int | None = None) -> VersionedTable:
+        t = cls(root, partition_by)
+        path = t._folder()
+        write_partitioned(df, path, partition_by, files_per_partition)
+        # Spark reads partition columns back behind the others.
+        fields = [f for f in df.schema.fields if f.name not in partition_by] + [df.schema[c] for c in partition_by]
+        t._commit(spark, [{"path": path, "without": []}], T.StructType(fields), "create")
+        return t
+
+    def _folder(self) -> str:
+        return f"{self.root}/data/{uuid.uuid4().hex[:12]}"
+
+    def _commit(self, spark: SparkSession, layers: list[dict], schema: T.StructType, op: str) -> None:
+        log = read_or_none(spark, f"{self.root}/log")
+        seq = 0 if log is None else log.agg(F.max("seq")).first()[0] + 1
+        spark.range(1).select(F.lit(seq).cast("long").alias("seq"), F.lit(json.dumps(layers)).alias("layers"),
+                              F.lit(schema.json()).alias("schema"), F.lit(op).alias("op")).coalesce(1).write.mode("append").parquet(f"{self.root}/log")
+
+    def _state(self, spark: SparkSession, version: int | None = None) -> tuple[list[dict], T.StructType]:
+        log = spark.read.parquet(f"{self.root}/log")
+        log = log if version is None else log.where(F.col("seq") <= version)
+        row = log.orderBy(F.desc("seq")).select("layers", "schema").first()
+        return json.loads(row["layers"]), T.StructType.fromJson(json.loads(row["schema"]))
+
+    def _frames(self, spark: SparkSession, version: int | None = None) -> tuple[list[DataFrame], T.StructType]:
+        layers, schema = self._state(spark, version)
+        out = []
+        for x in layers:
+            df = spark.read.schema(schema).parquet(x["path"])
+            out.append(df.where(~in_partitions([tuple(p) for p in x["without"]], self.partition_by, schema)) if x["without"] else df)
+        return out, schema
+
+    def read(self, spark: SparkSession, version: int | None = None) -> DataFrame:
+        """The rows of the latest (or an earlier) version."""
+        frames, _ = self._frames(spark, version)
+        return reduce(DataFrame.unionByName, frames)
+
+    def _replace(self, spark: SparkSession, parts: list[tuple], write, op: str) -> None:
+        """Rows written by ``write(path)`` stand for the listed partitions from now on."""
+        layers, schema = self._state(spark)
+        path = self._folder()
+        write(path)
+        gone = [[None if v is None else str(v) for v in p] for p in parts]
+        kept = [{"path": x["path"], "without": x["without"] + [g for g in gone if g not in x["without"]]} for x in layers]
+        self._commit(spark, [*kept, {"path": path, "without": []}], schema, op)
+
+    def _touched(self, t: DataFrame, cond: Column) -> list[tuple]:
+        """Partition values holding at least one row that matches ``cond`` (one row per partition)."""
+        return [tuple(r) for r in t.where(cond).select(*self.partition_by).distinct().collect()]
+
+    def update(self, spark: SparkSession, cond: Column, assignments: dict[str, Column]) -> None:
+        """``UPDATE t SET col = expr, ... WHERE cond``, also of partition columns; reads only partitions with a match."""
+        t = self.read(spark)
+        parts = self._touched(t, cond)
+        if not parts:
+            return
+        src, hit = t.where(in_partitions(parts, self.partition_by, t.schema)), F.coalesce(cond, F.lit(False))
+        new = src.select(*[F.when(hit, assignments[c].cast(t.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c in assignments else F.col(c)
+                           for c in t.columns])
+        self._replace(spark, parts, lambda path: write_partitioned(new, path, self.partition_by), "update")
+
+    def delete(self, spark: SparkSession, cond: Column) -> None:
+        """``DELETE FROM t WHERE cond``: rows whose condition is NULL are kept, like SQL."""
+        t = self.read(spark)
+        parts = self._touched(t, cond)
+        if not parts:
+            return
+        left = t.where(in_partitions(parts, self.partition_by, t.schema)).where(~F.coalesce(cond, F.lit(False)))
+        self._replace(spark, parts, lambda path: write_partitioned(left, path, self.partition_by), "delete")
+
+    def layout(self, spark: SparkSession) -> DataFrame:
+        """(partition columns..., files, rows) from the file-source metadata column."""
+        frames, _ = self._frames(spark)
+        each = [f.select(*self.partition_by, F.col("_metadata.file_path").alias("_f")) for f in frames]
+        return reduce(DataFrame.unionByName, each).groupBy(*self.partition_by).agg(
+            F.countDistinct("_f").alias("files"), F.count(F.lit(1)).alias("rows"))
+
+    def compact(self, spark: SparkSession, where: Column | None = None, target_rows_per_file: int = 5_000_000,
+                mode: str = "major", min_files: int = 2, sort_by: list[str] | None = None) -> None:
+        """Rewrite chosen partitions into ceil(rows / target) files each.
+
+        ``mode="minor"`` only touches partitions holding at least ``min_files``
+        files (merging small files); ``mode="major"`` rewrites every chosen
+        partition, optionally clustered by ``sort_by``.
+        """
+        if mode not in ("minor", "major"):
+            raise ValueError(f"unknown compaction mode {mode}")
+        layout = self.layout(spark) if where is None else self.layout(spark).where(where)
+        parts = [tuple(r[c] for c in self.partition_by) for r in layout.collect() if mode == "major" or r["files"] >= min_files]
+        if not parts:
+            return
+        t = self.read(spark)
+        src = t.where(in_partitions(parts, self.partition_by, t.schema))
+        files = F.ceil(F.count(F.lit(1)) / F.lit(target_rows_per_file))
+        self._replace(spark, parts, lambda path: write_exact(src, path, self.partition_by, files, sort_by), "compact")
 
 
 def layout_profile(spark: SparkSession, path: str, partition_by: list[str]) -> DataFrame:
-    """(partition columns..., files, rows) from the file-source metadata column."""
+    """(partition columns..., files, rows) of one folder from the file-source metadata column."""
     t = spark.read.parquet(path)
     return t.groupBy(*partition_by).agg(F.countDistinct("_metadata.file_path").alias("files"),
                                         F.count(F.lit(1)).alias("rows"))
@@ -167,10 +211,7 @@ class TableRefs:
     root: str
 
     def _log(self, spark: SparkSession) -> DataFrame | None:
-        try:
-            return spark.read.parquet(self.root)
-        except Exception:  # no reference yet
-            return None
+        return read_or_none(spark, self.root)
 
     def _append(self, spark: SparkSession, ref: str, location: str | None, op: str, at: str) -> None:
         seq = 0
@@ -217,20 +258,16 @@ class SnapshotTable:
         return f"{self.root}/log"
 
     def _log(self, spark: SparkSession) -> DataFrame | None:
-        try:
-            return spark.read.parquet(self.log_path)
-        except Exception:  # no commit yet
-            return None
+        return read_or_none(spark, self.log_path)
 
     def append(self, spark: SparkSession, df: DataFrame, committed_at: str, operation: str = "append") -> int:
         """Append ``df`` as a new snapshot; returns its id."""
         log = self._log(spark)
         last = log.agg(F.max("snapshot_id")).first()[0] if log is not None else None
         sid = (last or 0) + 1
-        # Rows left by an earlier attempt that never committed its log row.
-        _fs_delete(spark, f"{self.data_path}/snapshot_id={sid}")
         staged = df.withColumn("snapshot_id", F.lit(sid).cast("long"))
-        staged.write.mode("append").partitionBy("snapshot_id").parquet(self.data_path)
+        # Overwrites this snapshot's partition only: rows of an attempt that never committed its log row go.
+        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_id").parquet(self.data_path))
         added = spark.read.parquet(self.data_path).where(F.col("snapshot_id") == sid).count()
         entry = spark.range(1).select(
             F.lit(sid).cast("long").alias("snapshot_id"),

@@ -45,6 +45,17 @@ _DIM_A_SQL = (f"SELECT code, description, TIMESTAMP '{LOADED_TS}' AS updated_at,
 _SCD_VIEWS = {"stage": _STAGE_SQL, "dim": _DIM_A_SQL}
 
 
+def _committed(spark, dim: DataFrame, *merges) -> DataFrame:
+    """Store ``dim``, run the merges (stage, as_of, options) one after another on the stored table, and read it."""
+    refs = tbl.TableRefs(scratch_path(spark, "dim-refs"))
+    path = scratch_path(spark, "dim")
+    dim.write.parquet(path)
+    refs.set(spark, "main", path, LOADED_TS)
+    for stage, as_of, opts in merges:
+        scd2.merge_into("main", refs, stage, as_of, opts)
+    return spark.read.schema(dim.schema).parquet(refs.resolve(spark, "main"))
+
+
 @register("scd2_change_feed", with_views("""
 SELECT 'update - change the old row' AS ops, s.code AS join_key, s.code, s.description
   FROM stage s JOIN dim d ON s.code = d.code WHERE s.description IS DISTINCT FROM d.description
@@ -78,7 +89,7 @@ _AIRLINES = "SELECT CAST(s_suppkey AS INT) AS code, s_name AS description FROM s
 
 @register("scd2_merge_a", _merge_sql(_DIM_A_SQL, f"TIMESTAMP '{AS_OF_TS}'", "TIMESTAMP '9999-01-01 00:00:00'", True, True))
 def scd2_merge_a(spark, d):
-    return scd2.merge(dim_a(spark, d), scd_stage(spark, d), AS_OF_TS, scd2.VARIANT_A)
+    return _committed(spark, dim_a(spark, d), (scd_stage(spark, d), AS_OF_TS, scd2.VARIANT_A))
 
 
 _DIM_B_SQL = (f"SELECT code, description, DATE '{LOADED_DATE}' AS updated_at, DATE '{LOADED_DATE}' AS valid_from, "
@@ -88,7 +99,7 @@ _DIM_B_SQL = (f"SELECT code, description, DATE '{LOADED_DATE}' AS updated_at, DA
 @register("scd2_merge_b", _merge_sql(_DIM_B_SQL, f"DATE '{AS_OF_DATE}'", "CAST(NULL AS DATE)", False, True))
 def scd2_merge_b(spark, d):
     dim = scd2.initial_load(airlines(spark, d), scd2.VARIANT_B, LOADED_DATE, LOADED_DATE)
-    return scd2.merge(dim, scd_stage(spark, d), AS_OF_DATE, scd2.VARIANT_B)
+    return _committed(spark, dim, (scd_stage(spark, d), AS_OF_DATE, scd2.VARIANT_B))
 
 
 _DIM_C_SQL = (f"SELECT code, description, DATE '{LOADED_DATE}' AS valid_from, CAST(NULL AS DATE) AS valid_to "
@@ -101,7 +112,29 @@ def scd2_merge_c(spark, d):
     loaded = table(spark, d, "supplier").where(F.col("s_nationkey") < 20).select(
         F.col("s_suppkey").cast("int").alias("code"), F.col("s_name").alias("description"))
     dim = scd2.initial_load(loaded, scd2.VARIANT_C, LOADED_DATE, LOADED_DATE)
-    return scd2.merge(dim, scd_stage(spark, d), AS_OF_DATE, scd2.VARIANT_C)
+    return _committed(spark, dim, (scd_stage(spark, d), AS_OF_DATE, scd2.VARIANT_C))
+
+
+# A second snapshot: nation 3 has its old names back, nation 7 returns, nation 5 disappears.
+LATER_TS = "2024-05-02 08:00:00"
+
+
+@register("scd2_merge_twice", f"""
+WITH s AS (SELECT CAST(s_suppkey AS INT) AS code, s_name, s_nationkey AS n FROM supplier),
+t(load, first, second, open) AS (VALUES (TIMESTAMP '{LOADED_TS}', TIMESTAMP '{AS_OF_TS}', TIMESTAMP '{LATER_TS}', TIMESTAMP '9999-01-01 00:00:00')),
+v AS (
+  SELECT code, s_name AS description, load AS updated_at, load AS valid_from, open AS valid_to FROM s, t WHERE n NOT IN (3, 5, 7)
+  UNION ALL SELECT code, s_name, first, load, first FROM s, t WHERE n IN (3, 7)
+  UNION ALL SELECT code, 'Update - ' || upper(s_name), second, first, second FROM s, t WHERE n = 3
+  UNION ALL SELECT code, s_name, second, second, open FROM s, t WHERE n IN (3, 7)
+  UNION ALL SELECT code, s_name, second, load, second FROM s, t WHERE n = 5
+  UNION ALL SELECT -1, 'New Airline', second, first, second FROM t)
+SELECT * FROM v""")
+def scd2_merge_twice(spark, d):
+    """Two merges on the stored dimension: versions closed by the first stay as they are in the second."""
+    later = table(spark, d, "supplier").where(F.col("s_nationkey") != 5).select(
+        F.col("s_suppkey").cast("int").alias("code"), F.col("s_name").alias("description"))
+    return _committed(spark, dim_a(spark, d), (scd_stage(spark, d), AS_OF_TS, scd2.VARIANT_A), (later, LATER_TS, scd2.VARIANT_A))
 
 
 @register("join_semi_changed", with_views("""
@@ -174,8 +207,10 @@ def partition_evolution(spark, d):
     """Older data keeps the coarse (year) layout, newer data uses (year, month, dayofmonth); reads union both."""
     f = flights(spark, d)
     old, new = scratch_path(spark, "flights-by-year"), scratch_path(spark, "flights-by-day")
-    tbl.write_partitioned(f.where(F.col("year") <= 1998), old, ["year"])
-    tbl.write_partitioned(f.where(F.col("year") > 1998), new, ["year", "month", "dayofmonth"])
+    writers = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    salt = ["tailnum", "flightnum", "deptime", "distance"]
+    tbl.write_range_partitioned(f.where(F.col("year") <= 1998), old, ["year"], salt, writers)
+    tbl.write_range_partitioned(f.where(F.col("year") > 1998), new, ["year", "month", "dayofmonth"], salt, writers)
     both = (spark.read.parquet(old).withColumn("layout", F.lit("by_year"))
             .unionByName(spark.read.parquet(new).withColumn("layout", F.lit("by_year_month_day"))))
     return both.groupBy("layout", "year", "month").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -184,10 +219,8 @@ def partition_evolution(spark, d):
 # --------------------------------------------------------------------------- DML
 
 
-def _flights_table(spark, d, name: str, files_per_partition: int | None = None) -> str:
-    path = scratch_path(spark, name)
-    tbl.write_partitioned(flights(spark, d), path, ["year"], files_per_partition)
-    return path
+def _flights_table(spark, d, name: str, files_per_partition: int | None = None) -> tbl.VersionedTable:
+    return tbl.VersionedTable.create(spark, flights(spark, d), scratch_path(spark, name), ["year"], files_per_partition)
 
 
 @register("dml_update", with_views("""
@@ -197,11 +230,9 @@ SELECT year, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_negative,
 FROM flights GROUP BY year""", "flights"))
 def dml_update(spark, d):
     """UPDATE flights SET depdelay = 0, arrdelay = arrdelay - depdelay WHERE depdelay < 0."""
-    path = _flights_table(spark, d, "flights-update")
-    tbl.update_where(spark, path, ["year"], F.col("depdelay") < 0,
-                     {"depdelay": F.lit(0), "arrdelay": F.col("arrdelay") - F.col("depdelay")})
-    t = spark.read.parquet(path)
-    return t.groupBy("year").agg(
+    t = _flights_table(spark, d, "flights-update")
+    t.update(spark, F.col("depdelay") < 0, {"depdelay": F.lit(0), "arrdelay": F.col("arrdelay") - F.col("depdelay")})
+    return t.read(spark).groupBy("year").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count(F.when(F.col("depdelay") < 0, 1)).alias("n_negative"),
         F.sum("depdelay").alias("sum_depdelay"), F.sum("arrdelay").alias("sum_arrdelay"))
 
@@ -211,10 +242,9 @@ SELECT year, count(*) AS n_rows, count(cancellationcode) AS n_with_code, CAST(su
 FROM flights WHERE NOT coalesce(cancellationcode = 'F', false) GROUP BY year""", "flights"))
 def dml_delete(spark, d):
     """DELETE FROM flights WHERE cancellationcode = 'F' (rows with a NULL code stay)."""
-    path = _flights_table(spark, d, "flights-delete")
-    tbl.delete_where(spark, path, ["year"], F.col("cancellationcode") == "F")
-    t = spark.read.parquet(path)
-    return t.groupBy("year").agg(F.count(F.lit(1)).alias("n_rows"), F.count("cancellationcode").alias("n_with_code"),
+    t = _flights_table(spark, d, "flights-delete")
+    t.delete(spark, F.col("cancellationcode") == "F")
+    return t.read(spark).groupBy("year").agg(F.count(F.lit(1)).alias("n_rows"), F.count("cancellationcode").alias("n_with_code"),
                                  F.sum("distance").alias("sum_distance"))
 
 
@@ -278,7 +308,8 @@ SELECT a.code, min(a.description) AS airline_name, count(*) AS flights_count,
        CAST(sum(f.cancelled) AS BIGINT) AS cancelled
 FROM flights f JOIN airlines a ON f.uniquecarrier = a.code GROUP BY a.code""", "flights", "airlines"))
 def mv_answer_from_rollup(spark, d):
-    r = build_rollup(flights(spark, d), airlines(spark, d))
+    """Coarser grouping answered from the stored rollup; the fact is read only to build it."""
+    r = mv_rollup_build(spark, d)
     return r.groupBy("code").agg(F.min("airline_name").alias("airline_name"),
                                  F.sum("flights_count").alias("flights_count"), F.sum("cancelled").alias("cancelled"))
 
@@ -286,23 +317,25 @@ def mv_answer_from_rollup(spark, d):
 # --------------------------------------------------------------------------- layout, compaction, sinks
 
 
-@register("compact_partitions", with_views("""
-SELECT year, count(*) AS rows, CAST(1 AS BIGINT) AS files, true AS compacted FROM flights GROUP BY year""", "flights"))
+COMPACT_ROWS = 5_000_000
+
+
+@register("compact_partitions", with_views(f"""
+SELECT year, count(*) AS rows, CAST(ceil(count(*) / {COMPACT_ROWS}.0) AS BIGINT) AS files,
+       ceil(count(*) / {COMPACT_ROWS}.0) < 4 AS compacted FROM flights GROUP BY year""", "flights"))
 def compact_partitions(spark, d):
-    path = _flights_table(spark, d, "flights-small-files", files_per_partition=4)
-    before = tbl.layout_profile(spark, path, ["year"]).select("year", F.col("files").alias("files_before"))
-    before = before.checkpoint(eager=True)  # freeze the counts before the files change
-    tbl.compact(spark, path, ["year"])
-    after = tbl.layout_profile(spark, path, ["year"])
-    return after.join(before, "year").select("year", "rows", "files",
-                                             (F.col("files") < F.col("files_before")).alias("compacted"))
+    """Four files a year merged into one for every five million rows."""
+    t = _flights_table(spark, d, "flights-small-files", files_per_partition=4)
+    before = [tuple(r) for r in t.layout(spark).select("year", "files").collect()]  # one row per partition
+    t.compact(spark, target_rows_per_file=COMPACT_ROWS)
+    frozen = spark.createDataFrame(before, "year int, files_before long")
+    return t.layout(spark).join(F.broadcast(frozen), "year").select("year", "rows", "files", (F.col("files") < F.col("files_before")).alias("compacted"))
 
 
 @register("table_layout_profile", with_views("""
 SELECT year, CAST(2 AS BIGINT) AS files, count(*) AS rows FROM flights GROUP BY year""", "flights"))
 def table_layout_profile(spark, d):
-    path = _flights_table(spark, d, "flights-layout", files_per_partition=2)
-    return tbl.layout_profile(spark, path, ["year"])
+    return _flights_table(spark, d, "flights-layout", files_per_partition=2).layout(spark)
 
 
 @register("sink_ctas_roundtrip", with_views("""
@@ -327,7 +360,8 @@ SELECT year, month, count(*) AS n_rows, CAST(sum(distance) AS BIGINT) AS total_d
 FROM flights GROUP BY year, month""", "flights"))
 def sink_partitioned_roundtrip(spark, d):
     path = scratch_path(spark, "flights-by-month")
-    tbl.write_partitioned(flights(spark, d), path, ["year", "month"])
+    tbl.write_range_partitioned(flights(spark, d), path, ["year", "month"], ["tailnum", "flightnum", "deptime", "distance"],
+                                int(spark.conf.get("spark.sql.shuffle.partitions")))
     return spark.read.parquet(path).groupBy("year", "month").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("distance").alias("total_distance"))
 
@@ -345,10 +379,6 @@ def scan_partition_pruned(spark, d):
 
 
 def newest_partition(t: DataFrame) -> tuple[int, int]:
-    """Highest (year, month) read from the partition folders of the files the table already lists (no job)."""
-    keys = set()
-    for f in t.inputFiles():
-        parts = dict(seg.split("=", 1) for seg in f.split("/") if seg.startswith(("year=", "month=")))
-        if "year" in parts and "month" in parts:
-            keys.add((int(parts["year"]), int(parts["month"])))
-    return max(keys)
+    """Highest (year, month): an aggregate over partition columns alone, which reads no data column."""
+    row = t.where("year is not null and month is not null").agg(F.max(F.struct("year", "month")).alias("m")).first()["m"]
+    return row["year"], row["month"]

@@ -60,35 +60,36 @@ def scalar_event_time(spark, d):
     )
 
 
-def weather_text(events):
-    """The stream's ``weather_json`` text: ``{temp=<value>, pressure=1013.2, humidity=<user_id % 101>}``."""
+def landing_text(events):
+    """Key=value text as landed: plain numbers, one in exponent notation, one missing in every seventh row."""
+    gust = F.when(F.col("event_id") % 7 == 0, F.lit("")).otherwise(F.concat(F.lit(", speed="), (events["value"] / 1e7).cast("string")))
     return F.concat(F.lit("{temp="), events["value"].cast("string"), F.lit(", pressure=1013.2, humidity="),
-                    (events["user_id"] % 101).cast("string"), F.lit("}"))
+                    (events["user_id"] % 101).cast("string"), gust, F.lit(", all="), (events["event_id"] % 100).cast("string"),
+                    F.lit("} {prediction="), (events["event_id"] % 2).cast("string"), F.lit(", proba=0.75, prediction_delay="),
+                    (events["event_id"] % 50).cast("string"), F.lit("}"))
 
 
-_WEATHER_SQL = ("concat('{temp=', CAST(value AS VARCHAR), ', pressure=1013.2, humidity=', "
-                "CAST(user_id % 101 AS VARCHAR), '}')")
-
-
-@register("scalar_kv_parse", f"""
-WITH w AS (SELECT event_id, {_WEATHER_SQL} AS weather_json FROM events)
-SELECT event_id,
-  TRY_CAST(regexp_extract(weather_json, '(?:^|[{{ ,])temp=(-?[0-9]+(?:\\.[0-9]+)?)', 1) AS DOUBLE) AS temp,
-  TRY_CAST(regexp_extract(weather_json, '(?:^|[{{ ,])pressure=(-?[0-9]+(?:\\.[0-9]+)?)', 1) AS DOUBLE) AS pressure,
-  TRY_CAST(regexp_extract(weather_json, '(?:^|[{{ ,])humidity=(-?[0-9]+(?:\\.[0-9]+)?)', 1) AS DOUBLE) AS humidity,
-  TRY_CAST(regexp_extract(weather_json, '(?:^|[{{ ,])speed=(-?[0-9]+(?:\\.[0-9]+)?)', 1) AS DOUBLE) AS wind_speed,
-  translate(substr(weather_json, instr(weather_json, 'humidity=') + 9, 2), '}}', '') AS humidity_fixed_width
-FROM w""")
+@register("scalar_kv_parse", """
+SELECT event_id, value AS temp, CAST(1013.2 AS DOUBLE) AS pressure, CAST(user_id % 101 AS DOUBLE) AS humidity,
+  CASE WHEN event_id % 7 <> 0 THEN value / 1e7 END * 1e7 AS wind_speed_e7, CAST(event_id % 100 AS DOUBLE) AS clouds,
+  CAST(event_id % 2 AS DOUBLE) AS prediction, CAST(0.75 AS DOUBLE) AS proba, CAST(event_id % 50 AS DOUBLE) AS prediction_delay,
+  CASE WHEN event_id % 7 = 0 OR user_id % 101 >= 10 THEN substr(CAST(user_id % 101 AS VARCHAR), 1, 2) || CASE WHEN user_id % 101 < 10 THEN ',' ELSE '' END
+       ELSE CAST(user_id % 101 AS VARCHAR) || ',' END AS humidity_fixed_width
+FROM events""")
 def scalar_kv_parse(spark, d):
     e = table(spark, d, "events")
-    w = e.select("event_id", weather_text(e).alias("weather_json"))
+    w = e.select("event_id", landing_text(e).alias("t"))
     return w.select(
         "event_id",
-        kv_number("weather_json", "temp").alias("temp"),
-        kv_number("weather_json", "pressure").alias("pressure"),
-        kv_number("weather_json", "humidity").alias("humidity"),
-        kv_number("weather_json", "speed").alias("wind_speed"),
-        kv_fixed_width("weather_json", "humidity", 2, "}").alias("humidity_fixed_width"),
+        kv_number("t", "temp").alias("temp"),
+        kv_number("t", "pressure").alias("pressure"),
+        kv_number("t", "humidity").alias("humidity"),
+        (kv_number("t", "speed") * 1e7).alias("wind_speed_e7"),
+        kv_number("t", "all").alias("clouds"),
+        kv_number("t", "prediction").alias("prediction"),
+        kv_number("t", "proba").alias("proba"),
+        kv_number("t", "prediction_delay").alias("prediction_delay"),
+        kv_fixed_width("t", "humidity", 2, "}").alias("humidity_fixed_width"),
     )
 
 

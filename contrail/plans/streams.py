@@ -10,10 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contrail.operators import scoring as sc
 from contrail.operators.joins import dim_join
 from contrail.plans.registry import register
 from contrail.session import scratch_path
-from contrail.sources.tables import airports, table
+from contrail.sources.tables import airports, flights, table
 from contrail.streaming import pipeline as pl
 
 SPLIT_TS = "2024-01-16 00:00:00"
@@ -26,11 +27,13 @@ def _late_rule():
     return (F.col("event_type") == "error") & (F.col("ts").cast("timestamp") < F.lit(LATE_UNTIL).cast("timestamp"))
 
 
-def _pipeline(spark: SparkSession, d: str, allowed_lateness_s: int | None = None) -> pl.PipelinePaths:
+def _pipeline(spark: SparkSession, d: str, allowed_lateness_s: int | None = None, files_per_drop: int | None = None,
+              files_per_trigger: int | None = None) -> pl.PipelinePaths:
     root = scratch_path(spark, "flights-stream")
     paths = pl.PipelinePaths(f"{root}/landing", f"{root}/final", f"{root}/offsets", f"{root}/_checkpoint")
-    pl.write_landing_drops(spark, table(spark, d, "events"), paths.landing, SPLIT_TS, _late_rule())
-    pl.run_micro_batches(spark, paths, files_per_trigger=1, allowed_lateness_s=allowed_lateness_s, run_ts=RUN_TS)
+    pl.write_landing_drops(spark, table(spark, d, "events"), paths.landing, SPLIT_TS, _late_rule(),
+                           files_per_drop=files_per_drop)
+    pl.run_micro_batches(spark, paths, files_per_trigger, allowed_lateness_s=allowed_lateness_s, run_ts=RUN_TS)
     return paths
 
 
@@ -49,7 +52,7 @@ offsets AS (SELECT * FROM b0 UNION ALL SELECT * FROM b1)"""
 @register("stream_micro_batch_offsets", f"""WITH {_LANDED_SQL}
 SELECT CAST(batch_id AS BIGINT) AS batch_id, from_ts, to_ts, row_count FROM offsets WHERE row_count > 0""")
 def stream_micro_batch_offsets(spark, d):
-    """Two landed drops → two micro-batches; the offset log holds one row per non-empty batch."""
+    """Two landed drops; the offset log gives one row per drop that kept rows."""
     paths = _pipeline(spark, d)
     return pl.read_offsets(spark, paths).select("batch_id", "from_ts", "to_ts", "row_count")
 
@@ -88,10 +91,15 @@ def stream_late_rows(spark, d):
     return strict.unionByName(lenient)
 
 
-_TYPED_SQL = """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS event_ts, user_id, event_type, value,
-  CAST(user_id % 25 AS INTEGER) AS dest, value AS temp, CAST(1013.2 AS DOUBLE) AS pressure, CAST(user_id % 101 AS DOUBLE) AS humidity,
-  CAST(NULL AS DOUBLE) AS wind_speed, CASE event_type WHEN 'error' THEN 1 ELSE 0 END AS prediction,
-  CAST(CASE event_type WHEN 'error' THEN (event_id * 7919) % 50 + 1 ELSE 0 END AS INTEGER) AS prediction_delay
+_LON = "CAST({k} % 25 * 7.5 - 90 AS DOUBLE)"
+_LAT = "CAST({k} % 25 * 1.25 + 20 AS DOUBLE)"
+_PROBA = "CAST(0.5 + (event_id * 7919) % 50 / 100.0 AS DOUBLE)"
+_TYPED_SQL = f"""SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS event_ts, user_id, event_type, value,
+  CAST(user_id % 25 AS INTEGER) AS dest, {_LON.format(k="event_id")} AS origin_lon, {_LAT.format(k="event_id")} AS origin_lat,
+  {_LON.format(k="user_id")} AS dest_lon, {_LAT.format(k="user_id")} AS dest_lat,
+  value AS temp, CAST(1013.2 AS DOUBLE) AS pressure, CAST(user_id % 101 AS DOUBLE) AS humidity,
+  CAST(NULL AS DOUBLE) AS wind_speed, CAST(event_id % 100 AS DOUBLE) AS clouds, CASE event_type WHEN 'error' THEN 1 ELSE 0 END AS prediction,
+  {_PROBA} AS proba, CAST(CASE event_type WHEN 'error' THEN (event_id * 7919) % 50 + 1 ELSE 0 END AS INTEGER) AS prediction_delay
 FROM events"""
 
 
@@ -123,20 +131,39 @@ def stream_tumbling_15m(spark, d):
                          F.date_format("w.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"), "count")
 
 
+def weather_frame(events: DataFrame) -> DataFrame:
+    """Hourly weather by destination, a static frame: mean and highest temperature."""
+    dest = (F.col("user_id") % pl.N_AIRPORTS).cast("int")
+    return events.groupBy(dest.alias("dest"), F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("hour_ts")).agg(
+        F.round(F.avg("value"), 6).alias("mean_temp"), F.max("value").alias("max_temp"))
+
+
 @register("stream_enrich_score", """
-SELECT e.event_id, CAST(e.user_id % 25 AS INTEGER) AS dest, n.n_name AS dest_city, e.value AS temp,
-  CASE e.event_type WHEN 'error' THEN 1 ELSE 0 END AS prediction,
-  CAST(CASE e.event_type WHEN 'error' THEN (e.event_id * 7919) % 50 + 1 ELSE 0 END AS INTEGER) AS prediction_delay
-FROM events e JOIN nation n ON CAST(e.user_id % 25 AS INTEGER) = n.n_nationkey""")
+WITH w AS (SELECT CAST(user_id % 25 AS INTEGER) AS dest, date_trunc('hour', ts) AS h, round(avg(value), 6) AS mean_temp, max(value) AS max_temp
+           FROM events GROUP BY 1, 2)
+SELECT e.event_id, w.dest, n.n_name AS dest_city, e.value AS temp, w.mean_temp, w.max_temp, true AS model_in_domain, true AS delay_follows_prediction
+FROM events e JOIN nation n ON CAST(e.user_id % 25 AS INTEGER) = n.n_nationkey
+JOIN w ON w.dest = CAST(e.user_id % 25 AS INTEGER) AND w.h = date_trunc('hour', e.ts)""")
 def stream_enrich_score(spark, d):
-    """Stream–static join: typed events enriched with the destination airport's city."""
-    typed = pl.typed_events(pl.to_landing(pl.stream_events(spark, d)))
+    """Stream-static joins (destination city, hourly weather), then the delay model fitted on the fact."""
+    events = table(spark, d, "events")
+    typed = pl.typed_events(pl.to_landing(pl.stream_events(spark, d))).drop("prediction", "proba", "prediction_delay")
     ap = airports(spark, d).select(F.col("iata").alias("dest"), F.col("city").alias("dest_city"))
-    enriched = dim_join(typed, ap, "dest").select("event_id", "dest", "dest_city", "temp", "prediction",
-                                                  "prediction_delay")
+    wide = dim_join(typed.withColumn("hour_ts", F.date_trunc("hour", "event_ts")), ap, "dest")
+    wide = dim_join(wide, weather_frame(events), ["dest", "hour_ts"])
+    f = sc.with_features(flights(spark, d)).select(*sc.FEATURES, "depdelay")
+    model = sc.fit(f, F.coalesce(F.col("depdelay"), F.lit(0)) > 15)
+    features = wide.withColumns({"uniquecarrier": F.col("user_id").cast("int"), "origin": (F.col("event_id") % pl.N_AIRPORTS).cast("int"),
+                                 "week": F.weekofyear("event_ts"), "hour": F.hour("event_ts")})
+    out = sc.score(model, features, "event_id")
     path = scratch_path(spark, "flights-enriched")
-    pl.run_to_table(enriched, path, scratch_path(spark, "ckpt-enriched"))
-    return spark.read.parquet(path)
+    pl.run_to_table(out.select("event_id", "dest", "dest_city", "temp", "mean_temp", "max_temp", "prediction", "proba", "prediction_delay"),
+                    path, scratch_path(spark, "ckpt-enriched"))
+    minutes = F.col("prediction_delay")
+    return spark.read.parquet(path).select(
+        "event_id", "dest", "dest_city", "temp", "mean_temp", "max_temp",
+        (F.col("prediction").isin(0, 1) & F.col("proba").between(0.5, 1.0)).alias("model_in_domain"),
+        F.when(F.col("prediction") == 1, minutes.between(1, 50)).otherwise(minutes == 0).alias("delay_follows_prediction"))
 
 
 def hourly_mart(final: DataFrame, ap: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC wall clock, adaptive execution (runtime
 # broadcast conversion, partition coalescing and skew splitting).  No static
@@ -77,6 +77,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local_dir
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def read_or_none(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """The Parquet table at ``path``, or None when the folder does not exist.  Every other failure is raised."""
+    if not path_exists(spark, path):
+        return None
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint location."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

@@ -2,78 +2,103 @@
 
 * :func:`typed_events` is the typed view over the all-string landing rows;
   it is a plain DataFrame function, so the same code serves batch and stream.
-* :func:`run_micro_batches` drives a ``foreachBatch`` query.  Each micro-batch
-  keeps rows newer than the high-water mark of earlier batches, writes them to
-  the sink partition ``batch_id=<id>`` and logs one offset row in partition
-  ``batch_id=<id>`` of the offset table.  Both writes overwrite their own
-  partition, so a replayed batch (after a lost executor or driver restart)
-  produces the same state; the checkpoint folder gives exactly-once batch ids.
+* The landing folder holds one folder per drop (``drop=<n>``), with any number of
+  files.  :func:`run_micro_batches` drives a ``foreachBatch`` query; a drop may be
+  spread over several micro-batches and a micro-batch may hold several drops.
+  A row is kept when it is newer than the high-water mark of all *earlier
+  drops*, so how a drop is cut into files and batches changes nothing.
+* Each micro-batch overwrites its own partition of the sink and of the offset
+  log, so a replayed batch (after a lost executor or driver restart) produces
+  the same state; the checkpoint folder gives exactly-once batch ids.  Rows
+  whose event time does not parse and rows behind the mark are counted there.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contrail.functions.scalars import kv_number, stable_pick
+from contrail.session import read_or_none
 
-EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props", "weather_json"]
+EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props",
+                 "origin_lon", "origin_lat", "dest_lon", "dest_lat", "prediction", "weather_json"]
 LANDING_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in EVENT_COLUMNS])
+DROP_SCHEMA = T.StructType([*LANDING_SCHEMA.fields, T.StructField("drop", T.IntegerType())])
 N_AIRPORTS = 25
 
 
-def weather_text(value: Column, user_id: Column) -> Column:
-    """Upstream enrichment text: ``{temp=<value>, pressure=1013.2, humidity=<user_id % 101>}``."""
-    return F.concat(F.lit("{temp="), value.cast("string"), F.lit(", pressure=1013.2, humidity="),
-                    (user_id % 101).cast("string"), F.lit("}"))
+def weather_text(value: Column, user_id: Column, event_id: Column) -> Column:
+    """Upstream weather text: ``{temp=<value>, pressure=1013.2, humidity=<user_id % 101>, all=<event_id % 100>}``."""
+    return F.concat(F.lit("{temp="), value.cast("string"), F.lit(", pressure=1013.2, humidity="), (user_id % 101).cast("string"),
+                    F.lit(", all="), (event_id % 100).cast("string"), F.lit("}"))
+
+
+def prediction_text(event_type: Column, event_id: Column) -> Column:
+    """Upstream model output as text: ``{prediction=<0|1>, proba=<p>, prediction_delay=<minutes>}``."""
+    late = event_type == "error"
+    return F.concat(F.lit("{prediction="), F.when(late, F.lit("1")).otherwise(F.lit("0")),
+                    F.lit(", proba="), (0.5 + F.pmod(event_id * 7919, F.lit(50)) / 100).cast("decimal(4,2)").cast("string"),
+                    F.lit(", prediction_delay="), F.when(late, stable_pick(event_id, 50)).otherwise(F.lit(0)).cast("string"), F.lit("}"))
 
 
 def to_landing(events: DataFrame) -> DataFrame:
-    """Events as the landing table holds them: every column a string, weather text attached."""
-    w = weather_text(F.col("value"), F.col("user_id"))
-    return events.select(*[F.col(c).cast("string").alias(c) for c in EVENT_COLUMNS[:-1]], w.alias("weather_json"))
+    """Events as the landing table holds them: every column a string, coordinates, weather and model output attached."""
+    dest, origin = F.col("user_id") % N_AIRPORTS, F.col("event_id") % N_AIRPORTS
+    place = {"origin_lon": origin * 7.5 - 90, "origin_lat": origin * 1.25 + 20, "dest_lon": dest * 7.5 - 90, "dest_lat": dest * 1.25 + 20}
+    wide = events.select("*", *[v.alias(k) for k, v in place.items()],
+                         prediction_text(F.col("event_type"), F.col("event_id")).alias("prediction"),
+                         weather_text(F.col("value"), F.col("user_id"), F.col("event_id")).alias("weather_json"))
+    return wide.select(*[F.col(c).cast("string").alias(c) for c in EVENT_COLUMNS])
 
 
 def typed_events(raw: DataFrame) -> DataFrame:
     """Typed view over landing rows (batch or stream); bad values become NULL, never errors."""
-    event_id = F.col("event_id").try_cast("long")
-    prediction = F.when(F.col("event_type") == "error", F.lit(1)).otherwise(F.lit(0))
+    number = lambda c: F.col(c).try_cast("double").alias(c)
+    drop = [F.col("drop")] if "drop" in raw.columns else []
     return raw.select(
-        event_id.alias("event_id"),
+        F.col("event_id").try_cast("long").alias("event_id"),
         F.col("ts").try_cast("timestamp").alias("event_ts"),
         F.col("user_id").try_cast("long").alias("user_id"),
         F.col("event_type"),
-        F.col("value").try_cast("double").alias("value"),
+        number("value"),
         (F.col("user_id").try_cast("long") % N_AIRPORTS).cast("int").alias("dest"),
+        number("origin_lon"), number("origin_lat"), number("dest_lon"), number("dest_lat"),
         kv_number("weather_json", "temp").alias("temp"),
         kv_number("weather_json", "pressure").alias("pressure"),
         kv_number("weather_json", "humidity").alias("humidity"),
         kv_number("weather_json", "speed").alias("wind_speed"),
-        prediction.alias("prediction"),
-        F.when(prediction == 1, stable_pick(event_id, 50)).otherwise(F.lit(0)).cast("int").alias("prediction_delay"),
+        kv_number("weather_json", "all").alias("clouds"),
+        kv_number("prediction", "prediction").cast("int").alias("prediction"),
+        kv_number("prediction", "proba").alias("proba"),
+        kv_number("prediction", "prediction_delay").cast("int").alias("prediction_delay"),
+        *drop,
     )
 
 
 def write_landing_drops(spark: SparkSession, events: DataFrame, root: str, split_ts: str,
                         late: Column | None = None, late_shift: str = "INTERVAL 2 DAYS",
-                        files_per_drop: int = 1) -> None:
+                        files_per_drop: int | None = None) -> None:
     """Land ``events`` in two drops (before / from ``split_ts``), oldest first.
 
     Rows of the second drop matching ``late`` get their time moved back by
-    ``late_shift``: they arrive after newer rows were already ingested.
+    ``late_shift``: they arrive after newer rows were already ingested.  A drop
+    has one file per input partition unless ``files_per_drop`` says otherwise.
     """
     land = to_landing(events)
     ts = F.col("ts").cast("timestamp")
     first = land.where(ts < F.lit(split_ts).cast("timestamp"))
-    second = land.where(ts >= F.lit(split_ts).cast("timestamp"))
+    # Rows without a readable time land too; ingest counts them.
+    second = land.where((ts >= F.lit(split_ts).cast("timestamp")) | ts.isNull())
     if late is not None:
         shifted = (ts - F.expr(late_shift)).cast("timestamp_ntz").cast("string")
         second = second.withColumn("ts", F.when(late, shifted).otherwise(F.col("ts")))
     for i, drop in enumerate((first, second)):
-        drop.repartition(files_per_drop).write.mode("overwrite").parquet(f"{root}/drop={i}")
+        cut = drop if files_per_drop is None else drop.repartition(files_per_drop)
+        cut.write.mode("overwrite").parquet(f"{root}/drop={i}")
 
 
 @dataclass
@@ -84,84 +109,93 @@ class PipelinePaths:
     checkpoint: str
 
 
+OFFSET_SCHEMA = "run_ts timestamp, drop int, from_ts long, to_ts long, max_ts long, row_count long, late_rows long, rejected_rows long, micro_batch long"
+
+
 def read_offsets(spark: SparkSession, paths: PipelinePaths) -> DataFrame:
-    """The offset log; ``batch_id`` is a partition folder, so its type is pinned here, not inferred."""
-    return spark.read.parquet(paths.offsets).withColumn("batch_id", F.col("batch_id").cast("long"))
+    """One row per drop (``batch_id``) that kept rows: time range, rows kept, late and rejected rows."""
+    log = spark.read.schema(OFFSET_SCHEMA).parquet(paths.offsets)
+    per = log.groupBy(F.col("drop").cast("long").alias("batch_id")).agg(
+        F.min("run_ts").alias("run_ts"), F.min("from_ts").alias("from_ts"), F.max("to_ts").alias("to_ts"),
+        F.sum("row_count").alias("row_count"), F.sum("late_rows").alias("late_rows"), F.sum("rejected_rows").alias("rejected_rows"))
+    return per.where(F.col("row_count") > 0)
 
 
-def read_sink(spark: SparkSession, paths: PipelinePaths) -> DataFrame:
-    return spark.read.parquet(paths.sink).withColumn("batch_id", F.col("batch_id").cast("long"))
+def read_rejections(spark: SparkSession, paths: PipelinePaths) -> DataFrame:
+    """(batch_id, late_rows, rejected_rows) of every drop, also of those that kept nothing."""
+    log = spark.read.schema(OFFSET_SCHEMA).parquet(paths.offsets)
+    return log.groupBy(F.col("drop").cast("long").alias("batch_id")).agg(
+        F.sum("late_rows").alias("late_rows"), F.sum("rejected_rows").alias("rejected_rows"))
 
 
-def _high_water(spark: SparkSession, offsets: str, batch_id: int) -> int:
-    """max(to_ts) over batches before ``batch_id`` (0 when none) — ignoring this batch's own earlier attempt."""
-    try:
-        log = spark.read.parquet(offsets)
-    except Exception:  # no offsets yet
-        return 0
-    row = log.where(F.col("batch_id") < batch_id).agg(F.max("to_ts")).first()
-    return int(row[0]) if row and row[0] is not None else 0
+def read_sink(spark: SparkSession, paths: PipelinePaths) -> DataFrame:
+    return spark.read.parquet(paths.sink).withColumn("micro_batch", F.col("micro_batch").cast("long"))
 
 
-def make_batch_writer(paths: PipelinePaths, allowed_lateness_s: int | None = None, run_ts: str | None = None):
-    """The ``foreachBatch`` body (high-water filter, offset row, sweep to the sink).
+def _marks(spark: SparkSession, paths: PipelinePaths, micro_batch: int, own: dict[int, int]) -> dict[int, int]:
+    """High-water mark of each drop in the batch: the newest event time of all earlier drops (0 when none).
 
-    The high-water mark written by batch N is remembered for batch N+1 of the
-    same run; any other case (first batch, restart, replay) reads the offset log.
+    ``own`` holds the newest time per drop of this batch; the log has those of
+    earlier micro-batches (this batch's own earlier attempt is left out).
     """
-    last: dict[int, int] = {}  # batch id -> high-water mark after that batch
+    newest = dict(own)
+    log = read_or_none(spark, paths.offsets, OFFSET_SCHEMA)
+    if log is not None:
+        for r in log.where(F.col("micro_batch") < micro_batch).groupBy("drop").agg(F.max("max_ts").alias("m")).collect():
+            newest[r["drop"]] = max(newest.get(r["drop"], 0), r["m"] or 0)
+    return {d: max([m for k, m in newest.items() if k < d], default=0) for d in own}
+
+
+def make_batch_writer(paths: PipelinePaths, allowed_lateness_s: int | None = None, run_ts: str | None = None):
+    """The ``foreachBatch`` body (high-water filter per drop, sweep to the sink, offset rows)."""
 
-    def process(batch: DataFrame, batch_id: int) -> None:
+    def process(batch: DataFrame, micro_batch: int) -> None:
         spark = batch.sparkSession
-        hw = last[batch_id - 1] if (batch_id - 1) in last else _high_water(spark, paths.offsets, batch_id)
-        last.clear()
         typed = typed_events(batch).withColumn("event_epoch", F.unix_timestamp("event_ts"))
-        if allowed_lateness_s is None:
-            new = typed.where(F.col("event_epoch") > F.lit(hw))            # strict rule: late rows are lost
-        else:
-            floor = hw - allowed_lateness_s
-            new = typed.where(F.col("event_epoch") > F.lit(floor))
-            try:  # drop rows already in the sink; only rows inside the lateness window can repeat
-                seen = (spark.read.parquet(paths.sink)
-                        .where((F.col("batch_id") < batch_id) & (F.col("event_epoch") > F.lit(floor)))
-                        .select("event_id"))
-                new = new.join(seen, "event_id", "left_anti")
-            except Exception:
-                pass
-        # One job: the sink write also computes the offset row's figures (an Observation),
-        # so the batch is neither cached nor read twice.  An empty batch writes no partition.
-        obs = Observation(f"batch_{batch_id}")
-        observed = new.observe(obs, F.min("event_epoch").alias("from_ts"), F.max("event_epoch").alias("to_ts"),
-                               F.count(F.lit(1)).alias("row_count"))
-        (observed.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(paths.sink))
-        stats = obs.get
-        if not stats or stats["row_count"] == 0:
-            last[batch_id] = hw
-            return                                                        # nothing to log for an empty batch
-        offset = spark.range(1).select(
-            F.lit(batch_id).cast("long").alias("batch_id"),
-            (F.lit(run_ts).cast("timestamp") if run_ts else F.current_timestamp()).alias("run_ts"),
-            F.lit(stats["from_ts"]).cast("long").alias("from_ts"),
-            F.lit(stats["to_ts"]).cast("long").alias("to_ts"),
-            F.lit(stats["row_count"]).cast("long").alias("row_count"))
-        (offset.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(paths.offsets))
-        last[batch_id] = max(hw, int(stats["to_ts"]))
+        # One row per drop in this batch.
+        seen = typed.groupBy("drop").agg(F.max("event_epoch").alias("max_ts"), F.count(F.lit(1)).alias("n"),
+                                         F.count(F.when(F.col("event_epoch").isNull(), 1)).alias("rejected")).collect()
+        if not seen:
+            return
+        marks = _marks(spark, paths, micro_batch, {r["drop"]: r["max_ts"] or 0 for r in seen})
+        floor = F.element_at(F.create_map(*[F.lit(x) for d, m in marks.items() for x in (d, m)]), F.col("drop")) - F.lit(allowed_lateness_s or 0)
+        new = typed.where(F.col("event_epoch") > floor)      # without lateness the strict rule: late rows are lost
+        if allowed_lateness_s is not None:
+            sink = read_or_none(spark, paths.sink)
+            if sink is not None:  # only rows inside the lateness window can repeat
+                lowest = min(marks.values()) - allowed_lateness_s
+                old = sink.where((F.col("micro_batch") < micro_batch) & (F.col("event_epoch") > F.lit(lowest))).select("event_id")
+                new = new.join(old, "event_id", "left_anti")
+        (new.withColumn("batch_id", F.col("drop").cast("long")).withColumn("micro_batch", F.lit(micro_batch).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("micro_batch").parquet(paths.sink))
+        schema = T.StructType([*new.schema.fields, T.StructField("micro_batch", T.LongType())])
+        kept = {r["drop"]: r for r in spark.read.schema(schema).parquet(paths.sink).where(F.col("micro_batch") == micro_batch).groupBy("drop").agg(
+            F.min("event_epoch").alias("lo"), F.max("event_epoch").alias("hi"), F.count(F.lit(1)).alias("n")).collect()}
+        rows = []
+        for r in seen:
+            k = kept.get(r["drop"])
+            n = k["n"] if k else 0
+            rows.append((r["drop"], k["lo"] if k else None, k["hi"] if k else None, r["max_ts"], n, r["n"] - n - r["rejected"], r["rejected"]))
+        log = spark.createDataFrame(rows, "drop int, from_ts long, to_ts long, max_ts long, row_count long, late_rows long, rejected_rows long")
+        log = log.withColumn("run_ts", F.lit(run_ts).cast("timestamp") if run_ts else F.current_timestamp())
+        (log.withColumn("micro_batch", F.lit(micro_batch).cast("long")).coalesce(1).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("micro_batch").parquet(paths.offsets))
 
     return process
 
 
-def landing_stream(spark: SparkSession, landing: str, files_per_trigger: int = 1) -> DataFrame:
-    """All-string landing rows as a file stream, oldest files first, ``files_per_trigger`` per micro-batch."""
-    return (spark.readStream.schema(LANDING_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
-            .option("recursiveFileLookup", True).parquet(landing))
+def landing_stream(spark: SparkSession, landing: str, files_per_trigger: int | None = None) -> DataFrame:
+    """All-string landing rows and their drop as a file stream, oldest files first."""
+    reader = spark.readStream.schema(DROP_SCHEMA)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(landing)
 
 
-def run_micro_batches(spark: SparkSession, paths: PipelinePaths, files_per_trigger: int = 1,
+def run_micro_batches(spark: SparkSession, paths: PipelinePaths, files_per_trigger: int | None = None,
                       allowed_lateness_s: int | None = None, run_ts: str | None = None,
                       every: str | None = None):
-    """Run the ingest pipeline, ``files_per_trigger`` files per micro-batch.
+    """Run the ingest pipeline, at most ``files_per_trigger`` files per micro-batch (None: all that have landed).
 
     ``every=None`` processes everything landed so far and stops (a scheduled
     job body); ``every="20 minutes"`` keeps the query running on a fixed
@@ -177,8 +211,12 @@ def run_micro_batches(spark: SparkSession, paths: PipelinePaths, files_per_trigg
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``events`` table as a file stream (one parquet file picked from the data folder)."""
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
+    """The ``events`` table as a file stream, whether it is one file or a folder of files."""
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    schema = spark.read.parquet(path).schema
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory():
+        return spark.readStream.schema(schema).parquet(path)
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
