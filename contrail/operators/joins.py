@@ -1,7 +1,7 @@
 """Join helpers.
 
 ``dim_join`` is the one place that decides whether a side may be broadcast:
-only after a cheap job has *proven* that the side holds at most ``max_rows``
+only after one aggregate has *proven* that the side holds at most ``max_rows``
 rows and ``max_bytes`` bytes of string data.  Anything larger is left as a
 shuffle join; adaptive execution may still turn it into a broadcast at run
 time from measured shuffle sizes, and splits skewed partitions of a
@@ -23,11 +23,10 @@ _FIXED_WIDTH = {
 }
 
 
-def size_bound(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[int, int]:
-    """(rows, bytes) of ``df``, read no further than ``max_rows + 1`` rows.
+def size_bound(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of ``df`` by one aggregate with partial sums in every task (no limit, no single task).
 
-    rows > max_rows means "larger than the bound"; bytes is exact for the rows
-    read (variable-width columns measured, fixed-width ones by type size).
+    Variable-width columns are measured, fixed-width ones count by type size.
     """
     var_cols, fixed = [], 0
     for field in df.schema.fields:
@@ -36,47 +35,42 @@ def size_bound(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[int,
             var_cols.append(field.name)
         else:
             fixed += width
-    probe = df.limit(max_rows + 1)
     aggs = [F.count(F.lit(1)).alias("n")]
     if var_cols:
         lengths = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in var_cols]
         aggs.append(F.sum(sum(lengths[1:], lengths[0])).alias("b"))
-    row = probe.agg(*aggs).first()
+    row = df.agg(*aggs).first()
     n = int(row["n"])
-    var_bytes = int(row["b"] or 0) if var_cols else 0
-    return n, n * fixed + var_bytes
+    return n, n * fixed + (int(row["b"] or 0) if var_cols else 0)
 
 
-_DECISIONS: dict[tuple[str, int, int, int], bool] = {}
+_DECISIONS: dict[tuple, bool] = {}
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the optimised plan (no job); None when unavailable.
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of the optimised plan (no job).
 
     For file scans it is the on-disk size of the files read, which never
     exceeds the decoded in-memory size, so an estimate above a limit proves
     the side is too big without reading it.
     """
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # not a classic JVM-backed DataFrame
-        return None
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def is_broadcastable(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """Proven-small check, remembered per application and plan (same plan, same files, same answer).
+    """Proven-small check, remembered per application, plan and estimated size (a table that grew is measured anew).
 
     Sides whose estimate already exceeds ``max_bytes`` are rejected without a
     job; the others are measured by :func:`size_bound`, which then reads at
     most about ``max_bytes`` of input.
     """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows, max_bytes)
+    est = estimated_bytes(df)
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), est, max_rows, max_bytes)
     if key not in _DECISIONS:
-        est = estimated_bytes(df)
-        if est is not None and est > max_bytes:
+        if est > max_bytes:
             _DECISIONS[key] = False
         else:
-            rows, nbytes = size_bound(df, max_rows)
+            rows, nbytes = size_bound(df)
             _DECISIONS[key] = rows <= max_rows and nbytes <= max_bytes
     return _DECISIONS[key]
 

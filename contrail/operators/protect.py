@@ -1,9 +1,11 @@
 """Column protection: AES encryption, role-based masking and row filters, PII tags.
 
-Policies are plain Python data evaluated into Spark expressions; tags live in
-the column metadata so they travel with the schema.  Spark keeps metadata
-through select/alias/filter/join but drops it on computed expressions and
-aggregates, so :func:`propagate_tags` re-derives tags from expression inputs.
+Policies are plain Python data evaluated into Spark expressions.  A policy names
+the roles it knows; any other role is refused.  Tags live in column metadata.
+Spark drops metadata on computed expressions, so :func:`lineage_tags` follows
+the attribute references of the analysed plan from every output column back to
+the tagged ones; a column whose origin the plan does not show (the output of
+foreign code, say) counts as carrying every tag.
 """
 
 from __future__ import annotations
@@ -43,6 +45,11 @@ class Policy:
     masks: dict[str, dict[str, str]] = field(default_factory=dict)
     row_filters: dict[str, str] = field(default_factory=dict)   # role → SQL predicate
     denied_tags: dict[str, set[str]] = field(default_factory=dict)
+    open_roles: set[str] = field(default_factory=set)           # roles that see everything
+
+    def check(self, role: str) -> None:
+        if role not in self.open_roles | self.masks.keys() | self.row_filters.keys() | self.denied_tags.keys():
+            raise AccessDenied(f"unknown role {role}")
 
 
 def _mask(c: str, how: str) -> Column:
@@ -56,11 +63,13 @@ def _mask(c: str, how: str) -> Column:
 
 
 def apply_masks(df: DataFrame, policy: Policy, role: str) -> DataFrame:
+    policy.check(role)
     masks = policy.masks.get(role, {})
     return df.select(*[_mask(c, masks[c]).alias(c) if c in masks else F.col(c) for c in df.columns])
 
 
 def apply_row_filter(df: DataFrame, policy: Policy, role: str) -> DataFrame:
+    policy.check(role)
     cond = policy.row_filters.get(role)
     return df.where(F.expr(cond)) if cond is not None else df
 
@@ -85,24 +94,73 @@ def tags_of(df: DataFrame) -> dict[str, set[str]]:
     return {f.name: set(f.metadata.get(TAG_KEY, [])) for f in df.schema.fields if f.metadata.get(TAG_KEY)}
 
 
-def propagate_tags(derived: DataFrame, sources: list[DataFrame], lineage: dict[str, list[str]]) -> DataFrame:
-    """Re-apply tags that Spark dropped: ``lineage`` maps an output column to the input columns it is computed from."""
-    src_tags: dict[str, set[str]] = {}
-    for s in sources:
-        for c, t in tags_of(s).items():
-            src_tags.setdefault(c, set()).update(t)
-    needed = {}
-    for out_col, inputs in lineage.items():
-        t = set().union(*[src_tags.get(i, set()) for i in inputs]) if inputs else set()
-        if t:
-            needed[out_col] = t
-    return tag(derived, needed)
+EVERY_TAG = "*"
+
+
+def _seq(s) -> list:
+    return [s.apply(i) for i in range(s.size())]
+
+
+def lineage_tags(df: DataFrame) -> dict[str, set[str]]:
+    """Tags of every output column, those of all columns it is computed from included."""
+    own: dict[int, set[str]] = {}      # expression id -> tags in its metadata
+    inputs: dict[int, set[int]] = {}   # expression id -> ids it is computed from
+
+    def note(e) -> int:
+        i = e.exprId().id()
+        inputs.setdefault(i, set())
+        if e.metadata().contains(TAG_KEY):
+            own.setdefault(i, set()).update(e.metadata().getStringArray(TAG_KEY))
+        return i
+
+    def refs(e) -> set[int]:
+        return {a.exprId().id() for a in _seq(e.references().toSeq())}
+
+    def aliases(e) -> None:
+        if e.getClass().getSimpleName() == "Alias":
+            inputs.setdefault(note(e), set()).update(refs(e))
+        for c in _seq(e.children()):
+            aliases(c)
+
+    def walk(p) -> None:
+        kind, children = p.getClass().getSimpleName(), _seq(p.children())
+        for c in children:
+            walk(c)
+        for e in _seq(p.expressions()):
+            aliases(e)
+        if not children:
+            for a in _seq(p.output()):
+                note(a)
+        elif kind == "Union":
+            for c in children:
+                for a, b in zip(_seq(p.output()), _seq(c.output())):
+                    inputs.setdefault(note(a), set()).add(b.exprId().id())
+        elif kind == "Generate":
+            for a in _seq(p.generatorOutput()):
+                inputs.setdefault(note(a), set()).update(refs(p.generator()))
+
+    plan = df._jdf.queryExecution().analyzed()
+    walk(plan)
+    out: dict[str, set[str]] = {}
+    for a in _seq(plan.output()):
+        todo, seen, tags = [a.exprId().id()], set(), set()
+        while todo:
+            i = todo.pop()
+            if i in seen:
+                continue
+            seen.add(i)
+            tags |= own.get(i, set()) if i in inputs else {EVERY_TAG}
+            todo += inputs.get(i, ())
+        if tags:
+            out.setdefault(a.name(), set()).update(tags)
+    return out
 
 
 def enforce_tags(df: DataFrame, policy: Policy, role: str, requested: list[str] | None = None) -> DataFrame:
     """Drop columns whose tags the role may not see; raise if one of them was asked for by name."""
+    policy.check(role)
     denied = policy.denied_tags.get(role, set())
-    blocked = [c for c, t in tags_of(df).items() if t & denied]
+    blocked = [c for c, t in lineage_tags(df).items() if denied and (t & denied or EVERY_TAG in t)]
     if requested:
         asked = [c for c in requested if c in blocked]
         if asked:

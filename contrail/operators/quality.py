@@ -154,16 +154,9 @@ def column_checks(df: DataFrame, spec: dict[str, dict[str, dict[str, int]]]) ->
                 raise ValueError(f"unknown check {check}")
             (op, bound), = cond.items()
             rows.append((col, check, alias, op, bound))
-    wide = df.agg(*measures)
-    longs = [
-        wide.select(F.lit(col).alias("column"), F.lit(check).alias("check"), F.col(alias).cast("long").alias("value"),
-                    _compare(F.col(alias), op, bound).alias("passed"))
-        for col, check, alias, op, bound in rows
-    ]
-    out = longs[0]
-    for part in longs[1:]:
-        out = out.unionByName(part)
-    return out
+    checked = [F.struct(F.lit(col).alias("column"), F.lit(check).alias("check"), F.col(alias).cast("long").alias("value"),
+                        _compare(F.col(alias), op, bound).alias("passed")) for col, check, alias, op, bound in rows]
+    return df.agg(*measures).select(F.explode(F.array(*checked)).alias("c")).select("c.*")
 
 
 def _compare(v: Column, op: str, bound) -> Column:
@@ -186,12 +179,9 @@ def _compare(v: Column, op: str, bound) -> Column:
 def table_checks(df: DataFrame, name: str, checks: dict[str, tuple[str, object]]) -> DataFrame:
     """Row-count checks, e.g. ``{"row_count_check": ("between", (1, 10**9))}`` → (table, check, value, passed)."""
     n = df.agg(F.count(F.lit(1)).alias("n"))
-    parts = [n.select(F.lit(name).alias("table"), F.lit(c).alias("check"), F.col("n").alias("value"),
-                      _compare(F.col("n"), op, bound).alias("passed")) for c, (op, bound) in checks.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    checked = [F.struct(F.lit(name).alias("table"), F.lit(c).alias("check"), F.col("n").alias("value"),
+                        _compare(F.col("n"), op, bound).alias("passed")) for c, (op, bound) in checks.items()]
+    return n.select(F.explode(F.array(*checked)).alias("c")).select("c.*")
 
 
 def referential_test(fact: DataFrame, fk: str, dim: DataFrame, pk: str, name: str) -> DataFrame:

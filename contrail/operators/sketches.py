@@ -66,3 +66,8 @@ def frequent_items_sketch(item: Column, map_size: int = FREQ_MAP_SIZE) -> Column
 def frequent_items(sketch: str | Column, k: int) -> Column:
     """array<struct<item, count>> of the k most frequent items held by the sketch."""
     return F.call_function("approx_top_k_estimate", F.col(sketch) if isinstance(sketch, str) else sketch, F.lit(k))
+
+
+def frequent_items_error(map_size: int = FREQ_MAP_SIZE) -> float:
+    """Largest error of an item's estimate, as a share of all rows (the sketch's a-priori bound)."""
+    return 3.5 / map_size

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from contrail.functions.scalars import event_epoch, event_ts
 from contrail.operators import aggregates as agg
-from contrail.operators.joins import dim_join, is_broadcastable, with_scalars
+from contrail.operators.joins import dim_join, with_scalars
 from contrail.operators.ranking import dense_sequence, ranked_string, surrogate_key, top_n_per_group
 from contrail.plans.registry import register
 from contrail.session import scratch_path
-from contrail.sources.tables import airlines, airports, flights, planes, register_star_views, table, with_views
+from contrail.sources.tables import airlines, airports, flights, planes, table, with_views
 
 # --------------------------------------------------------------------------- aggregates
 
@@ -90,10 +90,10 @@ def join_cancel_report(spark, d):
 
 
 @register("join_roleplaying_international", with_views("""
-SELECT DISTINCT flightnum, uniquecarrier, origin, dest, month, dayofmonth, dayofweek
-FROM flights f, airports oa, airports da
-WHERE f.origin = oa.iata AND f.dest = da.iata AND oa.country <> da.country
-ORDER BY month, dayofmonth""", "flights", "airports"))
+, place AS (SELECT map(list(iata), list(country)) AS country_of FROM airports)
+SELECT flightnum, uniquecarrier, origin, dest, month, dayofmonth, dayofweek FROM flights, place
+WHERE country_of[origin] <> country_of[dest]
+GROUP BY ALL ORDER BY month, dayofmonth""", "flights", "airports"))
 def join_roleplaying_international(spark, d):
     f = flights(spark, d).select("flightnum", "uniquecarrier", "origin", "dest", "month", "dayofmonth", "dayofweek")
     ap = airports(spark, d).select("iata", "country")
@@ -107,13 +107,8 @@ def join_roleplaying_international(spark, d):
 
 
 @register("join_preagg_engine_delay", with_views("""
-, aircrafts_delayed AS (SELECT tailnum, count(*) AS flights_count,
-    sum(coalesce(depdelay, 0)) AS departure_delay_minutes FROM flights GROUP BY tailnum)
-SELECT p.engine_type AS engine, p.model AS model,
-       CAST(sum(a.departure_delay_minutes) AS BIGINT) AS sum_departure_delay_minutes
-FROM planes p, aircrafts_delayed a WHERE a.tailnum = p.tailnum
-GROUP BY p.engine_type, p.model ORDER BY sum_departure_delay_minutes DESC, engine, model LIMIT 5""",
-                                               "flights", "planes"))
+SELECT engine_type AS engine, model, CAST(sum(CASE WHEN depdelay IS NULL THEN 0 ELSE depdelay END) AS BIGINT) AS sum_departure_delay_minutes
+FROM flights JOIN planes USING (tailnum) GROUP BY ALL ORDER BY 3 DESC, 1, 2 LIMIT 5""", "flights", "planes"))
 def join_preagg_engine_delay(spark, d):
     a = agg.delay_by(flights(spark, d), "tailnum")
     j = dim_join(a, planes(spark, d), "tailnum")
@@ -158,32 +153,27 @@ SELECT uniquecarrier, description AS airline_name, round(avg(coalesce(depdelay,
 FROM model GROUP BY uniquecarrier, description
 ORDER BY avg(coalesce(depdelay, 0)) DESC, uniquecarrier LIMIT 25""", "flights", "planes", "airlines",
                                               extra={"model": _MODEL_SQL}))
-def dashboard_avg_delay_top25(spark, d, max_dim_rows: int | None = None):
+def dashboard_avg_delay_top25(spark, d):
     """Top 25 airlines by average departure delay over the flights ⨝ planes ⨝ airlines model.
 
-    Planes proven small: broadcast them into the fact scan (no shuffle of the
-    fact for the join).  Otherwise flights are first reduced to (carrier,
-    tail) sums and counts and only those meet the planes, weighted by how many
-    plane rows a tail matches (1 for a clean dimension), so the fact is never
-    shuffled row by row for the join.  Both paths give the same averages.
+    Flights are first reduced to (carrier, tail) sums and counts and only those
+    meet the planes, weighted by how many plane rows a tail matches (1 for a
+    clean dimension), so the fact is never shuffled row by row for the join.
     """
-    f, pl, al = flights(spark, d), planes(spark, d), airlines(spark, d)
-    limit = {"max_rows": max_dim_rows} if max_dim_rows is not None else {}
-    if is_broadcastable(pl.select("tailnum"), **limit):
-        j = dim_join(f.join(F.broadcast(pl.select("tailnum")), "tailnum"), al,
-                     F.col("uniquecarrier") == F.col("code"))
-        s, n = F.sum(agg.nvl0("depdelay")), F.count(F.lit(1))
-    else:
-        pre = f.groupBy("uniquecarrier", "tailnum").agg(
-            F.sum(agg.nvl0("depdelay")).alias("s"), F.count(F.lit(1)).alias("n"))
-        mult = pl.groupBy("tailnum").agg(F.count(F.lit(1)).alias("mult"))
-        j = dim_join(pre.join(mult, "tailnum"), al, F.col("uniquecarrier") == F.col("code"))
-        s, n = F.sum(F.col("s") * F.col("mult")), F.sum(F.col("n") * F.col("mult"))
-    g = j.groupBy("uniquecarrier", F.col("description").alias("airline_name")).agg((s / n).alias("avg_dep_delay"))
+    pre = flights(spark, d).groupBy("uniquecarrier", "tailnum").agg(F.sum(agg.nvl0("depdelay")).alias("s"), F.count(F.lit(1)).alias("n"))
+    j = _weighted(spark, d, pre)
+    g = j.groupBy("uniquecarrier", F.col("description").alias("airline_name")).agg(
+        (F.sum(F.col("s") * F.col("mult")) / F.sum(F.col("n") * F.col("mult"))).alias("avg_dep_delay"))
     return agg.top_k(g, 25, F.desc("avg_dep_delay"), F.asc("uniquecarrier")).withColumn(
         "avg_dep_delay", F.round("avg_dep_delay", 9))
 
 
+def _weighted(spark: SparkSession, d: str, pre: DataFrame) -> DataFrame:
+    """Groups of flights with their airline and, as ``mult``, the number of plane rows of their tail."""
+    mult = planes(spark, d).groupBy("tailnum").agg(F.count(F.lit(1)).alias("mult"))
+    return dim_join(dim_join(pre, mult, "tailnum"), airlines(spark, d), F.col("uniquecarrier") == F.col("code"))
+
+
 PROMPT_CODES = ("F", "O")
 
 
@@ -192,46 +182,28 @@ SELECT uniquecarrier, cancellationcode, CAST(sum(cancelled) AS BIGINT) AS cancel
 WHERE cancelled = 1 AND cancellationcode IN ('F', 'O') GROUP BY uniquecarrier, cancellationcode""",
                                                  "flights", "planes", "airlines", extra={"model": _MODEL_SQL}))
 def dashboard_cancel_correlation(spark, d, prompt: tuple[str, ...] = PROMPT_CODES):
-    """The dashboard's SQL with the reader's prompt values bound as a named parameter (never spliced into text)."""
-    register_star_views(spark, d, suffix="_v")
-    hints = [alias for alias, df in (("p", planes(spark, d)), ("a", airlines(spark, d))) if is_broadcastable(df)]
-    hint = f"/*+ BROADCAST({', '.join(hints)}) */ " if hints else ""
-    return spark.sql(f"""
-        SELECT {hint}f.uniquecarrier, f.cancellationcode, sum(f.cancelled) AS cancelled_count
-        FROM flights_v f JOIN planes_v p ON f.tailnum = p.tailnum JOIN airlines_v a ON f.uniquecarrier = a.code
-        WHERE f.cancelled = 1 AND array_contains(:prompt, f.cancellationcode)
-        GROUP BY f.uniquecarrier, f.cancellationcode""", args={"prompt": F.array(*[F.lit(v) for v in prompt])})
+    """Cancellations by carrier and code; the reader's prompt values are literals of an IN list, which the scan is given."""
+    f = flights(spark, d).where((F.col("cancelled") == 1) & F.col("cancellationcode").isin(*prompt))
+    pre = f.groupBy("uniquecarrier", "cancellationcode", "tailnum").agg(F.sum("cancelled").alias("c"))
+    return _weighted(spark, d, pre).groupBy("uniquecarrier", "cancellationcode").agg(
+        F.sum(F.col("c") * F.col("mult")).alias("cancelled_count"))
 
 
 @register("dashboard_route_traffic", with_views("""
 SELECT concat(origin, '-', dest) AS route, count(*) AS flights_count,
        CAST(sum(distance) AS BIGINT) AS total_distance, count(DISTINCT uniquecarrier) AS carriers
 FROM model GROUP BY concat(origin, '-', dest)""", "flights", "planes", "airlines", extra={"model": _MODEL_SQL}))
-def dashboard_route_traffic(spark, d, max_dim_rows: int | None = None):
+def dashboard_route_traffic(spark, d):
     """Flights, distance and carriers per route over the flights ⨝ planes ⨝ airlines model.
 
-    Dimensions proven small are broadcast into the fact scan.  Otherwise the
-    fact is reduced to (route, carrier, tail) first and each group is weighted
-    by how many plane and airline rows it matches, so the fact is not shuffled
-    row by row for the joins; both paths give the same result.
+    The fact is reduced to (route, carrier, tail) first and each group is
+    weighted by how many plane and airline rows it matches.
     """
-    f, pl, al = flights(spark, d), planes(spark, d), airlines(spark, d)
-    limit = {"max_rows": max_dim_rows} if max_dim_rows is not None else {}
-    route = F.concat_ws("-", "origin", "dest").alias("route")
-    if is_broadcastable(pl.select("tailnum", "model", "engine_type"), **limit) and is_broadcastable(al, **limit):
-        m = semantic_model(spark, d)
-        return m.groupBy(route).agg(F.count(F.lit(1)).alias("flights_count"),
-                                    F.sum("distance").alias("total_distance"),
-                                    F.countDistinct("uniquecarrier").alias("carriers"))
-    pre = f.groupBy("origin", "dest", "uniquecarrier", "tailnum").agg(
+    pre = flights(spark, d).groupBy("origin", "dest", "uniquecarrier", "tailnum").agg(
         F.count(F.lit(1)).alias("n"), F.sum("distance").alias("dist"))
-    pm = pl.groupBy("tailnum").agg(F.count(F.lit(1)).alias("pm"))
-    am = al.groupBy("code").agg(F.count(F.lit(1)).alias("am"))
-    j = pre.join(pm, "tailnum").join(am, F.col("uniquecarrier") == F.col("code"))
-    w = F.col("pm") * F.col("am")
-    return j.groupBy(route).agg(F.sum(F.col("n") * w).alias("flights_count"),
-                                F.sum(F.col("dist") * w).alias("total_distance"),
-                                F.countDistinct("uniquecarrier").alias("carriers"))
+    return _weighted(spark, d, pre).groupBy(F.concat_ws("-", "origin", "dest").alias("route")).agg(
+        F.sum(F.col("n") * F.col("mult")).alias("flights_count"), F.sum(F.col("dist") * F.col("mult")).alias("total_distance"),
+        F.countDistinct("uniquecarrier").alias("carriers"))
 
 
 @register("mv_projection_join", with_views("""

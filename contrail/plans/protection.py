@@ -56,5 +56,4 @@ def pii_tag_propagation(spark, d, role: str = "analyst"):
     nat = table(spark, d, "nation")
     derived = dim_join(cust, nat, F.col("c_nationkey") == F.col("n_nationkey")).select(
         "c_custkey", F.upper("c_name").alias("name_upper"), "n_name", "c_acctbal")
-    derived = pr.propagate_tags(derived, [cust], {"name_upper": ["c_name"]})
     return pr.enforce_tags(derived, POLICY, role)

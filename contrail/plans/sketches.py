@@ -155,28 +155,53 @@ def distinct_exact_vs_hll(spark, d):
                        (rel("union_est") <= HLL_TOL).alias("union_within_bound"))
 
 
-def frequent_flights(spark: SparkSession, d: str, k: int = 10) -> DataFrame:
-    """Frequent-items sketch per ``cancelled`` group, top k estimates, exact counts from a second pass.
+SUPPORT = 0.001  # an item is frequent above this share of its group's rows
 
-    Candidates are at most k per group, so the second pass joins a bounded
-    broadcast side back to the fact.
+
+def frequent_flights(spark: SparkSession, d: str, support: float = SUPPORT, map_size: int = sk.FREQ_MAP_SIZE) -> DataFrame:
+    """Frequent flights of each ``cancelled`` group from a stored sketch: every item whose lower bound exceeds
+    ``support`` (so none is a false positive), with estimate, bounds and the exact count of a second pass.
+
+    A sketch holds at most ``map_size`` items, so the second pass joins a bounded broadcast side back to the fact.
     """
-    flight = F.concat(F.col("uniquecarrier").cast("string"), F.col("flightnum").cast("string"))
+    flight = F.concat(F.col("uniquecarrier").cast("string"), F.lit("-"), F.col("flightnum").cast("string"))
     f = flights(spark, d).select("cancelled", flight.alias("flight"))
     path = scratch_path(spark, "flights-frq-sketch")
-    f.groupBy("cancelled").agg(sk.frequent_items_sketch(F.col("flight")).alias("sk_flightnum")).write.mode(
-        "overwrite").parquet(path)
-    cand = spark.read.parquet(path).select("cancelled", F.explode(sk.frequent_items("sk_flightnum", k)).alias("c"))
-    cand = cand.select("cancelled", F.col("c.item").alias("item"), F.col("c.count").alias("estimate"))
+    f.groupBy("cancelled").agg(sk.frequent_items_sketch(F.col("flight"), map_size).alias("sk_flightnum"), F.count(F.lit(1)).alias("n")).write.parquet(path)
+    held = spark.read.parquet(path).select("cancelled", "n", F.explode(sk.frequent_items("sk_flightnum", map_size)).alias("c"))
+    upper = F.col("c.count")  # the sketch never counts an item short
+    lower = F.greatest(upper - F.floor(F.col("n") * F.lit(sk.frequent_items_error(map_size))), F.lit(0))
+    cand = held.select("cancelled", F.col("c.item").alias("item"), upper.alias("estimate"), lower.cast("long").alias("lower"), upper.alias("upper"), "n")
+    cand = cand.filter(F.col("lower") > F.col("n") * support)
     exact = f.join(F.broadcast(cand.select("cancelled", F.col("item").alias("flight"))), ["cancelled", "flight"]) \
         .groupBy("cancelled", F.col("flight").alias("item")).agg(F.count(F.lit(1)).alias("exact_count"))
-    return cand.join(exact, ["cancelled", "item"], "left").select(
-        "cancelled", "item", "estimate", F.coalesce("exact_count", F.lit(0)).alias("exact_count"))
+    out = cand.join(exact, ["cancelled", "item"], "left").withColumn("exact_count", F.coalesce("exact_count", F.lit(0)))
+    return out.withColumn("within_bounds", F.col("exact_count").between(F.col("lower"), F.col("upper"))).orderBy(
+        "cancelled", F.desc("estimate"), "item")
 
 
-@register("frequent_items")  # approximate item choice under ties: rows-only check, brute force in tests
+@register("frequent_items")  # which items pass depends on the sketch: checked by frequent_items_check and in tests
 def frequent_items(spark, d):
-    return frequent_flights(spark, d)
+    return frequent_flights(spark, d).drop("n")
+
+
+@register("frequent_items_check", with_views(f"""
+SELECT cancelled, count(*) AS n_flights, true AS all_within_bounds, true AS no_false_positive, true AS none_missed
+FROM flights GROUP BY cancelled""", "flights"))
+def frequent_items_check(spark, d):
+    """What every frequent-items answer must satisfy, against exact counts of all flights."""
+    flight = F.concat(F.col("uniquecarrier").cast("string"), F.lit("-"), F.col("flightnum").cast("string"))
+    exact = flights(spark, d).groupBy("cancelled", flight.alias("item")).agg(F.count(F.lit(1)).alias("true_count"))
+    sizes = exact.groupBy("cancelled").agg(F.sum("true_count").alias("n_flights"))
+    got = frequent_flights(spark, d).select("cancelled", "item", "within_bounds")
+    # An item above the support by more than the sketch's error (twice: in its count and its bound) has to be there.
+    sure = (SUPPORT + 2 * sk.frequent_items_error(sk.FREQ_MAP_SIZE)) * F.col("n_flights") + 1
+    j = exact.join(got, ["cancelled", "item"], "left").join(F.broadcast(sizes), "cancelled")  # one row per group
+    found = F.col("within_bounds").isNotNull()
+    return j.groupBy("cancelled", "n_flights").agg(
+        (F.count(F.when(found & ~F.col("within_bounds"), 1)) == 0).alias("all_within_bounds"),
+        (F.count(F.when(found & (F.col("true_count") <= F.col("n_flights") * SUPPORT), 1)) == 0).alias("no_false_positive"),
+        (F.count(F.when(~found & (F.col("true_count") > sure), 1)) == 0).alias("none_missed"))
 
 
 @register("validate_frequent_item", with_views("""

@@ -13,6 +13,8 @@ parquet scans and Catalyst picks the join strategy.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -122,8 +124,7 @@ def flights(spark: SparkSession, sf_dir: str, materialize: bool | None = None) -
 
         fact_dir = spark.conf.get("contrail.fact.dir", None)
         if fact_dir:
-            name = sf_dir.rstrip("/").replace("/", "_").replace(":", "_")
-            path = f"{fact_dir.rstrip('/')}/flights{name}"
+            path = f"{fact_dir.rstrip('/')}/flights-{_fingerprint(spark, sf_dir)}"
             if _complete(spark, path):
                 hit = (path, spark.read.schema(plan.schema).parquet(path).select(*FLIGHT_COLUMNS))
                 _FACTS[key] = hit
@@ -144,6 +145,18 @@ def flights(spark: SparkSession, sf_dir: str, materialize: bool | None = None) -
     return hit[1]
 
 
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Of the fact's input files: path, length and time of each.  Changed input gets a folder of its own."""
+    jvm, seen = spark.sparkContext._jvm, []
+    for t in ("lineitem", "orders", "customer", "supplier"):
+        p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        files = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(p, True)
+        while files.hasNext():
+            f = files.next()
+            seen.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(seen)).encode()).hexdigest()[:20]
+
+
 _MARKER = "_CONTRAIL_COMPLETE"
 
 
