@@ -7,23 +7,52 @@ operators ask for (words are runs of bytes other than 0x20 and 0x09-0x0D).
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import contrail
 from contrail.session import scratch_path
 
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give the package to the Python workers of this application, which need not share the driver's folders.
+
+    Once per application; nothing to do when the package came from a file that Spark already ships.
+    """
+    sc, root = spark.sparkContext, os.path.dirname(os.path.abspath(contrail.__file__))
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    if os.path.isdir(root):
+        path = os.path.join(tempfile.mkdtemp(prefix="contrail-code-"), "contrail.zip")
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            for folder, _, names in os.walk(root):
+                for n in names:
+                    if n.endswith(".py"):
+                        full = os.path.join(folder, n)
+                        z.write(full, os.path.relpath(full, os.path.dirname(root)))
+        sc.addPyFile(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: cuts lineage and survives lost executors."""
     spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    ship_code(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -27,7 +27,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import utf8
+from contrail.llm.common import ship_code, utf8
 from contrail.llm.files import locate
 from contrail.session import scratch_path
 
@@ -234,6 +234,7 @@ class _Reread:
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, items (ids of items with an occurring window), longest."""
+    ship_code(docs.sparkSession)
     folder = scratch_path(docs.sparkSession, "benchmark")
     benchmark.select(F.col("item_id").cast("long").alias("item_id"), utf8(F.col("text")).alias("t")).write.parquet(folder)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(F.col(text_col)).alias("t"))
@@ -242,6 +243,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` without any benchmark window, all columns kept."""
+    ship_code(docs.sparkSession)
     folder = scratch_path(docs.sparkSession, "benchmark")
     benchmark.select(F.col("item_id").cast("long").alias("item_id"), utf8(F.col("text")).alias("t")).write.parquet(folder)
     match, names = _matcher(folder, window), docs.columns

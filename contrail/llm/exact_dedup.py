@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import attach, utf8, written
+from contrail.llm.common import attach, ship_code, utf8, written
 
 _RUNS = "doc_id long, pid int, run long, pos long, text_sha256 string"
 
@@ -53,6 +53,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text: Column | None =
     ``text`` is the normalised text to compare (default: the text column as it
     is).  The row with the largest id of each group is kept.
     """
+    ship_code(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(F.col("text") if text is None else text).alias("t"))
     keyed = rows.select("doc_id", F.substring("t", 1, 32).alias("p"), F.xxhash64("t").alias("h"), "t")
     ranged = keyed.repartitionByRange("p", "h", "doc_id").sortWithinPartitions("p", "h", "t", "doc_id")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import remainder, written
+from contrail.llm.common import remainder, ship_code, written
 
 ORDER = 4
 MAX_GRAMS = 1_000_000
@@ -275,6 +275,7 @@ def _least_counts(levels) -> dict[str, int]:
 
 def train(docs: DataFrame, folds: int = 3, left_out: int = 1) -> Models | None:
     """Models of the languages of the learnable rows of ``docs`` (crc32(doc_id) mod folds is not left_out)."""
+    ship_code(docs.sparkSession)
     known = docs.select("doc_id", "text", "lang").filter("text is not null and lang is not null").filter(remainder(F.col("doc_id"), folds) != left_out)
     tenth = F.pmod(F.xxhash64("doc_id"), F.lit(10)) == 0
     counted = known.filter(~tenth).select("lang", "text").mapInArrow(_count, "lang string, gram string, n long")
@@ -304,6 +305,7 @@ def train(docs: DataFrame, folds: int = 3, left_out: int = 1) -> Models | None:
 
 def identify(docs: DataFrame, models: Models | None) -> DataFrame:
     """One row per document: doc_id, lang_pred, score, rejected."""
+    ship_code(docs.sparkSession)
     if models is None:
         return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(False).alias("rejected"))
 

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import attach, components, utf8, written
+from contrail.llm.common import attach, components, ship_code, utf8, written
 
 PARTS, WIDTH = 2, 32
 DISTANCE = 3
@@ -59,6 +59,7 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and fp (the 64 bits as a signed long) of every row."""
+    ship_code(docs.sparkSession)
     def run(batches):
         for batch in batches:
             fps = np.fromiter((fingerprint(t, shingle) for t in batch.column("t").to_pylist()), np.uint64, batch.num_rows)
@@ -74,6 +75,7 @@ def _bits(fp: np.ndarray) -> np.ndarray:
 
 def group_bits(nodes: DataFrame) -> list[list[int]]:
     """Bit positions of each part: greedily the bits most correlated with those already in the part."""
+    ship_code(nodes.sparkSession)
     def partial(batches):
         both = np.zeros((64, 64))
         for batch in batches:
@@ -224,6 +226,7 @@ def forest(fp: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
 
 def links(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """Edges (a, b) between distinct fingerprints: every link of small keys, a spanning forest of large ones."""
+    ship_code(nodes.sparkSession)
     parts = group_bits(nodes)
     total = float(nodes.count())
     shells = estimates(nodes, parts, distance)

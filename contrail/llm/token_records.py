@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import utf8, written
+from contrail.llm.common import ship_code, utf8, written
 from contrail.llm.files import attempt_name, open_in, open_out
 from contrail.session import scratch_path
 
@@ -173,6 +173,7 @@ def _writer(folder: str, vocabulary: str, end_id: int):
 def write_records(docs: DataFrame, vocabulary: str, end_id: int = 2, folder: str | None = None,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write the record and index files; returns the committed manifest, one row per file pair."""
+    ship_code(docs.sparkSession)
     folder = folder or scratch_path(docs.sparkSession, "records")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(F.col(text_col)).alias("t")).withColumn("h", F.xxhash64("t"))
     ranged = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "t")
@@ -218,6 +219,7 @@ def _read_files(batches):
 
 def read_records(manifest: DataFrame) -> DataFrame:
     """One row per record, in file order: doc_id, start, n_tokens, ids_crc32 (from the files alone)."""
+    ship_code(manifest.sparkSession)
     spark = manifest.sparkSession
     # One row per file: the running token count gives each file its base.
     files, base = [], 0

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import remainder, utf8
+from contrail.llm.common import remainder, ship_code, utf8
 from contrail.llm.decontaminate import words_of
 
 BITS = 20
@@ -82,6 +82,7 @@ def _train_shard(group: pa.Table) -> pa.Table:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, np.ndarray] | None:
     """(features, weights) learnt from labelled rows; None without any."""
+    ship_code(docs.sparkSession)
     known = labels.filter("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.max("toxic").cast("int").alias("toxic"))
     n = known.count()
     if not n:
@@ -99,6 +100,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def score(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id and score (0 to 1)."""
+    ship_code(docs.sparkSession)
     dense = _Weights(model)
 
     def run(batches):
@@ -143,6 +145,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataF
 
 def acceptable(docs: DataFrame, labels: DataFrame, folds: int = 5, limit: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score below ``limit``; all columns kept."""
+    ship_code(docs.sparkSession)
     dense, names = _Weights(train(docs, training_labels(labels, folds))), docs.columns
 
     def keep(batches):

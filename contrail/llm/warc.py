@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import attach, utf8, written
+from contrail.llm.common import attach, ship_code, utf8, written
 from contrail.llm.files import attempt_name, open_in, open_out
 from contrail.session import scratch_path
 
@@ -250,6 +250,7 @@ def with_revisits(pages: DataFrame, least: int = 1000) -> DataFrame:
 
 def write_stream_archives(records: DataFrame, folder: str | None = None, level: int = 6) -> DataFrame:
     """One whole-stream gzip archive per partition; returns the committed manifest."""
+    ship_code(records.sparkSession)
     folder = folder or scratch_path(records.sparkSession, "warc-streams")
     return written(records.mapInArrow(_stream_writer(folder, level), _MANIFEST), "manifest")
 
@@ -260,12 +261,14 @@ def _one_each(manifest: DataFrame) -> DataFrame:
 
 def normalise_archives(manifest: DataFrame, folder: str | None = None, level: int = 6) -> DataFrame:
     """Archives with one gzip member per record and their sidecar indexes; returns the committed manifest."""
+    ship_code(manifest.sparkSession)
     folder = folder or scratch_path(manifest.sparkSession, "warc")
     return written(_one_each(manifest).mapInArrow(_normaliser(folder, level), _MANIFEST), "manifest")
 
 
 def read_archives(manifest: DataFrame) -> DataFrame:
     """One row per record of normalised archives."""
+    ship_code(manifest.sparkSession)
     return _one_each(manifest).mapInArrow(_reader, _READ)
 
 
