@@ -69,12 +69,12 @@ class Ftrl:
 
 def _train_shard(group: pa.Table) -> pa.Table:
     order = np.argsort(group.column("order").to_numpy(), kind="stable")
-    rows = [(np.unique(features(t)), y) for t, y in zip(group.column("t").to_pylist(), group.column("toxic").to_pylist())]
+    rows = [(np.unique(features(t)).astype(np.int32), y) for t, y in zip(group.column("t").to_pylist(), group.column("toxic").to_pylist())]
     model = Ftrl()
     for _ in range(EPOCHS):
         for i in order:
             at, label = rows[i]
-            model.learn(np.append(at, 1 << BITS), label)
+            model.learn(np.append(at, np.int32(1 << BITS)), label)
     used = np.flatnonzero(model.n)
     w = model.weights(used)
     return pa.table({"feature": used[w != 0], "weight": w[w != 0]})
