@@ -114,16 +114,17 @@ class Block:
         for w in (w for it in items for w in it):
             self.number.setdefault(w, len(self.number) + 1)
         self.keys = _Keys(len(self.number) + 1)
-        flat, at, width, item = [], [], [], []
+        flat, at, width, item, place = [], [], [], [], []
         for i, it in enumerate(items):
             n = min(window, len(it))
             for p in range(len(it) - n + 1 if n else 0):
                 at.append(len(flat) + p)
                 width.append(n)
                 item.append(i)
+                place.append(p)
             flat += [self.number[w] for w in it] + [0]
         key = self.keys.pack(np.array(flat or [0], np.int64))
-        self.at, self.width, self.item = (np.array(x, np.int64) for x in (at, width, item))
+        self.at, self.width, self.item, self.place = (np.array(x, np.int64) for x in (at, width, item, place))
         per, masks = self.keys.per, np.array([self.keys.prefix(n) for n in range(self.keys.per + 1)], np.int64)
         self.chunks = []  # (depth, wanted key, mask) until the window is covered
         for depth in range(0, int(self.width.max(initial=0)), per):
@@ -167,6 +168,10 @@ def _blocks(folder: str, window: int):
         yield [i for i, _ in held], Block([w for _, w in held], window)
 
 
+_SPAN = ("item_id", "item_position", "position", "words")
+_SPAN_TYPE = pa.struct([(n, pa.int64()) for n in _SPAN])
+
+
 def _matcher(folder: str, window: int):
     def shard(rows, blocks):
         docs = [words_of(t) for _, t in rows]
@@ -175,6 +180,7 @@ def _matcher(folder: str, window: int):
         flat = [w for d in docs for w in (*d, b"")]
         total = len(flat)
         cover, best, found = np.zeros(total + 1, np.int64), np.zeros(len(docs), np.int64), [[] for _ in docs]
+        spans = [[] for _ in docs]
         for ids, block in blocks:
             number = block.number
             nums = np.fromiter(map(number.get, flat, (0,) * total), np.int64, total)
@@ -191,12 +197,16 @@ def _matcher(folder: str, window: int):
             p, diag, w, d = pos[order], (block.at[which] - pos)[order], width[order], doc[order]
             new = np.flatnonzero(np.r_[True, (np.diff(diag) != 0) | (np.diff(p) != 1)])
             last = np.r_[new[1:], len(p)] - 1
-            np.maximum.at(best, d[new], p[last] + w[last] - p[new])
+            words = p[last] + w[last] - p[new]
+            np.maximum.at(best, d[new], words)
+            first = which[order][new]
+            for x, i, a, b, m in zip(d[new].tolist(), block.item[first].tolist(), block.place[first].tolist(), (p[new] - start[d[new]]).tolist(), words.tolist()):
+                spans[x].append((ids[i], a, b, m))
         hit = np.r_[0, np.cumsum(np.cumsum(cover[:-1]) > 0)]
         n_hit = hit[start + lengths] - hit[start]
         return pa.RecordBatch.from_arrays(
-            [pa.array([i for i, _ in rows], pa.int64()), pa.array(lengths), pa.array(n_hit), pa.array(found, pa.list_(pa.int64())), pa.array(best)],
-            names=["doc_id", "n_words", "n_hit", "items", "longest"])
+            [pa.array([i for i, _ in rows], pa.int64()), pa.array(lengths), pa.array(n_hit), pa.array(found, pa.list_(pa.int64())), pa.array(best), pa.array([[dict(zip(_SPAN, x)) for x in sp] for sp in spans], pa.list_(_SPAN_TYPE))],
+            names=["doc_id", "n_words", "n_hit", "items", "longest", "spans"])
 
     def run(batches, blocks=None):
         blocks = blocks or _Reread(folder, window)
@@ -233,12 +243,14 @@ class _Reread:
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, items (ids of items with an occurring window), longest."""
+    """One row per document: doc_id, n_words, n_hit, items (ids of items with an occurring window), longest,
+    spans (the longest verbatim matches: item_id, first word in the item and in the document, number of words)."""
     ship_code(docs.sparkSession)
     folder = scratch_path(docs.sparkSession, "benchmark")
     benchmark.select(F.col("item_id").cast("long").alias("item_id"), utf8(F.col("text")).alias("t")).write.parquet(folder)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(F.col(text_col)).alias("t"))
-    return rows.mapInArrow(_matcher(folder, window), "doc_id long, n_words long, n_hit long, items array<long>, longest long")
+    return rows.mapInArrow(_matcher(folder, window), "doc_id long, n_words long, n_hit long, items array<long>, longest long, "
+                           "spans array<struct<item_id:long,item_position:long,position:long,words:long>>")
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -86,3 +86,11 @@ def _store(spark, bench):
     path = scratch_path(spark, "bench-test")
     bench.select("item_id", utf8(bench.text).alias("t")).write.parquet(path)
     return path
+
+
+def test_spans_are_the_longest_matches_and_their_places(spark, make):
+    item = [f"w{i}" for i in range(30)]
+    bench = spark.createDataFrame([(1, "other words"), (2, " ".join(item))], "item_id long, text string")
+    docs = [(1, " ".join(["x"] * 3 + item[4:20] + ["y"] + item[15:27])), (2, "a other words other words"), (3, None)]
+    got = {r.doc_id: sorted(map(tuple, r.spans)) for r in dc.find_contamination(make(docs), bench).collect()}
+    assert got == {1: [(2, 4, 3, 16), (2, 15, 20, 12)], 2: [(1, 0, 1, 2), (1, 0, 3, 2)], 3: []}
