@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.llm.common import table
@@ -12,10 +12,13 @@ from contrail.llm.lang_id import languages
 from contrail.llm.mixture import mix
 from contrail.llm.passages import duplicate_passages
 from contrail.llm.pitman_yor import score_texts
+from contrail.llm.private_spans import BASE, places, private_spans
 from contrail.llm.simhash import simhash_components
 from contrail.llm.token_records import records_round_trip
 from contrail.llm.toxicity import toxicity_scores
+from contrail.llm.turn_repair import repair_conversations
 from contrail.llm.warc import archive_round_trip
+from contrail.llm.whitening import whitened
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -157,3 +160,85 @@ def op9_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of whole texts from FTRL-proximal logistic regression."""
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=5)
+
+
+OP11_SQL = r"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS r0, coalesce(text, ' ') AS t0,
+         list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT) AS name
+  FROM conversations),
+coded AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, name), lambda crc, c:
+           list_reduce([xor(crc, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)),
+         4294967295) % 20 AS kind FROM keyed),
+damaged AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE r0 END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(t0, '.!?', '') ELSE t0 END AS text
+  FROM coded, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS u(copy)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS pos,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM damaged),
+marked AS (
+  SELECT *, left(role, 1) AS initial,
+         CASE WHEN bare = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'd' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 't' ELSE 'f' END AS fault FROM placed),
+pairs AS (
+  SELECT conv_id, initial, lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) AS prev, pos FROM marked),
+stats AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+         count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated, count(*) AS n FROM marked GROUP BY conv_id),
+wrong AS (
+  SELECT conv_id, count(*) AS illegal FROM pairs WHERE pos > 1 AND prev || initial NOT IN ('su', 'ua', 'au') GROUP BY conv_id),
+-- States: n nothing, s, u, a the last role written.  Inserts and edits lead from one to another.
+ins(a, b, cost, letters, lines) AS (
+  VALUES ('n', 'n', 0, '', ''), ('s', 's', 0, '', ''), ('u', 'u', 0, '', ''), ('a', 'a', 0, '', ''),
+         ('n', 'u', 5, 'I', chr(10) || 'user:'), ('s', 'u', 5, 'I', chr(10) || 'user:'), ('a', 'u', 5, 'I', chr(10) || 'user:'), ('u', 'a', 5, 'I', chr(10) || 'assistant:'),
+         ('n', 'a', 10, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'), ('s', 'a', 10, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')),
+edit(a, letter, initial, b, cost) AS (
+  VALUES ('n', 'K', 's', 's', 0), ('n', 'K', 'u', 'u', 0), ('s', 'K', 'u', 'u', 0), ('a', 'K', 'u', 'u', 0), ('u', 'K', 'a', 'a', 0),
+         ('n', 'R', NULL, 'u', 1), ('s', 'R', NULL, 'u', 1), ('a', 'R', NULL, 'u', 1), ('u', 'R', NULL, 'a', 1),
+         ('n', 'D', NULL, 'n', 2), ('s', 'D', NULL, 's', 2), ('u', 'D', NULL, 'u', 2), ('a', 'D', NULL, 'a', 2)),
+walk AS (
+  SELECT conv_id, 0::BIGINT AS pos, 'n' AS state, {'cost': 0, 'audit': '', 'lines': ''} AS best FROM stats
+  UNION ALL
+  SELECT w.conv_id, w.pos + 1, e.b, min({'cost': w.best.cost + i.cost + e.cost + CASE WHEN m.fault = 't' AND e.letter <> 'D' THEN 5 ELSE 0 END,
+         'audit': w.best.audit || i.letters || e.letter,
+         'lines': w.best.lines || i.lines || CASE e.letter WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || m.role || ':' || m.text
+                  ELSE chr(10) || CASE e.b WHEN 'u' THEN 'user' ELSE 'assistant' END || ':' || m.text END})
+  FROM walk w JOIN marked m ON m.conv_id IS NOT DISTINCT FROM w.conv_id AND m.pos = w.pos + 1 JOIN ins i ON i.a = w.state
+  JOIN edit e ON e.a = i.b AND (e.initial IS NULL OR e.initial = m.initial) AND (e.letter = 'D' OR m.fault NOT IN ('b', 'd'))
+  GROUP BY w.conv_id, w.pos, e.b),
+done AS (
+  SELECT w.conv_id, min({'cost': w.best.cost + i.cost, 'audit': w.best.audit || i.letters, 'lines': w.best.lines || i.lines}) AS best
+  FROM walk w JOIN stats s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.n = w.pos JOIN ins i ON i.a = w.state
+  WHERE i.b IN ('n', 'a') GROUP BY w.conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.cost, 0)::BIGINT AS cost,
+       coalesce(best.audit, '') AS audit, sha256(coalesce(substr(best.lines, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN stats s ON s.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN wrong w ON w.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+@query("op11_turn_repair", OP11_SQL)
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and the cheapest repair of every damaged conversation."""
+    out = repair_conversations(table(spark, sf_dir, "conversations"))
+    return out.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
+@query("op12_private_spans")
+def op12_private_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every whole text: counts and digest of the base spans, and all spans."""
+    out = private_spans(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return out.select("doc_id", *map(count, BASE), F.sha2(places(base), 256).alias("base_sha256"), places(F.col("spans")).alias("spans"))
+
+
+@query("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first four whitened coordinates of every usable embedding."""
+    return whitened(table(spark, sf_dir, "embeddings"))
