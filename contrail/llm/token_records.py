@@ -29,10 +29,13 @@ import json
 import os
 import re
 import struct
+import sys
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,7 +53,9 @@ _NAMED = dict(zip([b for b in range(256) if b not in _SHOWN], range(256, 512)))
 _LEN, _CRC, _ENTRY = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<qQII")
 _MANIFEST = "pid int, records string, index string, docs long, tokens long"
 _READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
-CACHE_WORDS = 800_000
+PIECE_BYTES = 16 << 20     # text encoded at a time
+CACHE_BYTES = 96 << 20     # words and ids that a worker remembers
+_ENTRY_BYTES = 190         # of a remembered word: two objects and its slot
 
 
 def masked(data: bytes) -> int:
@@ -80,7 +85,10 @@ def index_entry(doc_id: int | None, offset: int, n: int) -> bytes:
 
 
 class WordEncoder:
-    """Bytes of little-endian ids for a text, encoding each distinct word once."""
+    """Bytes of little-endian ids for a text, encoding each distinct word once.
+
+    What a worker remembers is bounded by bytes.
+    """
 
     _shared: dict[str, WordEncoder] = {}
 
@@ -90,7 +98,9 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.words: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
+        self.held = 0
         self.latin = self._splits_at_letters()
 
     def _splits_at_letters(self) -> bool:
@@ -108,11 +118,15 @@ class WordEncoder:
         return cls._shared[path]
 
     def learn(self, missing: list[str]) -> None:
-        dtype, rest = f"<u{self.width}", []
+        dtype, rest, tokenize, code = f"<u{self.width}", [], self.tokenizer.model.tokenize, "H" if self.width == 2 else "I"
         for w in missing:
             if self.latin and _LATIN.fullmatch(w):
-                named = w.lower().encode().decode("latin-1").translate(_NAMED)
-                self.words[w.encode()] = np.array([t.id for t in self.tokenizer.model.tokenize(named)], dtype).tobytes()
+                low = w.lower()
+                named = low if low.isascii() else low.encode().decode("latin-1").translate(_NAMED)
+                ids = array(code, [t.id for t in tokenize(named)])
+                if sys.byteorder == "big":
+                    ids.byteswap()
+                self._keep(w, ids.tobytes())
             else:
                 rest.append(w)
         for i in range(0, len(rest), 2000):
@@ -121,22 +135,59 @@ class WordEncoder:
             raw = np.array(got.ids, dtype).tobytes()
             ends = (self.width * np.searchsorted(np.array(got.word_ids, dtype=np.int64), np.arange(len(part) + 1))).tolist()
             for w, a, b in zip(part, ends, ends[1:]):
-                self.words[w.encode()] = raw[a:b]
+                self._keep(w, raw[a:b])
+
+    def _keep(self, word: str, ids: bytes) -> None:
+        self.words[word] = ids
+        self.held += _ENTRY_BYTES + len(word) + len(ids)
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words; only those that are not known yet are encoded.
+
+        Words are remembered in two generations: when the younger one has reached half of
+        ``CACHE_BYTES`` it becomes the older, and what the older held and nobody asked for again is forgotten.
+        """
+        if self.held > CACHE_BYTES // 2:
+            self.older, self.words, self.held = self.words, {"": b""}, 0
+        known, older, missing, split = self.words, self.older, [], []
+        for w in words:
+            if w not in known:
+                ids = older.get(w)
+                if ids is not None:
+                    self._keep(w, ids)
+                elif self.latin and not w.isalpha() and (m := _LATIN_THEN_MARKS.fullmatch(w)):
+                    split.append((w, m.groups()))  # letters and the marks behind them are pre-tokens of their own
+                else:
+                    missing.append(w)
+        parts = {p for _, ps in split for p in ps if p not in known}
+        self.learn([*missing, *parts.difference(missing)])
+        for w, (letters, marks) in split:
+            self._keep(w, known[letters] + known[marks])
+        return [known[w] for w in words]
+
+    def encode_column(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text of a column: split and numbered by Arrow, every distinct word looked up once."""
+        words = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+        numbered = words.flatten().dictionary_encode()
+        ids = pa.array(self._ids(numbered.dictionary.to_pylist()), pa.large_binary()).take(numbered.indices)
+        offsets = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1, 8 * ids.offset) if len(ids) else np.zeros(1, np.int64)
+        ends = offsets[np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False))])].tolist()
+        raw = memoryview(ids.buffers()[2]) if len(ids) and ids.buffers()[2] is not None else b""
+        return [bytes(raw[a:b]) for a, b in zip(ends, ends[1:])]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        known, split = self.words, [t.split() for t in texts]
-        missing = {w for s in split for w in s if w not in known}
-        if missing:
-            parts = {w: [w.decode()] for w in missing}
-            if self.latin:  # letters and the marks behind them are pre-tokens of their own
-                parts |= {w: list(m.groups()) for w, (x,) in parts.items() if (m := _LATIN_THEN_MARKS.fullmatch(x))}
-            self.learn(sorted({p for ps in parts.values() for p in ps if p.encode() not in known}))
-            for w, ps in parts.items():
-                if len(ps) > 1:
-                    known[w] = b"".join([known[p.encode()] for p in ps])
-        return [b"".join(map(known.__getitem__, s)) for s in split]
+        return self.encode_column(pa.array(texts, pa.binary()))
+
+
+def pieces(batch: pa.RecordBatch, column: str, size: int):
+    """Slices of a batch with about ``size`` bytes in ``column``, one row at least."""
+    ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = int(ends[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield batch.slice(at, stop - at)
+        at = stop
 
 
 def _writer(folder: str, vocabulary: str, end_id: int):
@@ -146,14 +197,13 @@ def _writer(folder: str, vocabulary: str, end_id: int):
         docs = tokens = offset = 0
         names = [attempt_name(folder, pid, ".rec"), attempt_name(folder, pid, ".idx")]
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in pieces(batch, "t", PIECE_BYTES):
                 if rec is None:
                     rec, idx, encoder = open_out(names[0]), open_out(names[1]), WordEncoder.of(vocabulary)
                     end = end_id.to_bytes(encoder.width, "little")
                     offset = rec.write(file_mark(encoder.width))
                 out, entries = [], []
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(part.column("t").to_pylist())):
+                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoder.encode_column(part.column("t"))):
                     ids += end
                     out.append(frame(ids))
                     entries.append(index_entry(doc_id, offset, len(ids) // encoder.width))
