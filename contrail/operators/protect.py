@@ -4,8 +4,9 @@ Policies are plain Python data evaluated into Spark expressions.  A policy names
 the roles it knows; any other role is refused.  Tags live in column metadata.
 Spark drops metadata on computed expressions, so :func:`lineage_tags` follows
 the attribute references of the analysed plan from every output column back to
-the tagged ones; a column whose origin the plan does not show (the output of
-foreign code, say) counts as carrying every tag.
+the tagged ones, into the plans of subqueries too (a scalar's value, and the
+columns that an IN or EXISTS subquery compares); a column whose origin the plan
+does not show (the output of foreign code, say) counts as carrying every tag.
 """
 
 from __future__ import annotations
@@ -58,7 +59,7 @@ def _mask(c: str, how: str) -> Column:
     if how == "null":
         return F.lit(None).cast("string")
     if how == "redact":
-        return F.regexp_replace(F.col(c).cast("string"), r"[A-Za-z0-9]", "x")
+        return F.regexp_replace(F.col(c).cast("string"), r"[\p{L}\p{M}\p{N}]", "x")
     raise ValueError(how)
 
 
@@ -95,6 +96,7 @@ def tags_of(df: DataFrame) -> dict[str, set[str]]:
 
 
 EVERY_TAG = "*"
+SUBQUERY = {"ScalarSubquery", "ListQuery", "Exists", "LateralSubquery"}  # expressions that hold a plan
 
 
 def _seq(s) -> list:
@@ -114,7 +116,22 @@ def lineage_tags(df: DataFrame) -> dict[str, set[str]]:
         return i
 
     def refs(e) -> set[int]:
-        return {a.exprId().id() for a in _seq(e.references().toSeq())}
+        return {a.exprId().id() for a in _seq(e.references().toSeq())} | subqueries(e)
+
+    def subqueries(e) -> set[int]:
+        """What the plans inside an expression give it: their output, and for IN and EXISTS all that decides about their rows."""
+        out: set[int] = set()
+        for c in _seq(e.children()):
+            out |= subqueries(c)
+        if e.getClass().getSimpleName() in SUBQUERY:
+            plan = e.plan()
+            walk(plan)
+            out |= {a.exprId().id() for a in _seq(plan.output())} | conditions(plan)
+        return out
+
+    def conditions(p) -> set[int]:
+        out = {a.exprId().id() for a in _seq(p.references().toSeq())} if p.getClass().getSimpleName() in ("Filter", "Join") else set()
+        return out.union(*[conditions(c) for c in _seq(p.children())])
 
     def aliases(e) -> None:
         if e.getClass().getSimpleName() == "Alias":

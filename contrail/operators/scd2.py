@@ -64,13 +64,23 @@ def _changed(opts: Scd2Options, left: str = "d", right: str = "s") -> Column:
     return cond
 
 
+def _sides(cur: DataFrame, stage: DataFrame, opts: Scd2Options) -> tuple[DataFrame, Column, Column]:
+    """Full outer join of open rows (``d``) and stage (``s``), and a column per side that says whether its row is there.
+
+    The sides carry marks of their own, so an open row whose key is null is a row like any other.
+    """
+    d = cur.withColumn("__in_dim", F.lit(True)).alias("d")
+    s = stage.select(opts.key, *opts.attrs).withColumn("__in_stage", F.lit(True)).alias("s")
+    j = d.join(s, F.col(f"d.{opts.key}") == F.col(f"s.{opts.key}"), "full_outer")
+    return j, F.col("__in_dim").isNotNull(), F.col("__in_stage").isNotNull()
+
+
 def change_feed(dim: DataFrame, stage: DataFrame, opts: Scd2Options = VARIANT_A) -> DataFrame:
     """Tag every change: update-close, update-insert, insert, delete → (ops, join_key, key, attrs...)."""
-    cur = dim.where(_is_open(opts)).select(opts.key, *opts.attrs).alias("d")
-    stg = stage.select(opts.key, *opts.attrs).alias("s")
-    j = cur.join(stg, F.col(f"d.{opts.key}") == F.col(f"s.{opts.key}"), "full_outer")
-    both = F.col(f"d.{opts.key}").isNotNull() & F.col(f"s.{opts.key}").isNotNull()
-    skey, dkey = F.col(f"s.{opts.key}"), F.col(f"d.{opts.key}")
+    check_stage(stage, opts)
+    j, in_dim, in_stage = _sides(dim.where(_is_open(opts)).select(opts.key, *opts.attrs), stage, opts)
+    both, dkey = in_dim & in_stage, F.col(f"d.{opts.key}")
+    skey = F.col(f"s.{opts.key}")
 
     def tagged(tag: str, join_key: Column | None, side: str) -> Column:
         jk = join_key if join_key is not None else F.lit(None).cast(dim.schema[opts.key].dataType)
@@ -81,10 +91,10 @@ def change_feed(dim: DataFrame, stage: DataFrame, opts: Scd2Options = VARIANT_A)
     changes = [
         F.when(both & _changed(opts), tagged("update - change the old row", skey, "s")),
         F.when(both & _changed(opts), tagged("update - insert row", None, "s")),
-        F.when(dkey.isNull(), tagged("insert", None, "s")),
+        F.when(~in_dim, tagged("insert", None, "s")),
     ]
-    if opts.with_deletes:
-        changes.append(F.when(skey.isNull(), tagged("delete", dkey, "d")))
+    if opts.with_deletes:  # a null key names no carrier, so a stage cannot leave it out
+        changes.append(F.when(~in_stage & dkey.isNotNull(), tagged("delete", dkey, "d")))
     return j.select(F.explode(F.array(*changes)).alias("c")).where(F.col("c").isNotNull()).select("c.*")
 
 
@@ -92,10 +102,17 @@ class DuplicateKeyError(ValueError):
     """The staged snapshot names a key more than once."""
 
 
+class NullKeyError(ValueError):
+    """The staged snapshot holds rows without a key."""
+
+
 def check_stage(stage: DataFrame, opts: Scd2Options) -> None:
-    twice = stage.groupBy(opts.key).count().where("count > 1").select(opts.key).limit(5).collect()
-    if twice:
-        raise DuplicateKeyError(f"stage holds several rows for {opts.key} {[r[0] for r in twice]}")
+    """Refuse a stage in which a key is null or named twice."""
+    bad = stage.groupBy(opts.key).count().where((F.col("count") > 1) | F.col(opts.key).isNull()).select(opts.key).limit(5).collect()
+    if any(r[0] is None for r in bad):
+        raise NullKeyError(f"stage holds rows whose {opts.key} is null")
+    if bad:
+        raise DuplicateKeyError(f"stage holds several rows for {opts.key} {[r[0] for r in bad]}")
 
 
 def merge_into(dim: str, refs, stage: DataFrame, as_of: str, opts: Scd2Options = VARIANT_A) -> DataFrame:
@@ -109,16 +126,17 @@ def merge_into(dim: str, refs, stage: DataFrame, as_of: str, opts: Scd2Options =
 
 
 def merge(dim: DataFrame, stage: DataFrame, as_of: str, opts: Scd2Options = VARIANT_A) -> DataFrame:
-    """New dimension table after applying ``stage`` at time ``as_of``; a stage that repeats a key is refused."""
+    """New dimension table after applying ``stage`` at time ``as_of``.
+
+    A stage with a null or repeated key is refused.  Open rows of the dimension whose key is null
+    match nothing and stay as they are.
+    """
     check_stage(stage, opts)
     cols = _columns(opts)
     history = dim.where(~F.coalesce(_is_open(opts), F.lit(False))).select(*cols)
-    cur = dim.where(_is_open(opts)).select(*cols).alias("d")
-    stg = stage.select(opts.key, *opts.attrs).alias("s")
-    j = cur.join(stg, F.col(f"d.{opts.key}") == F.col(f"s.{opts.key}"), "full_outer")
-    in_dim, in_stage = F.col(f"d.{opts.key}").isNotNull(), F.col(f"s.{opts.key}").isNotNull()
+    j, in_dim, in_stage = _sides(dim.where(_is_open(opts)).select(*cols), stage, opts)
     changed = in_dim & in_stage & _changed(opts)
-    close = changed | (in_dim & ~in_stage) if opts.with_deletes else changed
+    close = changed | (in_dim & ~in_stage & F.col(f"d.{opts.key}").isNotNull()) if opts.with_deletes else changed
     now = _t(as_of, opts)
 
     def version(side: str, updated: Column | None, valid_from: Column, valid_to: Column) -> Column:

@@ -514,10 +514,10 @@ def test_changed_input_gets_a_new_shared_fact(spark):
 
     root = Path(tempfile.mkdtemp())
     for t in ("lineitem", "orders", "customer", "supplier"):
-        shutil.copy(f"{SF_SMALL}/{t}.parquet", root)
+        shutil.copyfile(f"{SF_SMALL}/{t}.parquet", root / f"{t}.parquet")
     first = _fingerprint(spark, str(root))
     assert first == _fingerprint(spark, f"{root}/")
-    shutil.copy("/root/testdata/sf0.01/orders.parquet", root / "orders.parquet")
+    shutil.copyfile("/root/testdata/sf0.01/orders.parquet", root / "orders.parquet")
     assert _fingerprint(spark, str(root)) != first
 
 
