@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.operators import scd2
@@ -200,6 +203,11 @@ def snapshot_time_travel(spark, d):
             .unionByName(counts(st.read(spark), "latest")))
 
 
+def writers_for(df: DataFrame) -> int:
+    """As many writers as the input has splits, the shuffle width at least."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
+
+
 @register("partition_evolution", with_views("""
 SELECT CASE WHEN year <= 1998 THEN 'by_year' ELSE 'by_year_month_day' END AS layout, year, month,
        count(*) AS n_rows FROM flights GROUP BY 1, 2, 3""", "flights"))
@@ -207,7 +215,7 @@ def partition_evolution(spark, d):
     """Older data keeps the coarse (year) layout, newer data uses (year, month, dayofmonth); reads union both."""
     f = flights(spark, d)
     old, new = scratch_path(spark, "flights-by-year"), scratch_path(spark, "flights-by-day")
-    writers = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writers = writers_for(f)
     salt = ["tailnum", "flightnum", "deptime", "distance"]
     tbl.write_range_partitioned(f.where(F.col("year") <= 1998), old, ["year"], salt, writers)
     tbl.write_range_partitioned(f.where(F.col("year") > 1998), new, ["year", "month", "dayofmonth"], salt, writers)
@@ -266,15 +274,66 @@ def build_rollup(f: DataFrame, al: DataFrame) -> DataFrame:
         F.sum("departure_delay_count").alias("departure_delay_count"))
 
 
+_ROLLUP_KEYS = ["code", "airline_name", "month"]
+
+
 def refresh_rollup(rollup: DataFrame, delta: DataFrame) -> DataFrame:
     """Fold a delta rollup into an existing one; equals a rebuild over base + delta."""
-    keys = ["code", "airline_name", "month"]
-    return rollup.unionByName(delta).groupBy(*keys).agg(
+    return rollup.unionByName(delta).groupBy(*_ROLLUP_KEYS).agg(
         F.sum("flights_count").alias("flights_count"), F.sum("cancelled").alias("cancelled"),
         F.sum("departure_delay_minutes").alias("departure_delay_minutes"),
         F.sum("departure_delay_count").alias("departure_delay_count"))
 
 
+def signed_rollup(changes: DataFrame, al: DataFrame) -> DataFrame:
+    """Rollup of signed rows (``weight`` -1 or +1), the change that they make to a stored rollup.
+
+    Rows that a rewrite copied unchanged cancel in the first, partial aggregate;
+    groups that keep nothing go before the dimension is joined.
+    """
+    w, delay = F.col("weight"), F.coalesce("depdelay", F.lit(0))
+    pre = changes.groupBy("uniquecarrier", "month").agg(
+        F.sum(w).alias("flights_count"), F.sum(w * F.col("cancelled")).alias("cancelled"), F.sum(w * delay).alias("departure_delay_minutes"),
+        F.sum(F.when(delay > 0, w).otherwise(0)).alias("departure_delay_count"))
+    moved = pre.where("flights_count <> 0 or cancelled <> 0 or departure_delay_minutes <> 0 or departure_delay_count <> 0")
+    j = dim_join(moved, al, F.col("uniquecarrier") == F.col("code"))
+    return j.groupBy("code", F.col("description").alias("airline_name"), "month").agg(
+        *[F.sum(c).alias(c) for c in ("flights_count", "cancelled", "departure_delay_minutes", "departure_delay_count")])
+
+
+def apply_changes(rollup: DataFrame, signed: DataFrame) -> DataFrame:
+    """A stored rollup after signed changes: groups without rows go, a count of no delayed flight is NULL as in a rebuild."""
+    out = refresh_rollup(rollup, signed).where("flights_count <> 0")
+    return out.withColumn("departure_delay_count", F.nullif("departure_delay_count", F.lit(0)))
+
+
+@dataclass
+class MaintainedRollup:
+    """A stored rollup of a versioned table and the table version that it answers for."""
+    base: tbl.VersionedTable
+    path: str
+    version: int
+
+    @classmethod
+    def build(cls, spark: SparkSession, base: tbl.VersionedTable, al: DataFrame) -> MaintainedRollup:
+        version, path = base.version(spark), scratch_path(spark, "rollup-stored")
+        build_rollup(base.read(spark, version), al).write.parquet(path)
+        return cls(base, path, version)
+
+    def refresh(self, spark: SparkSession, al: DataFrame) -> MaintainedRollup:
+        """Fold in what happened to the table since: only folders that came or went are read, never the others."""
+        until = self.base.version(spark)
+        if until == self.version:
+            return self
+        signed = signed_rollup(self.base.changes(spark, self.version, until), al)
+        path = scratch_path(spark, "rollup-stored")  # the rollup of the earlier version stays readable
+        apply_changes(spark.read.parquet(self.path), signed).write.parquet(path)
+        return MaintainedRollup(self.base, path, until)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(self.path)
+
+
 _ROLLUP_SQL = with_views("""
 SELECT a.code, a.description AS airline_name, f.month, count(*) AS flights_count,
        CAST(sum(f.cancelled) AS BIGINT) AS cancelled,
@@ -303,6 +362,33 @@ def mv_incremental_refresh(spark, d):
     return spark.read.parquet(out)
 
 
+_DML_NOW = """
+, base AS (
+  SELECT uniquecarrier, month, cancelled, CASE WHEN depdelay < 0 THEN 0 ELSE depdelay END AS depdelay FROM flights
+  WHERE NOT coalesce(cancellationcode = 'F' AND month IN (1, 2), false) AND NOT (uniquecarrier = 3 AND month = 5)),
+now AS (
+  SELECT * FROM base UNION ALL
+  SELECT uniquecarrier, month, cancelled, depdelay + 60 FROM flights WHERE year = 1997 AND dayofmonth <= 3)
+SELECT a.code, a.description AS airline_name, f.month, count(*) AS flights_count, CAST(sum(f.cancelled) AS BIGINT) AS cancelled,
+       CAST(sum(coalesce(depdelay, 0)) AS BIGINT) AS departure_delay_minutes,
+       CAST(sum(CASE WHEN coalesce(depdelay, 0) > 0 THEN 1 END) AS BIGINT) AS departure_delay_count
+FROM now f JOIN airlines a ON f.uniquecarrier = a.code GROUP BY a.code, a.description, f.month"""
+
+
+@register("mv_refresh_after_dml", with_views(_DML_NOW, "flights", "airlines"))
+def mv_refresh_after_dml(spark, d):
+    """A stored rollup kept right through UPDATE, DELETE and INSERT by signed deltas; must equal a rebuild."""
+    f, al = flights(spark, d), airlines(spark, d)
+    t = tbl.VersionedTable.create(spark, f, scratch_path(spark, "flights-maintained"), ["year"])
+    rollup = MaintainedRollup.build(spark, t, al)
+    t.update(spark, F.col("depdelay") < 0, {"depdelay": F.lit(0)})
+    rollup = rollup.refresh(spark, al)
+    t.delete(spark, (F.col("cancellationcode") == "F") & F.col("month").isin(1, 2))
+    t.delete(spark, (F.col("uniquecarrier") == 3) & (F.col("month") == 5))  # whole groups go
+    t.insert(spark, f.where("year = 1997 and dayofmonth <= 3").withColumn("depdelay", F.col("depdelay") + 60))
+    return rollup.refresh(spark, al).read(spark)
+
+
 @register("mv_answer_from_rollup", with_views("""
 SELECT a.code, min(a.description) AS airline_name, count(*) AS flights_count,
        CAST(sum(f.cancelled) AS BIGINT) AS cancelled
@@ -332,6 +418,25 @@ def compact_partitions(spark, d):
     return t.layout(spark).join(F.broadcast(frozen), "year").select("year", "rows", "files", (F.col("files") < F.col("files_before")).alias("compacted"))
 
 
+@register("compact_small_files", with_views("""
+SELECT year, count(*) + count(*) FILTER (WHERE dayofmonth <= 3) AS rows, CAST(4 AS BIGINT) AS files_before, CAST(3 AS BIGINT) AS files_read,
+       CAST(2 AS BIGINT) AS files_after, true AS large_untouched FROM flights GROUP BY year""", "flights"))
+def compact_small_files(spark, d):
+    """One large file a year and three small inserts; packing reads the small files only and leaves the large one."""
+    f = flights(spark, d)
+    t = tbl.VersionedTable.create(spark, f, scratch_path(spark, "flights-inserts"), ["year"], files_per_partition=1)
+    large = t.file_sizes(spark).select(F.col("year").alias("_y"), F.col("file").alias("_large"), F.col("bytes").alias("_bytes")).collect()
+    for day in (1, 2, 3):
+        t.insert(spark, f.where(F.col("dayofmonth") == day), files_per_partition=1)
+    before = [tuple(r) for r in t.layout(spark).select("year", "files").collect()]  # one row per partition
+    read = t.compact_small_files(spark, target_bytes=max(r["_bytes"] for r in large)).groupBy("year").agg(F.count(F.lit(1)).alias("files_read"))
+    now = t.file_sizes(spark).groupBy("year").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("files_after"), F.collect_set("file").alias("_files"))
+    was = spark.createDataFrame(before, "year int, files_before long")
+    kept = spark.createDataFrame(large, "_y int, _large string, _bytes long")  # the frames joined here have one row per partition
+    out = now.join(F.broadcast(was), "year").join(F.broadcast(read), "year").join(F.broadcast(kept), F.col("year") == F.col("_y"))
+    return out.select("year", "rows", "files_before", "files_read", "files_after", F.array_contains("_files", F.col("_large")).alias("large_untouched"))
+
+
 @register("table_layout_profile", with_views("""
 SELECT year, CAST(2 AS BIGINT) AS files, count(*) AS rows FROM flights GROUP BY year""", "flights"))
 def table_layout_profile(spark, d):
@@ -361,7 +466,7 @@ FROM flights GROUP BY year, month""", "flights"))
 def sink_partitioned_roundtrip(spark, d):
     path = scratch_path(spark, "flights-by-month")
     tbl.write_range_partitioned(flights(spark, d), path, ["year", "month"], ["tailnum", "flightnum", "deptime", "distance"],
-                                int(spark.conf.get("spark.sql.shuffle.partitions")))
+                                writers_for(flights(spark, d)))
     return spark.read.parquet(path).groupBy("year", "month").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("distance").alias("total_distance"))
 
@@ -379,6 +484,35 @@ def scan_partition_pruned(spark, d):
 
 
 def newest_partition(t: DataFrame) -> tuple[int, int]:
-    """Highest (year, month): an aggregate over partition columns alone, which reads no data column."""
-    row = t.where("year is not null and month is not null").agg(F.max(F.struct("year", "month")).alias("m")).first()["m"]
-    return row["year"], row["month"]
+    """Highest (year, month), taken from the folder names of the listing that the scan needs anyway: no job."""
+    named = (re.search(r"/year=(-?\d+)/month=(\d+)/", f) for f in t.inputFiles())
+    return max((int(m[1]), int(m[2])) for m in named if m)
+
+
+@register("scan_pruned_by_dim", with_views("""
+, calendar AS (SELECT DISTINCT year, month, CAST(ceil(month / 3.0) AS INTEGER) AS quarter, year % 2 = 1 AS odd_year FROM flights)
+SELECT f.year, f.month, c.quarter, count(*) AS n_rows, CAST(sum(f.distance) AS BIGINT) AS total_distance
+FROM flights f JOIN calendar c ON f.year = c.year AND f.month = c.month WHERE c.quarter = 2 AND c.odd_year GROUP BY ALL""", "flights"))
+def scan_pruned_by_dim(spark, d):
+    """The second quarters of odd years: the filter on the calendar prunes the fact's folders while the join runs."""
+    return quarters(flights(spark, d), calendar(spark, d), (F.col("quarter") == 2) & F.col("odd_year"))
+
+
+def calendar(spark: SparkSession, d: str) -> DataFrame:
+    """One row per month of the fact, stored as a dimension; at most twelve rows a year."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _CALENDARS:
+        path = scratch_path(spark, "calendar")
+        months = flights(spark, d).select("year", "month").distinct()
+        months.withColumns({"quarter": F.ceil(F.col("month") / 3).cast("int"), "odd_year": F.col("year") % 2 == 1}).coalesce(1).write.parquet(path)
+        _CALENDARS[key] = path
+    return spark.read.parquet(_CALENDARS[key])
+
+
+_CALENDARS: dict[tuple[str, str], str] = {}
+
+
+def quarters(f: DataFrame, cal: DataFrame, chosen: Column) -> DataFrame:
+    """Rows and distance by month of the chosen months; the calendar side is a broadcast that also prunes the scan."""
+    j = f.join(F.broadcast(cal.where(chosen)), ["year", "month"])
+    return j.groupBy("year", "month", "quarter").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("distance").alias("total_distance"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from contrail.plans.registry import register
@@ -52,3 +53,29 @@ def scan_csv_dialect(spark, d):
     dl.write_dialect(table(spark, d, "customer"), path, sep="|", quote="'")
     return dl.read_dialect(spark, path, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
                                         "c_mktsegment string", sep="|", quote="'")
+
+
+_REJECT_SQL = "CASE WHEN p_partkey % 97 = 0 THEN 'p_size' WHEN p_partkey % 89 = 0 THEN 'p_partkey' WHEN p_partkey % 83 = 0 OR p_partkey % 79 = 0 THEN 'fields' END"
+
+
+@register("scan_csv_rejects", f"""
+WITH l AS (SELECT *, {_REJECT_SQL} AS reason FROM part)
+SELECT coalesce(reason, 'accepted') AS outcome, count(*) AS n_lines, CAST(sum(CASE WHEN reason IS NULL THEN p_size END) AS BIGINT) AS sum_size,
+       (SELECT count(*) FROM part) AS n_in_file FROM l GROUP BY 1""")
+def scan_csv_rejects(spark, d):
+    """Lines with a bad number or a wrong number of fields go to a quarantine table; accepted and rejected lines make up the file."""
+    key, size = F.col("p_partkey"), F.col("p_size").cast("string")
+    line = (F.when(key % 97 == 0, F.concat_ws(",", key.cast("string"), "p_brand", F.concat(F.lit("x"), size)))
+            .when(key % 89 == 0, F.concat_ws(",", F.concat(key.cast("string"), F.lit("?")), "p_brand", size))
+            .when(key % 83 == 0, F.concat_ws(",", key.cast("string"), "p_brand"))
+            .when(key % 79 == 0, F.concat_ws(",", key.cast("string"), "p_brand", size, F.lit("more")))
+            .otherwise(F.concat_ws(",", key.cast("string"), "p_brand", size)))
+    path, quarantine = scratch_path(spark, "parts-csv"), scratch_path(spark, "parts-rejected")
+    dl.write_raw_lines(table(spark, d, "part").select(line.alias("line")), "p_partkey,p_brand,p_size", path)
+    accepted, rejects = dl.read_with_rejects(spark, path, "p_partkey long, p_brand string, p_size int")
+    dl.write_quarantine(rejects, quarantine)
+    kept = spark.read.schema("file string, line string, reason string").parquet(quarantine)
+    good = accepted.agg(F.lit("accepted").alias("outcome"), F.count(F.lit(1)).alias("n_lines"), F.sum("p_size").alias("sum_size"))
+    bad = kept.groupBy(F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("n_lines"), F.lit(None).cast("long").alias("sum_size"))
+    both = good.unionByName(bad)
+    return both.withColumn("n_in_file", F.sum("n_lines").over(Window.partitionBy()))  # a handful of rows

@@ -157,6 +157,11 @@ def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
     return hashlib.sha256("\n".join(sorted(seen)).encode()).hexdigest()[:20]
 
 
+def fact_fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Changes when an input file of the fact does."""
+    return _fingerprint(spark, sf_dir)
+
+
 _MARKER = "_CONTRAIL_COMPLETE"
 
 
