@@ -10,14 +10,17 @@ predicted too.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import FeatureHasher
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.functions.scalars import stable_pick
+from contrail.functions.scalars import event_ts, stable_pick
+from contrail.operators.tables import TableRefs
 
 CATEGORICAL = ["uniquecarrier", "origin", "dest"]
 NUMERIC = ["week", "hour"]
@@ -27,20 +30,19 @@ WIDTH = 4096  # hashed features
 
 def with_features(flights: DataFrame) -> DataFrame:
     """week (ISO week of the flight date) and hour (from HHMM departure time)."""
-    day = F.make_date("year", "month", "dayofmonth")
+    day = F.to_date(event_ts("year", "month", "dayofmonth", F.lit(0)))  # null for an impossible date
     return flights.withColumn("week", F.weekofyear(day)).withColumn("hour", F.expr("deptime div 100").cast("int"))
 
 
 def feature_text(df: DataFrame) -> Column:
-    """The serving input format: ``"carrier,origin,dest,week,hour"``."""
-    return F.concat_ws(",", *[F.col(c).cast("string") for c in FEATURES])
+    """The serving input format: ``"carrier,origin,dest,week,hour"``; a null feature is an empty field."""
+    return F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in FEATURES])
 
 
 def split_features(text: str | Column) -> list[Column]:
+    """Typed feature columns of the serving text; missing, empty and unreadable fields are null."""
     parts = F.split(F.col(text) if isinstance(text, str) else text, ",")
-    return [parts[0].try_cast("int").alias("uniquecarrier"), parts[1].try_cast("int").alias("origin"),
-            parts[2].try_cast("int").alias("dest"), parts[3].try_cast("int").alias("week"),
-            parts[4].try_cast("int").alias("hour")]
+    return [F.get(parts, F.lit(i)).try_cast("int").alias(c) for i, c in enumerate(FEATURES)]
 
 
 def fit(train: DataFrame, label: Column, max_iter: int = 10) -> PipelineModel:
@@ -54,6 +56,20 @@ def fit(train: DataFrame, label: Column, max_iter: int = 10) -> PipelineModel:
     return Pipeline(stages=stages).fit(labelled.withColumn("class_weight", weight))
 
 
+def save(model: PipelineModel, refs: TableRefs, name: str, at: str) -> str:
+    """Write the fitted pipeline into a folder of its own and point the named reference at it; returns the folder."""
+    spark = SparkSession.getActiveSession()
+    path = f"{refs.root}-models/{name}-{uuid.uuid4().hex[:12]}"
+    model.write().save(path)
+    refs.set(spark, name, path, at, "model")
+    return path
+
+
+def load(spark: SparkSession, refs: TableRefs, name: str) -> PipelineModel:
+    """The model that the reference names now; earlier ones stay readable in their folders."""
+    return PipelineModel.load(refs.resolve(spark, name))
+
+
 def score(model: PipelineModel, df: DataFrame, key: str | Column, with_delay: bool = True) -> DataFrame:
     """prediction (0/1), proba (probability of the predicted class, 2 dp) and simulated delay minutes."""
     out = model.transform(df)

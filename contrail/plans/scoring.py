@@ -2,27 +2,61 @@
 
 from __future__ import annotations
 
+import hashlib
+
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from contrail.operators import scoring as sc
+from contrail.operators.tables import TableRefs
 from contrail.plans.registry import register
-from contrail.sources.tables import flights, with_views
+from contrail.session import path_exists, scratch_path
+from contrail.sources.tables import fact_fingerprint, flights, with_views
 
 _OUT = ["year", "month", "dayofmonth", "uniquecarrier", "flightnum", "tailnum", "origin", "dest", "week", "hour"]
 
 
+FITTED_AT = "2024-05-01 00:00:00"
+_STORES: dict[tuple[str, str, str], TableRefs] = {}
+
+
+def model_store(spark: SparkSession, d: str, kind: str) -> TableRefs:
+    """Where the fitted ``delay`` or ``cancelled`` model of a data set lies; it is fitted once, every query loads it.
+
+    With ``contrail.model.dir`` set to a shared folder, later applications load what an earlier one fitted.
+    """
+    base = spark.conf.get("contrail.model.dir", "")
+    key = (spark.sparkContext.applicationId, d.rstrip("/"), kind)
+    if key not in _STORES:
+        name = hashlib.sha256(f"{fact_fingerprint(spark, d)} {sc.FEATURES} {sc.WIDTH}".encode()).hexdigest()[:16]
+        refs = TableRefs(f"{base.rstrip('/')}/{kind}-{name}" if base else scratch_path(spark, f"model-{kind}"))
+        if not path_exists(spark, refs.root):
+            f = sc.with_features(flights(spark, d))
+            label = late() if kind == "delay" else F.col("cancelled") == 1
+            sc.save(sc.fit(f.select(*sc.FEATURES, "depdelay", "cancelled"), label), refs, kind, FITTED_AT)
+        _STORES[key] = refs
+    return _STORES[key]
+
+
+def stored_model(spark: SparkSession, d: str, kind: str) -> PipelineModel:
+    return sc.load(spark, model_store(spark, d, kind), kind)
+
+
+def late() -> Column:
+    return F.coalesce(F.col("depdelay"), F.lit(0)) > 15
+
+
 def scored_delay(spark: SparkSession, d: str) -> DataFrame:
     """Every flight with prediction, proba and simulated delay minutes (and ``late``, the label)."""
-    late = F.coalesce(F.col("depdelay"), F.lit(0)) > 15
     f = sc.with_features(flights(spark, d)).select(*_OUT, "depdelay", "distance")
-    model = sc.fit(f, late)
-    return sc.score(model, f, F.col("flightnum") * 100003 + F.col("tailnum")).withColumn("late", late)
+    model = stored_model(spark, d, "delay")
+    return sc.score(model, f, F.col("flightnum") * 100003 + F.col("tailnum")).withColumn("late", late())
 
 
 def scored_cancelled(spark: SparkSession, d: str) -> DataFrame:
     f = sc.with_features(flights(spark, d)).select(*_OUT, "cancelled")
-    model = sc.fit(f, F.col("cancelled") == 1)
+    model = stored_model(spark, d, "cancelled")
     return sc.score(model, f, F.col("flightnum"), with_delay=False).withColumn("late", F.col("cancelled") == 1)
 
 

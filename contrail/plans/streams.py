@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from contrail.operators import scoring as sc
 from contrail.operators.joins import dim_join
 from contrail.plans.registry import register
+from contrail.plans.scoring import stored_model
 from contrail.session import scratch_path
-from contrail.sources.tables import airports, flights, table
+from contrail.sources.tables import airports, table
 from contrail.streaming import pipeline as pl
 
 SPLIT_TS = "2024-01-16 00:00:00"
@@ -131,11 +132,24 @@ def stream_tumbling_15m(spark, d):
                          F.date_format("w.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"), "count")
 
 
-def weather_frame(events: DataFrame) -> DataFrame:
-    """Hourly weather by destination, a static frame: mean and highest temperature."""
-    dest = (F.col("user_id") % pl.N_AIRPORTS).cast("int")
-    return events.groupBy(dest.alias("dest"), F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("hour_ts")).agg(
-        F.round(F.avg("value"), 6).alias("mean_temp"), F.max("value").alias("max_temp"))
+_LATE_WEATHER_FROM = "2024-01-15 00:00:00"
+
+
+@register("stream_weather_join", """
+WITH w AS (SELECT CAST(user_id % 25 AS INTEGER) AS dest, date_trunc('hour', ts) AS observed, round(avg(value), 6) AS mean_temp, max(value) AS max_temp
+           FROM events GROUP BY 1, 2)
+SELECT e.event_id, w.dest, strftime(w.observed, '%Y-%m-%d %H:%M:%S') AS observed, w.mean_temp, w.max_temp
+FROM events e JOIN w ON w.dest = CAST(e.user_id % 25 AS INTEGER) AND e.ts >= w.observed AND e.ts < w.observed + INTERVAL 1 HOUR""")
+def stream_weather_join(spark, d):
+    """Two streams joined by destination and hour; a fifth of the airports send the last day before the split late."""
+    events, root = table(spark, d, "events"), scratch_path(spark, "weather-join")
+    pl.write_landing_drops(spark, events, f"{root}/events", SPLIT_TS)
+    late = (F.col("dest") % 5 == 0) & (F.col("observed") >= F.lit(_LATE_WEATHER_FROM).cast("timestamp"))
+    pl.write_weather_drops(events, f"{root}/weather", SPLIT_TS, late)
+    typed = pl.typed_events(pl.landing_stream(spark, f"{root}/events", files_per_trigger=1)).select("event_id", "dest", "event_ts")
+    joined = pl.with_weather(typed, pl.weather_stream(spark, f"{root}/weather", files_per_trigger=1).drop("drop"))
+    pl.run_to_table(joined.select("event_id", "dest", "observed", "mean_temp", "max_temp"), f"{root}/out", f"{root}/_checkpoint")
+    return spark.read.parquet(f"{root}/out").withColumn("observed", F.date_format("observed", "yyyy-MM-dd HH:mm:ss"))
 
 
 @register("stream_enrich_score", """
@@ -145,14 +159,13 @@ SELECT e.event_id, w.dest, n.n_name AS dest_city, e.value AS temp, w.mean_temp,
 FROM events e JOIN nation n ON CAST(e.user_id % 25 AS INTEGER) = n.n_nationkey
 JOIN w ON w.dest = CAST(e.user_id % 25 AS INTEGER) AND w.h = date_trunc('hour', e.ts)""")
 def stream_enrich_score(spark, d):
-    """Stream-static joins (destination city, hourly weather), then the delay model fitted on the fact."""
+    """Stream-static joins (destination city, hourly weather), then the stored delay model."""
     events = table(spark, d, "events")
     typed = pl.typed_events(pl.to_landing(pl.stream_events(spark, d))).drop("prediction", "proba", "prediction_delay")
     ap = airports(spark, d).select(F.col("iata").alias("dest"), F.col("city").alias("dest_city"))
     wide = dim_join(typed.withColumn("hour_ts", F.date_trunc("hour", "event_ts")), ap, "dest")
-    wide = dim_join(wide, weather_frame(events), ["dest", "hour_ts"])
-    f = sc.with_features(flights(spark, d)).select(*sc.FEATURES, "depdelay")
-    model = sc.fit(f, F.coalesce(F.col("depdelay"), F.lit(0)) > 15)
+    wide = dim_join(wide, pl.weather_frame(events), ["dest", "hour_ts"])
+    model = stored_model(spark, d, "delay")  # the one that batch scoring loads
     features = wide.withColumns({"uniquecarrier": F.col("user_id").cast("int"), "origin": (F.col("event_id") % pl.N_AIRPORTS).cast("int"),
                                  "week": F.weekofyear("event_ts"), "hour": F.hour("event_ts")})
     out = sc.score(model, features, "event_id")

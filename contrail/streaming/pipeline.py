@@ -7,10 +7,12 @@
   spread over several micro-batches and a micro-batch may hold several drops.
   A row is kept when it is newer than the high-water mark of all *earlier
   drops*, so how a drop is cut into files and batches changes nothing.
-* Each micro-batch overwrites its own partition of the sink and of the offset
-  log, so a replayed batch (after a lost executor or driver restart) produces
-  the same state; the checkpoint folder gives exactly-once batch ids.  Rows
-  whose event time does not parse and rows behind the mark are counted there.
+* Repeated events are removed by the stream's keyed state behind a watermark.
+* Each micro-batch overwrites its own partition of the sink, of the offset log
+  and of the marks, and reads only the marks of the batch before, so a replayed
+  batch (after a lost executor or driver restart) produces the same state; the
+  checkpoint folder gives exactly-once batch ids.  Rows whose event time does
+  not parse and rows behind the mark are counted in the offset log.
 """
 
 from __future__ import annotations
@@ -22,7 +24,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contrail.functions.scalars import kv_number, stable_pick
-from contrail.session import read_or_none
 
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props",
                  "origin_lon", "origin_lat", "dest_lon", "dest_lat", "prediction", "weather_json"]
@@ -72,9 +73,9 @@ def typed_events(raw: DataFrame) -> DataFrame:
         kv_number("weather_json", "humidity").alias("humidity"),
         kv_number("weather_json", "speed").alias("wind_speed"),
         kv_number("weather_json", "all").alias("clouds"),
-        kv_number("prediction", "prediction").cast("int").alias("prediction"),
+        kv_number("prediction", "prediction").try_cast("int").alias("prediction"),
         kv_number("prediction", "proba").alias("proba"),
-        kv_number("prediction", "prediction_delay").cast("int").alias("prediction_delay"),
+        kv_number("prediction", "prediction_delay").try_cast("int").alias("prediction_delay"),
         *drop,
     )
 
@@ -108,6 +109,10 @@ class PipelinePaths:
     offsets: str
     checkpoint: str
 
+    @property
+    def marks(self) -> str:
+        return f"{self.offsets}-marks"
+
 
 OFFSET_SCHEMA = "run_ts timestamp, drop int, from_ts long, to_ts long, max_ts long, row_count long, late_rows long, rejected_rows long, micro_batch long"
 
@@ -132,58 +137,86 @@ def read_sink(spark: SparkSession, paths: PipelinePaths) -> DataFrame:
     return spark.read.parquet(paths.sink).withColumn("micro_batch", F.col("micro_batch").cast("long"))
 
 
-def _marks(spark: SparkSession, paths: PipelinePaths, micro_batch: int, own: dict[int, int]) -> dict[int, int]:
-    """High-water mark of each drop in the batch: the newest event time of all earlier drops (0 when none).
+_MARKS = "drop int, newest long, micro_batch long"
+KEPT_DROPS = 256
+
+
+def _known_marks(spark: SparkSession, paths: PipelinePaths, micro_batch: int) -> dict[int, int]:
+    """Newest event time by drop as the micro-batch before left it: one small file, never the offset log."""
+    if micro_batch == 0:
+        return {}
+    return {r["drop"]: r["newest"] for r in spark.read.schema(_MARKS).parquet(f"{paths.marks}/micro_batch={micro_batch - 1}").select("drop", "newest").collect()}
+
 
-    ``own`` holds the newest time per drop of this batch; the log has those of
-    earlier micro-batches (this batch's own earlier attempt is left out).
+def _keep_marks(spark: SparkSession, paths: PipelinePaths, micro_batch: int, newest: dict[int, int]) -> None:
+    """Write the marks for the next micro-batch.
+
+    The last ``KEPT_DROPS`` drops have a row each, all older ones share a row, so
+    the state does not grow with the stream.  A file that lands for a drop older than that is held to the shared mark.
     """
-    newest = dict(own)
-    log = read_or_none(spark, paths.offsets, OFFSET_SCHEMA)
-    if log is not None:
-        for r in log.where(F.col("micro_batch") < micro_batch).groupBy("drop").agg(F.max("max_ts").alias("m")).collect():
-            newest[r["drop"]] = max(newest.get(r["drop"], 0), r["m"] or 0)
-    return {d: max([m for k, m in newest.items() if k < d], default=0) for d in own}
+    drops = sorted(newest)
+    old, last = drops[:-KEPT_DROPS], drops[-KEPT_DROPS:]
+    rows = [(old[-1], max(newest[d] for d in old))] if old else []
+    spark.createDataFrame(rows + [(d, newest[d]) for d in last], "drop int, newest long").coalesce(1).write.mode("overwrite").parquet(
+        f"{paths.marks}/micro_batch={micro_batch}")
 
 
 def make_batch_writer(paths: PipelinePaths, allowed_lateness_s: int | None = None, run_ts: str | None = None):
-    """The ``foreachBatch`` body (high-water filter per drop, sweep to the sink, offset rows)."""
+    """The ``foreachBatch`` body (high-water filter per drop, sweep to the sink, offset rows).
+
+    Neither the sink nor the offset log is read: marks come from the small state
+    of the micro-batch before, duplicates have been removed by the stream's own state.
+    """
 
     def process(batch: DataFrame, micro_batch: int) -> None:
         spark = batch.sparkSession
-        typed = typed_events(batch).withColumn("event_epoch", F.unix_timestamp("event_ts"))
+        typed = batch.withColumn("event_epoch", F.unix_timestamp("event_ts")).persist()
+        try:
+            write(spark, typed, micro_batch)
+        finally:
+            typed.unpersist()
+
+    def write(spark: SparkSession, typed: DataFrame, micro_batch: int) -> None:
         # One row per drop in this batch.
         seen = typed.groupBy("drop").agg(F.max("event_epoch").alias("max_ts"), F.count(F.lit(1)).alias("n"),
                                          F.count(F.when(F.col("event_epoch").isNull(), 1)).alias("rejected")).collect()
-        if not seen:
-            return
-        marks = _marks(spark, paths, micro_batch, {r["drop"]: r["max_ts"] or 0 for r in seen})
-        floor = F.element_at(F.create_map(*[F.lit(x) for d, m in marks.items() for x in (d, m)]), F.col("drop")) - F.lit(allowed_lateness_s or 0)
-        new = typed.where(F.col("event_epoch") > floor)      # without lateness the strict rule: late rows are lost
-        if allowed_lateness_s is not None:
-            sink = read_or_none(spark, paths.sink)
-            if sink is not None:  # only rows inside the lateness window can repeat
-                lowest = min(marks.values()) - allowed_lateness_s
-                old = sink.where((F.col("micro_batch") < micro_batch) & (F.col("event_epoch") > F.lit(lowest))).select("event_id")
-                new = new.join(old, "event_id", "left_anti")
-        (new.withColumn("batch_id", F.col("drop").cast("long")).withColumn("micro_batch", F.lit(micro_batch).cast("long"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("micro_batch").parquet(paths.sink))
-        schema = T.StructType([*new.schema.fields, T.StructField("micro_batch", T.LongType())])
-        kept = {r["drop"]: r for r in spark.read.schema(schema).parquet(paths.sink).where(F.col("micro_batch") == micro_batch).groupBy("drop").agg(
-            F.min("event_epoch").alias("lo"), F.max("event_epoch").alias("hi"), F.count(F.lit(1)).alias("n")).collect()}
-        rows = []
+        newest = _known_marks(spark, paths, micro_batch)
         for r in seen:
-            k = kept.get(r["drop"])
-            n = k["n"] if k else 0
-            rows.append((r["drop"], k["lo"] if k else None, k["hi"] if k else None, r["max_ts"], n, r["n"] - n - r["rejected"], r["rejected"]))
-        log = spark.createDataFrame(rows, "drop int, from_ts long, to_ts long, max_ts long, row_count long, late_rows long, rejected_rows long")
-        log = log.withColumn("run_ts", F.lit(run_ts).cast("timestamp") if run_ts else F.current_timestamp())
-        (log.withColumn("micro_batch", F.lit(micro_batch).cast("long")).coalesce(1).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("micro_batch").parquet(paths.offsets))
+            newest[r["drop"]] = max(newest.get(r["drop"], 0), r["max_ts"] or 0)
+        if seen:
+            # High-water mark of a drop: the newest event time of all earlier ones (0 when none).
+            marks = {r["drop"]: max([m for d, m in newest.items() if d < r["drop"]], default=0) for r in seen}
+            floor = F.element_at(F.create_map(*[F.lit(x) for d, m in marks.items() for x in (d, m)]), F.col("drop")) - F.lit(allowed_lateness_s or 0)
+            new = typed.where(F.col("event_epoch") > floor)      # without lateness the strict rule: late rows are lost
+            kept = {r["drop"]: r for r in new.groupBy("drop").agg(F.min("event_epoch").alias("lo"), F.max("event_epoch").alias("hi"),
+                                                                  F.count(F.lit(1)).alias("n")).collect()}
+            (new.withColumn("batch_id", F.col("drop").cast("long")).withColumn("micro_batch", F.lit(micro_batch).cast("long"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("micro_batch").parquet(paths.sink))
+            rows = []
+            for r in seen:
+                k = kept.get(r["drop"])
+                n = k["n"] if k else 0
+                rows.append((r["drop"], k["lo"] if k else None, k["hi"] if k else None, r["max_ts"], n, r["n"] - n - r["rejected"], r["rejected"]))
+            log = spark.createDataFrame(rows, "drop int, from_ts long, to_ts long, max_ts long, row_count long, late_rows long, rejected_rows long")
+            log = log.withColumn("run_ts", F.lit(run_ts).cast("timestamp") if run_ts else F.current_timestamp())
+            (log.withColumn("micro_batch", F.lit(micro_batch).cast("long")).coalesce(1).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("micro_batch").parquet(paths.offsets))
+        _keep_marks(spark, paths, micro_batch, newest)
 
     return process
 
 
+def without_repeats(typed: DataFrame, horizon_s: int) -> DataFrame:
+    """Each event once, by the stream's keyed state: an id is remembered for ``horizon_s`` of event time.
+
+    The watermark lets Spark forget older ids, so the state stays as large as one
+    horizon's events.  Rows without a readable time or id are let through (ingest counts them).
+    """
+    whole = F.col("event_id").isNotNull() & F.col("event_ts").isNotNull()
+    keyed = typed.withColumn("_key", F.when(whole, F.col("event_id").cast("string")).otherwise(F.uuid()))
+    return keyed.withWatermark("event_ts", f"{horizon_s} seconds").dropDuplicatesWithinWatermark(["_key"]).drop("_key")
+
+
 def landing_stream(spark: SparkSession, landing: str, files_per_trigger: int | None = None) -> DataFrame:
     """All-string landing rows and their drop as a file stream, oldest files first."""
     reader = spark.readStream.schema(DROP_SCHEMA)
@@ -194,14 +227,17 @@ def landing_stream(spark: SparkSession, landing: str, files_per_trigger: int | N
 
 def run_micro_batches(spark: SparkSession, paths: PipelinePaths, files_per_trigger: int | None = None,
                       allowed_lateness_s: int | None = None, run_ts: str | None = None,
-                      every: str | None = None):
+                      every: str | None = None, drop_span_s: int = 31 * 86400):
     """Run the ingest pipeline, at most ``files_per_trigger`` files per micro-batch (None: all that have landed).
 
+    ``drop_span_s`` is the event time that one drop covers at most.  Ids are remembered for that
+    and the allowed lateness, so rows of a drop that is spread over micro-batches are never late for Spark.
+
     ``every=None`` processes everything landed so far and stops (a scheduled
     job body); ``every="20 minutes"`` keeps the query running on a fixed
     interval and returns the running query.
     """
-    stream = landing_stream(spark, paths.landing, files_per_trigger)
+    stream = without_repeats(typed_events(landing_stream(spark, paths.landing, files_per_trigger)), drop_span_s + (allowed_lateness_s or 0))
     w = (stream.writeStream.foreachBatch(make_batch_writer(paths, allowed_lateness_s, run_ts))
          .option("checkpointLocation", paths.checkpoint))
     if every:
@@ -261,3 +297,40 @@ def run_updating_aggregate(agg: DataFrame, keys: list[str], path: str, checkpoin
 
 def spark_read_typed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("long"))
+
+
+# --------------------------------------------------------------------------- weather as a stream of its own
+
+WEATHER_SCHEMA = "dest int, observed timestamp, mean_temp double, max_temp double, drop int"
+
+
+def weather_frame(events: DataFrame) -> DataFrame:
+    """Hourly weather by destination: mean and highest temperature."""
+    dest = (F.col("user_id") % N_AIRPORTS).cast("int")
+    return events.groupBy(dest.alias("dest"), F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("hour_ts")).agg(
+        F.round(F.avg("value"), 6).alias("mean_temp"), F.max("value").alias("max_temp"))
+
+
+def write_weather_drops(events: DataFrame, root: str, split_ts: str, late: Column) -> None:
+    """Land hourly observations in two drops; those before the split for which ``late`` holds come with the second."""
+    w = weather_frame(events).withColumnRenamed("hour_ts", "observed")
+    first = (F.col("observed") < F.lit(split_ts).cast("timestamp")) & ~late
+    w.where(first).write.mode("overwrite").parquet(f"{root}/drop=0")
+    w.where(~first).write.mode("overwrite").parquet(f"{root}/drop=1")
+
+
+def weather_stream(spark: SparkSession, root: str, files_per_trigger: int | None = None) -> DataFrame:
+    reader = spark.readStream.schema(WEATHER_SCHEMA)
+    return (reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader).parquet(root)
+
+
+def with_weather(events: DataFrame, weather: DataFrame, lateness: str = "3 days") -> DataFrame:
+    """Interval join of two streams: each event with the observation of its destination whose hour it falls in.
+
+    Both sides have a watermark and the range bounds how long a row can find a
+    partner, so Spark keeps an event until weather older than ``lateness`` would be late, and no longer.
+    """
+    e = events.withWatermark("event_ts", lateness).alias("e")
+    w = weather.withWatermark("observed", lateness).alias("w")
+    within = (F.col("e.event_ts") >= F.col("w.observed")) & (F.col("e.event_ts") < F.col("w.observed") + F.expr("INTERVAL 1 HOUR"))
+    return e.join(w, (F.col("e.dest") == F.col("w.dest")) & within).select("e.*", "w.observed", "w.mean_temp", "w.max_temp")
