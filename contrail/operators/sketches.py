@@ -71,3 +71,13 @@ def frequent_items(sketch: str | Column, k: int) -> Column:
 def frequent_items_error(map_size: int = FREQ_MAP_SIZE) -> float:
     """Largest error of an item's estimate, as a share of all rows (the sketch's a-priori bound)."""
     return 3.5 / map_size
+
+
+def merge_quantiles(sketch: str) -> Column:
+    """One KLL sketch of all rows behind a group's stored sketches."""
+    return F.kll_merge_agg_double(sketch)
+
+
+def merge_items(sketch: str, map_size: int = FREQ_MAP_SIZE) -> Column:
+    """One frequent-items sketch of all rows behind a group's stored sketches."""
+    return F.call_function("approx_top_k_combine", F.col(sketch), F.lit(map_size))

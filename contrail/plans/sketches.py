@@ -169,15 +169,20 @@ def held_flights(spark: SparkSession, d: str, map_size: int = sk.FREQ_MAP_SIZE)
     f = flights(spark, d).select("cancelled", _flight_name().alias("flight"))
     path = scratch_path(spark, "flights-frq-sketch")
     f.groupBy("cancelled").agg(sk.frequent_items_sketch(F.col("flight"), map_size).alias("sk_flightnum"), F.count(F.lit(1)).alias("n")).write.parquet(path)
-    items = spark.read.parquet(path).select("cancelled", "n", sk.frequent_items("sk_flightnum", map_size).alias("items"))
+    return _bounds(spark.read.parquet(path), ["cancelled"], map_size)
+
+
+def _bounds(sketches: DataFrame, by: list[str], map_size: int) -> DataFrame:
+    """The items of stored sketches (``sk_flightnum``, ``n`` rows each) with their group's error and their bounds."""
+    items = sketches.select(*by, "n", sk.frequent_items("sk_flightnum", map_size).alias("items"))
     whole = F.aggregate("items", F.lit(0).cast("long"), lambda s, x: s + x["count"]) == F.col("n")
     # An estimate is a positive count plus what was thrown out, so the smallest estimate exceeds the error too.
     smallest = F.array_min(F.transform("items", lambda x: x["count"])) - 1
     bound = F.least(F.ceil(F.col("n") * F.lit(sk.frequent_items_error(map_size))), smallest)
     error = F.when(whole, F.lit(0)).otherwise(bound).cast("long")
-    held = items.select("cancelled", "n", error.alias("error"), F.explode("items").alias("c"))
+    held = items.select(*by, "n", error.alias("error"), F.explode("items").alias("c"))
     upper = F.col("c.count")  # the sketch never counts an item short
-    return held.select("cancelled", "n", "error", F.col("c.item").alias("item"), upper.alias("estimate"),
+    return held.select(*by, "n", "error", F.col("c.item").alias("item"), upper.alias("estimate"),
                        F.greatest(upper - F.col("error"), F.lit(0).cast("long")).alias("lower"), upper.alias("upper"))
 
 
@@ -217,6 +222,93 @@ def frequent_items_check(spark, d):
         (F.count(F.when(~found & (F.col("true_count") > 2 * F.col("error")), 1)) == 0).alias("none_missed"))
 
 
+# --------------------------------------------------------------------------- history: a sketch a month, merged for any period
+
+# name, first and last month (year * 100 + month)
+PERIODS = [("1996", 199601, 199612), ("half years", 199707, 199806), ("all", 0, 999912)]
+_PERIODS_SQL = ", ".join(f"('{n}', {a}, {b})" for n, a, b in PERIODS)
+_HISTORIES: dict[tuple[str, str], tuple[str, str]] = {}
+
+
+def sketch_history(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Stored sketches by month: quantiles per carrier, frequent flights per ``cancelled`` group.
+
+    Built in one pass each and written once per application; every period is
+    answered by merging rows of these tables, without the fact.
+    """
+    key = (spark.sparkContext.applicationId, d.rstrip("/"))
+    if key not in _HISTORIES:
+        quantiles, items = scratch_path(spark, "history-quantiles"), scratch_path(spark, "history-items")
+        f = flights(spark, d)
+        f.where(F.col("arrdelay") > 0).groupBy("year", "month", F.col("uniquecarrier").alias("airline_code")).agg(
+            F.count(F.lit(1)).alias("n"), sk.quantile_sketch(F.col("arrdelay") + 1).alias("sk_arrdelay")).write.partitionBy("year").parquet(quantiles)
+        f.groupBy("year", "month", "cancelled").agg(F.count(F.lit(1)).alias("n"), sk.frequent_items_sketch(_flight_name()).alias("sk_flightnum")) \
+            .write.partitionBy("year").parquet(items)
+        _HISTORIES[key] = (quantiles, items)
+    return tuple(spark.read.parquet(p) for p in _HISTORIES[key])
+
+
+def by_period(df: DataFrame, periods: list[tuple[str, int, int]]) -> DataFrame:
+    """Each row once for every period that its month lies in."""
+    at = F.col("year") * 100 + F.col("month")
+    names = F.array(*[F.when(at.between(a, b), F.lit(n)) for n, a, b in periods])
+    return df.withColumn("period", F.explode(F.array_compact(names)))
+
+
+def period_quantiles(history: DataFrame, periods: list[tuple[str, int, int]]) -> DataFrame:
+    """(period, airline_code, n, q): the deciles of every period from merged sketches."""
+    merged = by_period(history, periods).groupBy("period", "airline_code").agg(F.sum("n").alias("n"), sk.merge_quantiles("sk_arrdelay").alias("s"))
+    return merged.select("period", "airline_code", "n", sk.quantiles("s", sk.DECILES).alias("q"))
+
+
+@register("sketch_period_quantiles", with_views(f"""
+, p(period, lo, hi) AS (VALUES {_PERIODS_SQL})
+SELECT period, uniquecarrier AS airline_code, count(*) AS n, true AS deciles_within_bound, CAST(max(arrdelay + 1) AS DOUBLE) AS arrival_delay_100
+FROM flights JOIN p ON year * 100 + month BETWEEN lo AND hi WHERE arrdelay > 0 GROUP BY period, uniquecarrier""", "flights"))
+def sketch_period_quantiles(spark, d):
+    """Deciles of three periods by merging monthly sketches; exact ranks from the fact check them."""
+    est = period_quantiles(sketch_history(spark, d)[0], PERIODS)
+    pos = by_period(flights(spark, d).where(F.col("arrdelay") > 0).select(
+        "year", "month", F.col("uniquecarrier").alias("airline_code"), (F.col("arrdelay") + 1).cast("double").alias("x")), PERIODS)
+    last = len(sk.DECILES) - 1
+    # Many-to-one: ten estimates per period and airline, met by the rows grouped to distinct delays.
+    counts = pos.groupBy("period", "airline_code", "x").agg(F.count(F.lit(1)).alias("c"))
+    checks = counts.join(est, ["period", "airline_code"]).groupBy("period", "airline_code").agg(
+        F.first("n").alias("n"), F.max(F.col("q")[last]).alias("top"), F.sum("c").alias("exact_n"),
+        *[F.sum(F.when(F.col("x") <= F.col("q")[i], F.col("c")).otherwise(0)).alias(f"le{i}") for i in range(last + 1)],
+        *[F.sum(F.when(F.col("x") < F.col("q")[i], F.col("c")).otherwise(0)).alias(f"lt{i}") for i in range(last + 1)])
+    ok = F.col("n") == F.col("exact_n")
+    for i, q in enumerate(sk.DECILES):
+        ok = ok & (F.col(f"le{i}") / F.col("n") >= q - RANK_TOL) & (F.col(f"lt{i}") / F.col("n") <= q + RANK_TOL)
+    return checks.select("period", "airline_code", "n", ok.alias("deciles_within_bound"), F.col("top").alias("arrival_delay_100"))
+
+
+def period_items(history: DataFrame, periods: list[tuple[str, int, int]], map_size: int = sk.FREQ_MAP_SIZE) -> DataFrame:
+    """Flights that the merged sketches of a period hold, with their bounds."""
+    merged = by_period(history, periods).groupBy("period", "cancelled").agg(F.sum("n").alias("n"), sk.merge_items("sk_flightnum", map_size).alias("sk_flightnum"))
+    return _bounds(merged, ["period", "cancelled"], map_size)
+
+
+@register("frequent_items_period", with_views(f"""
+, p(period, lo, hi) AS (VALUES {_PERIODS_SQL})
+SELECT period, cancelled, count(*) AS n_flights, true AS all_within_bounds, true AS none_missed
+FROM flights JOIN p ON year * 100 + month BETWEEN lo AND hi GROUP BY period, cancelled""", "flights"))
+def frequent_items_period(spark, d):
+    """Frequent flights of three periods by merging monthly sketches, held against exact counts."""
+    held = period_items(sketch_history(spark, d)[1], PERIODS)
+    exact = by_period(flights(spark, d).select("year", "month", "cancelled", _flight_name().alias("item")), PERIODS) \
+        .groupBy("period", "cancelled", "item").agg(F.count(F.lit(1)).alias("true_count"))
+    errors = held.groupBy("period", "cancelled").agg(F.max("error").alias("bound"), F.max("n").alias("n"))
+    got = held.select("period", "cancelled", "item", "lower", "upper", "error")
+    j = exact.join(got, ["period", "cancelled", "item"], "left").join(F.broadcast(errors), ["period", "cancelled"])  # one row per group
+    fine = F.col("true_count").between(F.col("lower"), F.col("upper"))
+    sure = F.col("lower") > F.col("error")
+    return j.groupBy("period", "cancelled").agg(
+        F.sum("true_count").alias("n_flights"), (F.count(F.when(sure & ~fine, 1)) == 0).alias("all_within_bounds"),
+        # An item above twice the error must be among those whose lower bound exceeds it.
+        (F.count(F.when((F.col("true_count") > 2 * F.col("bound")) & ~F.coalesce(sure, F.lit(False)), 1)) == 0).alias("none_missed"))
+
+
 @register("validate_frequent_item", with_views("""
 , top AS (SELECT uniquecarrier, flightnum FROM flights WHERE cancelled = 1 GROUP BY uniquecarrier, flightnum
           ORDER BY count(*) DESC, concat(uniquecarrier, flightnum) LIMIT 1)
