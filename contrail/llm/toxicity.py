@@ -2,7 +2,7 @@
 
 Features of a text are the hashes of its words, word pairs and pairs of words
 with one word between them, each counted once.  Training rows are dealt to
-shards of about ``SHARD_ROWS``; each shard runs FTRL-proximal (per-coordinate rates,
+shards of about ``SHARD_ROWS`` as lists of feature indexes; each shard runs FTRL-proximal (per-coordinate rates,
 L1 and L2) over its rows in hash order, and the shards' weights are averaged.
 L1 leaves most of the 2^20 weights at zero; the rest, at most 2^20 pairs of an
 index and a float, travel to the scoring tasks.
@@ -67,9 +67,24 @@ class Ftrl:
         self.z[at] += g - (np.sqrt(self.n[at]) - root) / ALPHA * w
 
 
+_INDEXED = "shard int, order long, toxic int, at array<int>"
+
+
+def _indexed(batches):
+    """Training rows as their distinct feature indexes; texts stay behind."""
+    for batch in batches:
+        at = [np.unique(features(t.as_py())).astype(np.int32) for t in batch.column("t")]
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in at])]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*at, np.zeros(0, np.int32)])))
+        yield pa.RecordBatch.from_arrays([batch.column("shard").cast(pa.int32()), batch.column("order"), batch.column("toxic"), lists],
+                                         names=["shard", "order", "toxic", "at"])
+
+
 def _train_shard(group: pa.Table) -> pa.Table:
-    order = np.argsort(group.column("order").to_numpy(), kind="stable")
-    rows = [(np.unique(features(t)).astype(np.int32), y) for t, y in zip(group.column("t").to_pylist(), group.column("toxic").to_pylist())]
+    order, rows = np.argsort(group.column("order").to_numpy(), kind="stable"), []
+    for lists, toxic in zip(group.column("at").chunks, group.column("toxic").chunks):
+        ends, values = lists.offsets.to_numpy(), lists.values.to_numpy()  # views of the shuffled columns
+        rows += [(values[a:b], y) for a, b, y in zip(ends, ends[1:], toxic.to_pylist())]
     model = Ftrl()
     for _ in range(EPOCHS):
         for i in order:
@@ -92,7 +107,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     shards = -(-min(n, MAX_ROWS) // SHARD_ROWS)
     sample = sample.withColumn("shard", F.pmod(F.xxhash64("__id", F.lit(1)), F.lit(shards))).withColumn("order", F.xxhash64("__id", F.lit(2)))
     rows = docs.select(F.col(id_col).cast("long").alias("__id"), utf8(F.col(text_col)).alias("t")).join(F.broadcast(sample), "__id")
-    got = rows.select("shard", "order", "toxic", "t").groupBy("shard").applyInArrow(_train_shard, "feature long, weight double")
+    got = rows.select("shard", "order", "toxic", "t").mapInArrow(_indexed, _INDEXED).groupBy("shard").applyInArrow(_train_shard, "feature long, weight double")
     # Summed in feature order with rounding to 1e-9, so that reruns agree.
     mean = got.groupBy("feature").agg((F.sum(F.round(F.col("weight") * 1e9).cast("long")) / (1e9 * shards)).alias("weight")).orderBy("feature").toPandas()
     return mean["feature"].to_numpy(np.int64), mean["weight"].to_numpy(np.float64)
