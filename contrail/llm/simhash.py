@@ -32,6 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from contrail.llm.common import attach, components, ship_code, utf8, written
 
@@ -259,9 +260,8 @@ def links(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return written(direct.unionByName(bulk).distinct(), "links")
 
 
-def simhash_components(docs: DataFrame, shingle: int = 3, distance: int = DISTANCE,
-                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, fp, component_id (smallest id reachable over links of ``distance`` bits)."""
+def _members(docs: DataFrame, shingle: int, distance: int, id_col: str, text_col: str) -> DataFrame:
+    """One row per document: doc_id, fp, component_id and root, a fingerprint that names the component."""
     if not 0 <= distance <= 3:
         raise ValueError("the byte split of large keys covers distances up to 3")
     fps = written(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
@@ -269,16 +269,49 @@ def simhash_components(docs: DataFrame, shingle: int = 3, distance: int = DISTAN
     roots = components(links(nodes, distance)).withColumnRenamed("node", "fp")
     named = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    facts = written(named.select("fp", "n", "root").join(lowest, "root").select("fp", "n", "component_id"), "components")
+    facts = written(named.select("fp", "n", "root").join(lowest, "root").select("fp", "n", "component_id", "root"), "components")
     total = facts.agg(F.sum("n")).first()[0] or 0
     return attach(fps.withColumnRenamed("fp", "key_fp"), facts.withColumnRenamed("fp", "key_fp"), "key_fp", "n", "doc_id", total).withColumnRenamed("key_fp", "fp")
 
 
+def simhash_components(docs: DataFrame, shingle: int = 3, distance: int = DISTANCE,
+                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, fp, component_id (smallest id reachable over links of ``distance`` bits)."""
+    return _members(docs, shingle, distance, id_col, text_col).select("doc_id", "fp", "component_id")
+
+
 def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = DISTANCE) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component; all columns kept.
+    """One row of ``docs`` for each component, that with its smallest id; all columns kept.
 
-    Rows with a null id stay (they name no other row); rows that repeat an id stay once.
+    An id may stand at several texts: of the rows that hold a component's smallest id, the one
+    with the least fingerprint, then SHA-256 of the text, then of the row as JSON stays.
+    Rows with a null id stay (they name no other row).
     """
-    comp = simhash_components(docs, shingle, distance).filter("doc_id = component_id").select(F.col("doc_id").alias("__sim_id")).distinct()
-    named = docs.join(comp, F.col("doc_id").cast("long") == F.col("__sim_id"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id is null"))
+    members = written(_members(docs, shingle, distance, "doc_id", "text").filter("doc_id is not null"), "members")
+    least = members.filter("doc_id = component_id").select(F.col("doc_id").alias("__sim_id"), F.col("fp").alias("__sim_fp"), "root")
+    often = members.groupBy(F.col("doc_id").alias("__sim_id")).agg(F.count(F.lit(1)).alias("__sim_n")).filter("__sim_n > 1")
+    once = least.select("__sim_id").distinct().join(often, "__sim_id", "left_anti")
+    known = F.col("doc_id").cast("long") == F.col("__sim_id")
+    kept = docs.join(once, known, "left_semi").unionByName(docs.filter("doc_id is null"))
+    if not often.limit(1).count():
+        return kept
+    # Ids that stand at several rows: fingerprints tell the rows apart.
+    rows = _with_fingerprint(docs.join(often.select("__sim_id"), known, "left_semi"), shingle)
+    same = (F.col("doc_id").cast("long") == F.col("__sim_id")) & (F.col("__fp") == F.col("__sim_fp"))
+    met = rows.join(least.distinct(), same).withColumn("__row", F.struct(*docs.columns))
+    rule = F.struct("__fp", F.sha2(utf8(F.col("text")), 256), F.sha2(F.to_json("__row"), 256))
+    chosen = met.groupBy("__sim_id", F.col("root").alias("__root")).agg(F.min_by("__row", rule).alias("__row"))
+    return kept.unionByName(chosen.select(*[F.col("__row")[c].alias(c) for c in docs.columns]))
+
+
+def _with_fingerprint(docs: DataFrame, shingle: int) -> DataFrame:
+    """``docs`` and the fingerprint ``__fp`` of each row."""
+    names = docs.columns
+
+    def run(batches):
+        for batch in batches:
+            fps = np.fromiter((fingerprint(t, shingle) for t in batch.column(batch.num_columns - 1).to_pylist()), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(fps.view(np.int64))], names=[*names, "__fp"])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField("__fp", T.LongType())])
+    return docs.select(*names, utf8(F.col("text")).alias("__words_of")).mapInArrow(run, schema)
