@@ -170,8 +170,21 @@ def dashboard_avg_delay_top25(spark, d):
 
 def _weighted(spark: SparkSession, d: str, pre: DataFrame) -> DataFrame:
     """Groups of flights with their airline and, as ``mult``, the number of plane rows of their tail."""
-    mult = planes(spark, d).groupBy("tailnum").agg(F.count(F.lit(1)).alias("mult"))
-    return dim_join(dim_join(pre, mult, "tailnum"), airlines(spark, d), F.col("uniquecarrier") == F.col("code"))
+    return dim_join(dim_join(pre, _plane_rows(spark, d), "tailnum"), airlines(spark, d), F.col("uniquecarrier") == F.col("code"))
+
+
+_PLANE_ROWS: dict[tuple[str, str], DataFrame] = {}
+
+
+def _plane_rows(spark: SparkSession, d: str) -> DataFrame:
+    """(tailnum, mult) of the planes, written once per application; one frame, so its size is proven once."""
+    key = (spark.sparkContext.applicationId, d.rstrip("/"))
+    hit = _PLANE_ROWS.get(key)
+    if hit is None or hit.sparkSession is not spark:
+        path = scratch_path(spark, "plane-rows")
+        planes(spark, d).groupBy("tailnum").agg(F.count(F.lit(1)).alias("mult")).write.parquet(path)
+        hit = _PLANE_ROWS[key] = spark.read.parquet(path)
+    return hit
 
 
 PROMPT_CODES = ("F", "O")
@@ -227,15 +240,16 @@ def airport_experience(f: DataFrame, n: int = 3) -> DataFrame:
     """(iata, delay_top_flights, delay_total): top n flights by summed arrival delay per origin.
 
     Format of the string: ``<carrier><flightnum>:<sum as double>;`` repeated,
-    highest sum first (ties by flight id); only airports with total > 0.
+    highest sum first (ties by flight id, then carrier); only airports with total > 0.
+    Flights are grouped by carrier and number; the joined text is for display only.
     """
     flight = F.concat(F.col("uniquecarrier").cast("string"), F.col("flightnum").cast("string"))
     # A NULL origin is no airport.  Filtering it here also keeps both branches below identical,
     # so Spark reuses one shuffle (one scan of the fact) for the top list and the total.
-    sums = (f.where(F.col("origin").isNotNull()).groupBy("origin", flight.alias("flight_num"))
-            .agg(F.sum("arrdelay").alias("sum_delay")))
+    sums = (f.where(F.col("origin").isNotNull()).groupBy("origin", "uniquecarrier", "flightnum")
+            .agg(F.sum("arrdelay").alias("sum_delay")).withColumn("flight_num", flight))
     per = sums.filter(F.col("sum_delay").isNotNull())
-    top = top_n_per_group(per, ["origin"], [F.desc("sum_delay"), F.asc("flight_num")], n)
+    top = top_n_per_group(per, ["origin"], [F.desc("sum_delay"), F.asc("flight_num"), F.asc("uniquecarrier")], n)
     text = F.concat(F.col("flight_num"), F.lit(":"), F.col("sum_delay").cast("double").cast("string"), F.lit(";"))
     tops = ranked_string(top, ["origin"], "rn", text, "delay_top_flights")
     # The airport total is the sum of its flights' sums: one scan and one shuffle of the fact serve both.
@@ -246,9 +260,9 @@ def airport_experience(f: DataFrame, n: int = 3) -> DataFrame:
 
 
 _TOPN_SQL = """
-, per AS (SELECT origin, concat(uniquecarrier, flightnum) AS flight_num, sum(arrdelay) AS sum_delay
-          FROM {src} GROUP BY origin, concat(uniquecarrier, flightnum) HAVING sum(arrdelay) IS NOT NULL),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY origin ORDER BY sum_delay DESC, flight_num) AS rn FROM per),
+, per AS (SELECT origin, uniquecarrier, concat(uniquecarrier, flightnum) AS flight_num, sum(arrdelay) AS sum_delay
+          FROM {src} GROUP BY origin, uniquecarrier, flightnum HAVING sum(arrdelay) IS NOT NULL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY origin ORDER BY sum_delay DESC, flight_num, uniquecarrier) AS rn FROM per),
 tops AS (SELECT origin, string_agg(flight_num || ':' || CAST(CAST(sum_delay AS DOUBLE) AS VARCHAR) || ';', ''
                 ORDER BY rn) AS delay_top_flights FROM ranked WHERE rn <= 3 GROUP BY origin),
 tot AS (SELECT origin, CAST(coalesce(sum(arrdelay), 0) AS DOUBLE) AS delay_total FROM {src} GROUP BY origin)
@@ -282,12 +296,21 @@ def id_sequence(spark, d):
     return dense_sequence(airlines(spark, d), ["code"]).select("id", "code", "description")
 
 
-@register("id_surrogate", with_views(
-    "SELECT count(*) AS n_rows, count(*) AS n_distinct_ids, true AS all_unique FROM flights", "flights"))
+ID_WRITERS = 4
+
+
+@register("id_surrogate", with_views(f"""
+SELECT code, description, CAST(code % {ID_WRITERS} AS BIGINT) AS prefix,
+       (code % {ID_WRITERS})::BIGINT * 8589934592 + row_number() OVER (PARTITION BY code % {ID_WRITERS} ORDER BY code) - 1 AS id FROM airlines""", "airlines"))
 def id_surrogate(spark, d):
-    ided = surrogate_key(flights(spark, d).select("tailnum"), "flight_id")
-    return ided.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("flight_id").alias("n_distinct_ids")).withColumn(
-        "all_unique", F.col("n_rows") == F.col("n_distinct_ids"))
+    """Unique, gapped ids: the number of the partition in the upper bits, the row's place in it in the lower 33.
+
+    Every partition numbers its own rows, so no row is moved for its id; here the
+    partitions are laid out by code, so that the ids can be stated.
+    """
+    laid_out = airlines(spark, d).repartitionById(ID_WRITERS, F.pmod("code", F.lit(ID_WRITERS))).sortWithinPartitions("code")
+    ided = surrogate_key(laid_out, "id")
+    return ided.select("code", "description", F.shiftright("id", 33).alias("prefix"), "id")
 
 
 @register("window_tumbling_15m", with_views("""

@@ -137,12 +137,11 @@ def sketch_meta(spark, d):
 
 
 @register("distinct_exact_vs_hll", with_views("""
-SELECT count(DISTINCT CAST(concat(uniquecarrier, flightnum) AS VARCHAR)) AS exact_distinct,
+SELECT count(DISTINCT concat(uniquecarrier, '-', flightnum)) AS exact_distinct,
        true AS hll_within_bound, true AS union_within_bound FROM flights""", "flights"))
 def distinct_exact_vs_hll(spark, d):
     """One HLL sketch stored as a table; the union of per-airline sketches must give the same answer."""
-    flight = F.concat(F.col("uniquecarrier").cast("string"), F.col("flightnum").cast("string"))
-    f = flights(spark, d).select("uniquecarrier", flight.alias("flight"))
+    f = flights(spark, d).select("uniquecarrier", _flight_name().alias("flight"))
     path = scratch_path(spark, "flights-hll")
     f.agg(sk.distinct_sketch(F.col("flight")).alias("flightnum_sk")).write.mode("overwrite").parquet(path)
     whole = spark.read.parquet(path).select(F.hll_sketch_estimate("flightnum_sk").alias("est"))
@@ -311,10 +310,10 @@ def frequent_items_period(spark, d):
 
 @register("validate_frequent_item", with_views("""
 , top AS (SELECT uniquecarrier, flightnum FROM flights WHERE cancelled = 1 GROUP BY uniquecarrier, flightnum
-          ORDER BY count(*) DESC, concat(uniquecarrier, flightnum) LIMIT 1)
+          ORDER BY count(*) DESC, concat(uniquecarrier, flightnum), uniquecarrier LIMIT 1)
 SELECT concat(f.uniquecarrier, f.flightnum) AS flight, count(1) AS num_cancelled
 FROM flights f JOIN top t ON f.uniquecarrier = t.uniquecarrier AND f.flightnum = t.flightnum
-WHERE f.cancelled = 1 GROUP BY concat(f.uniquecarrier, f.flightnum)""", "flights"))
+WHERE f.cancelled = 1 GROUP BY f.uniquecarrier, f.flightnum""", "flights"))
 def validate_frequent_item(spark, d):
     """Exact count for the most-cancelled flight (the item a frequent-items sketch should report)."""
     f = flights(spark, d)
@@ -322,6 +321,6 @@ def validate_frequent_item(spark, d):
     cancelled = f.where(F.col("cancelled") == 1)
     top = top_k(cancelled.groupBy("uniquecarrier", "flightnum").agg(F.count(F.lit(1)).alias("n"),
                                                                      F.first(flight).alias("flight")),
-                1, F.desc("n"), F.asc("flight")).select("uniquecarrier", "flightnum")
+                1, F.desc("n"), F.asc("flight"), F.asc("uniquecarrier")).select("uniquecarrier", "flightnum")
     hit = cancelled.join(F.broadcast(top), ["uniquecarrier", "flightnum"])  # one-row side
-    return hit.groupBy(flight.alias("flight")).agg(F.count(F.lit(1)).alias("num_cancelled"))
+    return hit.groupBy("uniquecarrier", "flightnum").agg(F.count(F.lit(1)).alias("num_cancelled")).select(flight.alias("flight"), "num_cancelled")
