@@ -450,6 +450,9 @@ class SnapshotTable:
         The rows go to a folder of this attempt alone; the log row names it, so no writer
         touches another's rows, and those of an attempt without a log row are never read.
         """
+        log = self._log(spark)
+        if log is not None:
+            log.agg(F.max("snapshot_id")).first()  # an unreadable log stops the append before anything is written
         attempt = uuid.uuid4().hex
         df.write.parquet(f"{self.data_path}/attempt={attempt}")
         added = spark.read.parquet(f"{self.data_path}/attempt={attempt}").count()
