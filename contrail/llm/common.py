@@ -7,11 +7,13 @@ operators ask for (words are runs of bytes other than 0x20 and 0x09-0x0D).
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
 import zlib
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,6 +73,15 @@ def py_remainder(doc_id: int | None, mod: int) -> int:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % mod
 
 
+def tidy() -> None:
+    """Give freed memory back to the system at the end of a task: a Python worker outlives it and serves other stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # not this C library
+        pass
+
+
 HOT_SHARE = 1000
 
 

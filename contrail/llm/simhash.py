@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contrail.llm.common import attach, components, ship_code, utf8, written
+from contrail.llm.common import attach, components, ship_code, tidy, utf8, written
 
 PARTS, WIDTH = 2, 32
 DISTANCE = 3
@@ -63,8 +63,9 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
     ship_code(docs.sparkSession)
     def run(batches):
         for batch in batches:
-            fps = np.fromiter((fingerprint(t, shingle) for t in batch.column("t").to_pylist()), np.uint64, batch.num_rows)
+            fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column("t")), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+        tidy()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(F.col(text_col)).alias("t"))
     return rows.mapInArrow(run, "doc_id long, fp long")

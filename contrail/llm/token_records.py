@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import ship_code, utf8, written
+from contrail.llm.common import ship_code, tidy, utf8, written
 from contrail.llm.files import attempt_name, open_in, open_out
 from contrail.session import scratch_path
 
@@ -53,8 +53,8 @@ _NAMED = dict(zip([b for b in range(256) if b not in _SHOWN], range(256, 512)))
 _LEN, _CRC, _ENTRY = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<qQII")
 _MANIFEST = "pid int, records string, index string, docs long, tokens long"
 _READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
-PIECE_BYTES = 16 << 20     # text encoded at a time
-CACHE_BYTES = 96 << 20     # words and ids that a worker remembers
+PIECE_BYTES = 4 << 20     # text encoded at a time
+CACHE_BYTES = 48 << 20     # words and ids that a worker remembers
 _ENTRY_BYTES = 190         # of a remembered word: two objects and its slot
 
 
@@ -215,6 +215,7 @@ def _writer(folder: str, vocabulary: str, end_id: int):
         if rec is not None:
             rec.close()
             idx.close()
+            tidy()
             yield pa.RecordBatch.from_pydict({"pid": [pid], "records": [names[0]], "index": [names[1]], "docs": [docs], "tokens": [tokens]},
                                              schema=pa.schema([("pid", pa.int32()), ("records", pa.string()), ("index", pa.string()), ("docs", pa.int64()), ("tokens", pa.int64())]))
     return write

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import remainder, ship_code, utf8
+from contrail.llm.common import remainder, ship_code, tidy, utf8
 from contrail.llm.decontaminate import words_of
 
 BITS = 20
@@ -78,6 +78,7 @@ def _indexed(batches):
         lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*at, np.zeros(0, np.int32)])))
         yield pa.RecordBatch.from_arrays([batch.column("shard").cast(pa.int32()), batch.column("order"), batch.column("toxic"), lists],
                                          names=["shard", "order", "toxic", "at"])
+    tidy()
 
 
 def _train_shard(group: pa.Table) -> pa.Table:
@@ -92,6 +93,8 @@ def _train_shard(group: pa.Table) -> pa.Table:
             model.learn(np.append(at, np.int32(1 << BITS)), label)
     used = np.flatnonzero(model.n)
     w = model.weights(used)
+    del rows, model
+    tidy()
     return pa.table({"feature": used[w != 0], "weight": w[w != 0]})
 
 
@@ -120,8 +123,9 @@ def score(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches):
         for batch in batches:
-            values = [dense.score(t) for t in batch.column("t").to_pylist()]
+            values = [dense.score(t.as_py()) for t in batch.column("t")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values, pa.float64())], names=["doc_id", "score"])
+        tidy()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(F.col(text_col)).alias("t"))
     return rows.mapInArrow(run, "doc_id long, score double")
@@ -165,7 +169,8 @@ def acceptable(docs: DataFrame, labels: DataFrame, folds: int = 5, limit: float
 
     def keep(batches):
         for batch in batches:
-            fine = [i for i, t in enumerate(batch.column(batch.num_columns - 1).to_pylist()) if dense.score(t) < limit]
+            fine = [i for i, t in enumerate(batch.column(batch.num_columns - 1)) if dense.score(t.as_py()) < limit]
             yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=names).take(pa.array(fine, pa.int64()))
+        tidy()
 
     return docs.select(*names, utf8(F.col("text")).alias("__words_of")).mapInArrow(keep, docs.schema)
