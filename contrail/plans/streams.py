@@ -143,12 +143,13 @@ FROM events e JOIN w ON w.dest = CAST(e.user_id % 25 AS INTEGER) AND e.ts >= w.o
 def stream_weather_join(spark, d):
     """Two streams joined by destination and hour; a fifth of the airports send the last day before the split late."""
     events, root = table(spark, d, "events"), scratch_path(spark, "weather-join")
-    pl.write_landing_drops(spark, events, f"{root}/events", SPLIT_TS)
     late = (F.col("dest") % 5 == 0) & (F.col("observed") >= F.lit(_LATE_WEATHER_FROM).cast("timestamp"))
-    pl.write_weather_drops(events, f"{root}/weather", SPLIT_TS, late)
-    typed = pl.typed_events(pl.landing_stream(spark, f"{root}/events", files_per_trigger=1)).select("event_id", "dest", "event_ts")
-    joined = pl.with_weather(typed, pl.weather_stream(spark, f"{root}/weather", files_per_trigger=1).drop("drop"))
-    pl.run_to_table(joined.select("event_id", "dest", "observed", "mean_temp", "max_temp"), f"{root}/out", f"{root}/_checkpoint")
+    for drop in (0, 1):  # each run takes what has landed since the one before and keeps its state in the checkpoint
+        pl.write_landing_drops(spark, events, f"{root}/events", SPLIT_TS, drops=(drop,))
+        pl.write_weather_drops(events, f"{root}/weather", SPLIT_TS, late, drops=(drop,))
+        typed = pl.typed_events(pl.landing_stream(spark, f"{root}/events")).select("event_id", "dest", "event_ts")
+        joined = pl.with_weather(typed, pl.weather_stream(spark, f"{root}/weather").drop("drop"))
+        pl.run_to_table(joined.select("event_id", "dest", "observed", "mean_temp", "max_temp"), f"{root}/out", f"{root}/_checkpoint")
     return spark.read.parquet(f"{root}/out").withColumn("observed", F.date_format("observed", "yyyy-MM-dd HH:mm:ss"))
 
 

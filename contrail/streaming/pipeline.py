@@ -82,8 +82,8 @@ def typed_events(raw: DataFrame) -> DataFrame:
 
 def write_landing_drops(spark: SparkSession, events: DataFrame, root: str, split_ts: str,
                         late: Column | None = None, late_shift: str = "INTERVAL 2 DAYS",
-                        files_per_drop: int | None = None) -> None:
-    """Land ``events`` in two drops (before / from ``split_ts``), oldest first.
+                        files_per_drop: int | None = None, drops: tuple[int, ...] = (0, 1)) -> None:
+    """Land ``events`` in two drops (before / from ``split_ts``), oldest first; ``drops`` says which of them now.
 
     Rows of the second drop matching ``late`` get their time moved back by
     ``late_shift``: they arrive after newer rows were already ingested.  A drop
@@ -98,6 +98,8 @@ def write_landing_drops(spark: SparkSession, events: DataFrame, root: str, split
         shifted = (ts - F.expr(late_shift)).cast("timestamp_ntz").cast("string")
         second = second.withColumn("ts", F.when(late, shifted).otherwise(F.col("ts")))
     for i, drop in enumerate((first, second)):
+        if i not in drops:
+            continue
         cut = drop if files_per_drop is None else drop.repartition(files_per_drop)
         cut.write.mode("overwrite").parquet(f"{root}/drop={i}")
 
@@ -311,12 +313,12 @@ def weather_frame(events: DataFrame) -> DataFrame:
         F.round(F.avg("value"), 6).alias("mean_temp"), F.max("value").alias("max_temp"))
 
 
-def write_weather_drops(events: DataFrame, root: str, split_ts: str, late: Column) -> None:
+def write_weather_drops(events: DataFrame, root: str, split_ts: str, late: Column, drops: tuple[int, ...] = (0, 1)) -> None:
     """Land hourly observations in two drops; those before the split for which ``late`` holds come with the second."""
     w = weather_frame(events).withColumnRenamed("hour_ts", "observed")
     first = (F.col("observed") < F.lit(split_ts).cast("timestamp")) & ~late
-    w.where(first).write.mode("overwrite").parquet(f"{root}/drop=0")
-    w.where(~first).write.mode("overwrite").parquet(f"{root}/drop=1")
+    for i in drops:
+        w.where(~first if i else first).write.mode("overwrite").parquet(f"{root}/drop={i}")
 
 
 def weather_stream(spark: SparkSession, root: str, files_per_trigger: int | None = None) -> DataFrame:
