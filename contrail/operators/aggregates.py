@@ -54,6 +54,11 @@ def wide_profile(df: DataFrame, key: str = "tailnum") -> DataFrame:
     )
 
 
+def tasks_for(df: DataFrame, rows: int) -> int:
+    """Shuffle partitions for ``rows`` rows of ``df`` each, the session's width at least."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.count() // rows + 1)
+
+
 def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
     """Global top-k: ``TakeOrderedAndProject`` keeps k rows per task, then k overall."""
     return df.orderBy(*order).limit(k)

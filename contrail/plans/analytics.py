@@ -473,6 +473,11 @@ def join_scalar_watermark(spark, d):
                                             F.max("ts").alias("to_ts"))
 
 
+DEDUP_ROWS = 500_000
+
+
 @register("dedup_rows", with_views("SELECT DISTINCT * FROM flights", "flights"))
 def dedup_rows(spark, d):
-    return flights(spark, d).dropDuplicates()
+    """Equal rows meet before they are compared, ``DEDUP_ROWS`` rows a task whatever the size: nearly all rows differ."""
+    f = flights(spark, d)
+    return f.repartition(agg.tasks_for(f, DEDUP_ROWS), *f.columns).dropDuplicates()
