@@ -331,8 +331,12 @@ def with_weather(events: DataFrame, weather: DataFrame, lateness: str = "3 days"
 
     Both sides have a watermark and the range bounds how long a row can find a
     partner, so Spark keeps an event until weather older than ``lateness`` would be late, and no longer.
+    An event's clock hour is that of its observation or the next one, so an observation is kept under both
+    and an event meets those of its hour, not all of its destination.
     """
-    e = events.withWatermark("event_ts", lateness).alias("e")
-    w = weather.withWatermark("observed", lateness).alias("w")
+    hour = lambda c: F.floor(F.unix_seconds(c) / 3600)
+    e = events.withWatermark("event_ts", lateness).withColumn("_hour", hour("event_ts")).alias("e")
+    w = weather.withWatermark("observed", lateness).withColumn("_hour", F.explode(F.array(hour("observed"), hour("observed") + 1))).alias("w")
     within = (F.col("e.event_ts") >= F.col("w.observed")) & (F.col("e.event_ts") < F.col("w.observed") + F.expr("INTERVAL 1 HOUR"))
-    return e.join(w, (F.col("e.dest") == F.col("w.dest")) & within).select("e.*", "w.observed", "w.mean_temp", "w.max_temp")
+    same = (F.col("e.dest") == F.col("w.dest")) & (F.col("e._hour") == F.col("w._hour"))
+    return e.join(w, same & within).select(*[f"e.{c}" for c in events.columns], "w.observed", "w.mean_temp", "w.max_temp")
