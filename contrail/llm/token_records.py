@@ -119,16 +119,22 @@ class WordEncoder:
 
     def learn(self, missing: list[str]) -> None:
         dtype, rest, tokenize, code = f"<u{self.width}", [], self.tokenizer.model.tokenize, "H" if self.width == 2 else "I"
+        words, latin, swap, held = self.words, self.latin, sys.byteorder == "big", 0
         for w in missing:
-            if self.latin and _LATIN.fullmatch(w):
+            ascii_ = w.isascii()
+            if latin and (w.isalpha() if ascii_ else _LATIN.fullmatch(w)):
                 low = w.lower()
-                named = low if low.isascii() else low.encode().decode("latin-1").translate(_NAMED)
-                ids = array(code, [t.id for t in tokenize(named)])
-                if sys.byteorder == "big":
-                    ids.byteswap()
-                self._keep(w, ids.tobytes())
+                ids = words.get(low)
+                if ids is None:
+                    ids = array(code, [t.id for t in tokenize(low if ascii_ else low.encode().decode("latin-1").translate(_NAMED))])
+                    if swap:
+                        ids.byteswap()
+                    ids = ids.tobytes()
+                words[w] = ids
+                held += _ENTRY_BYTES + len(w) + len(ids)
             else:
                 rest.append(w)
+        self.held += held
         for i in range(0, len(rest), 2000):
             part = rest[i : i + 2000]
             got = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
@@ -150,20 +156,30 @@ class WordEncoder:
         if self.held > CACHE_BYTES // 2:
             self.older, self.words, self.held = self.words, {"": b""}, 0
         known, older, missing, split = self.words, self.older, [], []
-        for w in words:
-            if w not in known:
+        out = [known.get(w) for w in words]
+        latin, fits = self.latin, _LATIN_THEN_MARKS.fullmatch
+        for i, ids in enumerate(out):
+            if ids is None:
+                w = words[i]
                 ids = older.get(w)
                 if ids is not None:
                     self._keep(w, ids)
-                elif self.latin and not w.isalpha() and (m := _LATIN_THEN_MARKS.fullmatch(w)):
-                    split.append((w, m.groups()))  # letters and the marks behind them are pre-tokens of their own
+                    out[i] = ids
+                elif latin and not w.isalpha() and (m := fits(w)):
+                    split.append((i, *m.groups()))  # letters and the marks behind them are pre-tokens of their own, and are remembered as such
                 else:
-                    missing.append(w)
-        parts = {p for _, ps in split for p in ps if p not in known}
-        self.learn([*missing, *parts.difference(missing)])
-        for w, (letters, marks) in split:
-            self._keep(w, known[letters] + known[marks])
-        return [known[w] for w in words]
+                    missing.append(i)
+        parts = {p for _, *ps in split for p in ps if p not in known}
+        for p in parts.intersection(older):
+            self._keep(p, older[p])
+            parts.discard(p)
+        wanted = [words[i] for i in missing]
+        self.learn([*wanted, *parts.difference(wanted)])
+        for i, w in zip(missing, wanted):
+            out[i] = known[w]
+        for i, letters, marks in split:
+            out[i] = known[letters] + known[marks]
+        return out
 
     def encode_column(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text of a column: split and numbered by Arrow, every distinct word looked up once."""

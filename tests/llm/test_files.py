@@ -66,3 +66,12 @@ def test_damaged_record_is_noticed(tmp_path):
     bad[14] ^= 1
     with pytest.raises(OSError):
         tr.read_at(io.BytesIO(bytes(bad)), 0, 4)
+
+
+def test_words_with_marks_are_remembered_by_their_parts(tokenizer):
+    """A word and the marks behind it are two pre-tokens; what a worker remembers holds each once."""
+    encoder = tr.WordEncoder(vocabulary())
+    texts = ["Stone, stone. stone! STONE,", "stone; moss, Moss."]
+    want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, f"<u{encoder.width}").tobytes() for t in texts]
+    assert [bytes(x) for x in encoder.encode([t.encode() for t in texts])] == want
+    assert set(encoder.words) == {"", "Stone", "stone", "STONE", "moss", "Moss", ",", ".", "!", ";"}
