@@ -191,3 +191,24 @@ def test_scoring_edge_cases(spark, make):
     assert py.score_texts(df.limit(0)).collect() == []
     none = df.filter("crc32(cast(cast(coalesce(cast(doc_id as string), '') as string) as binary)) % 7 = 2")
     assert all(r.train_tokens == 0 and r.score == 0 and r.base_score == 0 for r in py.score_texts(none).collect())
+
+
+def test_every_seen_context_has_a_restaurant(spark, make, monkeypatch):
+    """Rare contexts predict their words, and scores do not depend on how rows lie in units and partitions."""
+    import numpy as np
+
+    from contrail.llm import pitman_yor as py
+
+    monkeypatch.setattr(py, "SHARE", 1e-2, raising=False)
+    monkeypatch.setattr(py, "UNIT", 300)
+    rng = np.random.default_rng(4)
+    texts = [(i, " ".join(f"w{x}" for x in rng.zipf(1.3, 60) % 400) + (" rare pair" if i % 90 == 1 else "")) for i in range(300)]
+    trained = sum(t.endswith("rare pair") and py_remainder(i, 7) != 2 for i, t in texts)
+    assert trained >= 2
+    asked = [i for i in range(1000, 1200) if py_remainder(i, 7) == 2][:2]
+    texts += [(asked[0], "rare pair"), (asked[1], "w1 pair")]
+    df = make(texts)
+    one, other = (_score(spark, x) for x in (df.coalesce(1), df.repartition(5, "text")))
+    assert all(abs(one[i].score - other[i].score) < 1e-4 for i in one)
+    gain = one[asked[0]].score - one[asked[0]].base_score, one[asked[1]].score - one[asked[1]].base_score
+    assert gain[0] > gain[1] + 1
