@@ -13,8 +13,8 @@ of ids u32, flag u32 (1: the id is null).  With it a reader can take records in
 any order; ``read_at`` does so.
 
 A pre-token never crosses white space in the vocabularies used here, so equal
-words are encoded once per worker and looked up after that; the ids are those
-of encoding the whole text.  Words of plain Latin letters need no normalising
+words are encoded once per worker and looked up after that, by Arrow among those of the
+last pieces of text and by a dict among the others; the ids are those of encoding the whole text.  Words of plain Latin letters need no normalising
 beyond lower case and go straight to the vocabulary's model, if the vocabulary
 is of that kind (lower case, byte-level, letters a pre-token of their own).
 
@@ -53,8 +53,9 @@ _NAMED = dict(zip([b for b in range(256) if b not in _SHOWN], range(256, 512)))
 _LEN, _CRC, _ENTRY = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<qQII")
 _MANIFEST = "pid int, records string, index string, docs long, tokens long"
 _READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
-PIECE_BYTES = 4 << 20     # text encoded at a time
-CACHE_BYTES = 48 << 20     # words and ids that a worker remembers
+PIECE_BYTES = 8 << 20     # text encoded at a time
+CACHE_BYTES = 40 << 20     # words and ids that a worker remembers
+COLUMN_BYTES = 16 << 20    # words and ids that it remembers as Arrow columns, as they were met
 _ENTRY_BYTES = 190         # of a remembered word: two objects and its slot
 
 
@@ -101,6 +102,7 @@ class WordEncoder:
         self.words: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
         self.held = 0
+        self.met = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
         self.latin = self._splits_at_letters()
 
     def _splits_at_letters(self) -> bool:
@@ -181,11 +183,25 @@ class WordEncoder:
             out[i] = known[letters] + known[marks]
         return out
 
+    def _column(self, words: pa.Array) -> pa.Array:
+        """Ids of distinct words; those of the pieces before are found by Arrow, only the others become Python strings."""
+        met, ids = self.met
+        at = pc.index_in(words, value_set=met)
+        missing = words.filter(at.is_null())
+        if len(missing):
+            met = pa.concat_arrays([met, missing])
+            ids = pa.concat_arrays([ids, pa.array(self._ids(missing.to_pylist()), pa.large_binary())])
+            new = at.is_null().to_numpy(zero_copy_only=False)
+            at = pa.array(np.where(new, len(met) - len(missing) - 1 + np.cumsum(new), at.fill_null(0).to_numpy()))
+        out = ids.take(at)
+        self.met = (words, out) if met.nbytes + ids.nbytes > COLUMN_BYTES else (met, ids)  # the last piece's alone when they grow too large
+        return out
+
     def encode_column(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text of a column: split and numbered by Arrow, every distinct word looked up once."""
         words = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
         numbered = words.flatten().dictionary_encode()
-        ids = pa.array(self._ids(numbered.dictionary.to_pylist()), pa.large_binary()).take(numbered.indices)
+        ids = self._column(numbered.dictionary).take(numbered.indices)
         offsets = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1, 8 * ids.offset) if len(ids) else np.zeros(1, np.int64)
         ends = offsets[np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False))])].tolist()
         raw = memoryview(ids.buffers()[2]) if len(ids) and ids.buffers()[2] is not None else b""

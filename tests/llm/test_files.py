@@ -75,3 +75,16 @@ def test_words_with_marks_are_remembered_by_their_parts(tokenizer):
     want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, f"<u{encoder.width}").tobytes() for t in texts]
     assert [bytes(x) for x in encoder.encode([t.encode() for t in texts])] == want
     assert set(encoder.words) == {"", "Stone", "stone", "STONE", "moss", "Moss", ",", ".", "!", ";"}
+
+
+def test_words_of_the_pieces_before_are_found_as_columns(tokenizer, monkeypatch):
+    """Only words that no piece before had become Python strings; forgetting them changes no ids."""
+    for size in (tr.COLUMN_BYTES, 0):
+        monkeypatch.setattr(tr, "COLUMN_BYTES", size)
+        encoder, asked = tr.WordEncoder(vocabulary()), []
+        inner = encoder._ids
+        monkeypatch.setattr(encoder, "_ids", lambda words, inner=inner, asked=asked: asked.append(words) or inner(words))
+        texts = ["Stone don't moss,", "moss, fern Stone", "", "Stone fern fern rain"]
+        want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, f"<u{encoder.width}").tobytes() for t in texts]
+        assert [bytes(encoder.encode([t.encode()])[0]) for t in texts] == want
+        assert asked == [["Stone", "don't", "moss,"], ["fern"], [""], ["rain"] if size else ["Stone", "fern", "rain"]]
